@@ -60,8 +60,8 @@ def transform_messages(spark: SparkSession, sf_dir: str, streaming: bool = False
     keywords = F.expr(
         f"""map_filter(map(
               '품질', {_variant('event_type')},
-              '배송', CASE WHEN event_id % 4 <> 0
-                      THEN {_variant("CASE WHEN event_id % 2 = 0 THEN 'fast' ELSE 'slow' END")} END,
+              '배송', CASE WHEN event_type <> 'view'
+                      THEN {_variant("CASE WHEN value < 20 THEN 'fast' ELSE 'slow' END")} END,
               concat('속성-', _k), {_variant("'있음'")},
               '점수', {_variant('CAST(FLOOR(value) AS BIGINT) % 3')},
               '빈값', {_variant("''")}), (k, v) -> v IS NOT NULL)"""
@@ -201,14 +201,21 @@ def document_messages(spark: SparkSession, sf_dir: str, damaged: bool = False) -
 
 
 def batch_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(value)``: the older shape, one message per order listing its line
-    items as reviews next to the job id of the whole message."""
-    review = F.struct(
-        F.expr("concat(l_orderkey, '-', l_linenumber)").alias("review_id"),
-        F.col("l_quantity").alias("rating"),
-    )
-    lists = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
-        F.sort_array(F.collect_list(review)).alias("reviews")
+    """``(l_extendedprice, value)``: the older shape. Finished line items list
+    their reviews (returned ones a second one) next to the job of the message;
+    open ones are a review themselves."""
+    listed = F.expr(
+        """CASE WHEN l_linestatus = 'F' THEN filter(array(
+             named_struct('review_id', concat(l_orderkey, '-', l_linenumber), 'rating', l_quantity),
+             CASE WHEN l_returnflag = 'R' THEN
+               named_struct('review_id', concat(l_orderkey, '-', l_linenumber, '-r'), 'rating', l_tax) END),
+           r -> r IS NOT NULL) END"""
+    )
+    is_open = F.col("l_linestatus") == "O"
+    value = _json(
+        job_id=F.expr("concat('job-', l_suppkey)"),
+        review_id=F.when(is_open, F.expr("concat(l_orderkey, '-', l_linenumber)")),
+        rating=F.when(is_open, F.col("l_quantity")),
+        reviews=listed,
     )
-    value = _json(job_id=F.expr("concat('job-', l_orderkey % 100)"), reviews=F.col("reviews"))
-    return lists.select("l_orderkey", value.alias("value"))
+    return table(spark, sf_dir, "lineitem").select("l_extendedprice", value.alias("value"))
