@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CORRUPT = "_corrupt_record"
@@ -25,6 +25,17 @@ def read_fields(value: Column, fields: dict[str, str]) -> Column:
     return F.from_json(value, f"{layout}, {CORRUPT} string")
 
 
+def parse_once(messages: DataFrame, value: str, fields: dict[str, str]) -> DataFrame:
+    """Replaces the JSON text by the struct ``_m`` of its fields.
+
+    The one-element explode keeps the optimizer from copying the parse into
+    every later filter and projection: a predicate on ``_m`` stays above it.
+    """
+    kept = [F.col(c) for c in messages.columns if c != value]
+    parsed = F.array(read_fields(F.col(value), fields))
+    return messages.select(*kept, F.explode(parsed).alias("_m"))
+
+
 def is_readable(parsed: Column) -> Column:
     """False for null or empty text and for text that is no JSON object."""
     return parsed.isNotNull() & parsed[CORRUPT].isNull()

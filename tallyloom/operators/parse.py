@@ -18,8 +18,6 @@ from tallyloom.functions import scalars as sc
 # Read as VARIANT, because the JSON type matters or may vary between messages.
 _AS_VARIANT = {*S.FLAG_FIELDS, *S.RATING_FIELDS, "keywords", "invalid_reason"}
 
-_RESULT_FIELDS = "results array<variant>"
-
 
 def parse_transform(
     messages: DataFrame,
@@ -45,7 +43,7 @@ def parse_transform(
     fields = {"job_id": "string", "review_id": "string"}
     for name in (*S.RATING_FIELDS, *S.FLAG_FIELDS, *carry):
         fields[name] = "variant" if name in _AS_VARIANT else "string"
-    parsed = messages.withColumn("_m", codec.read_fields(F.col(value), fields))
+    parsed = codec.parse_once(messages, value, fields)
     readable = codec.is_readable(F.col("_m"))
     m = lambda name: F.col("_m")[name]
 
@@ -87,9 +85,10 @@ def flatten_analysis(messages: DataFrame, value: str = "value") -> DataFrame:
     The results are read as VARIANT, so one odd element does not cost the rest
     of its message.
     """
-    results = F.from_json(F.col(value), _RESULT_FIELDS)["results"]
     kept = [c for c in messages.columns if c != value]
-    rows = messages.select(*kept, F.explode(results).alias("_r"))
+    rows = codec.parse_once(messages, value, {"results": "array<variant>"}).select(
+        *kept, F.explode("_m.results").alias("_r")
+    )
     field = lambda name, kind="string": F.try_variant_get("_r", f"$.{name}", kind)
     trial = F.try_variant_get("_r", "$.is_coupang_trial", "variant")
     return rows.select(
@@ -109,9 +108,8 @@ def flatten_array(
 
     With ``with_job_id=False`` the elements keep their own job id.
     """
-    parsed = F.from_json(F.col(value), f"job_id string, `{array}` array<variant>")
     kept = [c for c in messages.columns if c != value]
-    rows = messages.withColumn("_m", parsed).select(
+    rows = codec.parse_once(messages, value, {"job_id": "string", array: "array<variant>"}).select(
         *kept,
         F.coalesce(F.col("_m.job_id"), F.lit("")).alias("_parent"),
         F.explode(F.col("_m")[array]).alias("element"),
@@ -154,7 +152,7 @@ def _first_element(messages: DataFrame, array: str, mark: str, value: str) -> Da
         )
 
     of_first = lambda name: F.try_variant_get(first, f"$.{name}", "string")
-    return messages.withColumn("_m", codec.read_fields(F.col(value), fields)).select(
+    return codec.parse_once(messages, value, fields).select(
         *kept,
         pick(text(m("job_id")), F.coalesce(text(m("job_id")), F.lit("")), True).alias("job_id"),
         pick(text(m("review_id")), of_first("review_id"), True).alias("review_id"),
@@ -164,21 +162,26 @@ def _first_element(messages: DataFrame, array: str, mark: str, value: str) -> Da
 
 def valid_records(messages: DataFrame, value: str = "value") -> DataFrame:
     """Messages whose value is a JSON object."""
-    return messages.filter(codec.is_readable(codec.read_fields(F.col(value), {"job_id": "string"})))
+    return _marked(messages, value).filter(codec.is_readable(F.col("_m"))).drop("_m")
 
 
 def quarantine(messages: DataFrame, value: str = "value") -> DataFrame:
     """The complement of ``valid_records``, with the reason, for reprocessing."""
-    parsed = messages.withColumn("_m", codec.read_fields(F.col(value), {"job_id": "string"}))
     blank = F.coalesce(F.trim(F.col(value)), F.lit("")) == ""
     reason = F.when(blank, F.lit("empty")).otherwise(F.lit("not a JSON object"))
     return (
-        parsed.filter(~codec.is_readable(F.col("_m")))
+        _marked(messages, value)
+        .filter(~codec.is_readable(F.col("_m")))
         .withColumn("reason", reason)
         .drop("_m")
     )
 
 
+def _marked(messages: DataFrame, value: str) -> DataFrame:
+    copy = messages.withColumn("_text", F.col(value))
+    return codec.parse_once(copy, "_text", {"job_id": "string"})
+
+
 def parse_control(messages: DataFrame, key: str | None = None, value: str = "value") -> DataFrame:
     """Typed control messages; unreadable ones are left out.
 
@@ -201,7 +204,7 @@ def parse_control(messages: DataFrame, key: str | None = None, value: str = "val
     )
     kept = [c for c in messages.columns if c not in (value, key)]
     return (
-        messages.withColumn("_m", codec.read_fields(F.col(value), fields))
+        codec.parse_once(messages, value, fields)
         .filter(codec.is_readable(F.col("_m")))
         .select(
             *kept,

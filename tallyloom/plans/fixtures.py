@@ -27,11 +27,22 @@ def table(spark: SparkSession, sf_dir: str, name: str, streaming: bool = False)
         # as a pattern, the path may be one file as well as a folder of files
         df = spark.readStream.schema(layout).parquet(f"{sf_dir}/{name}.[p]arquet")
     else:
-        df = spark.read.parquet(path)
+        df = spread(spark.read.parquet(path))
     naive = [f.name for f in df.schema.fields if f.dataType.typeName() == "timestamp_ntz"]
     return df.withColumns({c: F.col(c).cast("timestamp") for c in naive}) if naive else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan of fewer tasks than cores is dealt out over the cores.
+
+    A one-file table with one row group is read by one task, which would then
+    also do all the JSON work behind it. Large tables scan in more tasks than
+    there are cores and pass through untouched.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _json(**fields: Column) -> Column:
     """Fields that are null stay absent."""
     return F.to_json(F.struct(*[value.alias(name) for name, value in fields.items()]))

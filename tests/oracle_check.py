@@ -74,7 +74,7 @@ def main() -> None:
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     only = sys.argv[2:]
-    spark, con = local_session(8), connect(sf_dir)
+    spark, con = local_session(8, spark__ui__showConsoleProgress="false"), connect(sf_dir)
     wrong = []
     for name, build in queries().items():
         if only and name not in only:
