@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,35 +28,25 @@ def number_or_zero(value: Column) -> Column:
 
 def rating_coalesce(*candidates: Column) -> Column:
     """The first candidate that is present decides, even when not numeric."""
-    chain = reduce(
-        lambda acc, c: F.when(present(c), number_or_zero(c)) if acc is None
-        else acc.when(present(c), number_or_zero(c)),
-        candidates,
-        None,
-    )
-    return chain.otherwise(F.lit(0.0))
+    chosen = F
+    for candidate in candidates:
+        chosen = chosen.when(present(candidate), candidate)
+    return number_or_zero(chosen)
 
 
 def flag_or(value: Column, default: bool) -> Column:
     """A VARIANT as a flag: boolean, number <> 0, or the texts true/false."""
     text = F.trim(variant_as(value, "string"))
-    fallback = F.lit(default)
-    return (
-        F.when(~present(value), fallback)
-        .when(
-            F.schema_of_variant(value) == "STRING",
-            F.when(text == "true", F.lit(True))
-            .when(text == "false", F.lit(False))
-            .otherwise(fallback),
-        )
-        .otherwise(F.coalesce(variant_as(value, "boolean"), fallback))
+    as_text = text != "false" if default else text == "true"
+    as_value = F.when(F.schema_of_variant(value) == "STRING", as_text).otherwise(
+        variant_as(value, "boolean")
     )
+    return F.coalesce(F.when(present(value), as_value), F.lit(default))
 
 
 def flag_is_one(value: Column) -> Column:
     """True when the VARIANT, cut to a whole number, is 1."""
-    number = number_or_zero(value)
-    return (number >= 1) & (number < 2)
+    return F.floor(number_or_zero(value)) == 1
 
 
 def rating_bucket(rating: Column) -> Column:

@@ -3,8 +3,12 @@
 Two definitions exist side by side and disagree on purpose. The *published*
 profile averages the rounded stars and splits all reviews into trial and
 regular. The *typed* statistics average the raw ratings and keep empty reviews
-apart. All of it is conditional aggregation in one hash aggregate per job, so
-map-side partial sums are all that is shuffled, however large one job is.
+apart.
+
+Every figure here follows from the *cells* of a job: how many reviews share
+stars and flags, at most 96 cells per job. Reviews are counted into cells
+first, one counter per row and merged map-side, so a job of any size shuffles
+as a handful of rows; the many conditional sums then run over cells only.
 """
 
 from __future__ import annotations
@@ -39,9 +43,14 @@ def cohorts(reviews: DataFrame) -> DataFrame:
     return reviews.withColumn("cohort", F.explode(tags))
 
 
-def _histogram(groups: Mapping[str, Column], bucket: Column, prefix: str = "stars") -> list[Column]:
+def _count_of(test: Column) -> Column:
+    """Reviews in the cells that pass the test."""
+    return F.coalesce(F.sum(F.when(test, F.col("_n"))), F.lit(0))
+
+
+def _histogram(groups: Mapping[str, Column], prefix: str = "stars") -> list[Column]:
     return [
-        F.count_if(test & (bucket == star)).alias(f"{prefix}_{name}_{star}")
+        _count_of(test & (F.col("_bucket") == star)).alias(f"{prefix}_{name}_{star}")
         for name, test in groups.items()
         for star in S.STARS
     ]
@@ -66,8 +75,19 @@ def _unpivot_histogram(wide: DataFrame, groups, prefix: str = "stars") -> DataFr
     return wide.select("job_id", F.inline(cells))
 
 
-def _bucketed(reviews: DataFrame) -> DataFrame:
-    return reviews.withColumn("_bucket", sc.rating_bucket(F.col("rating")))
+def _cells(reviews: DataFrame, *by: str) -> DataFrame:
+    """Counts and rating sums per job, stars and flags.
+
+    On a stream each review stays a cell of its own: Structured Streaming
+    chains no second aggregation in update mode.
+    """
+    bucket = sc.rating_bucket(F.col("rating")).alias("_bucket")
+    counted = "_counted" if "_counted" in reviews.columns else F.lit(True).alias("_counted")
+    rows = reviews.select("job_id", *by, bucket, counted, "valid", "empty", "trial", "rating")
+    if reviews.isStreaming:
+        return rows.withColumns({"_n": F.lit(1).cast("bigint"), "_sum": F.col("rating")})
+    keys = [c for c in rows.columns if c != "rating"]
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum("rating").alias("_sum"))
 
 
 def transform_profile(reviews: DataFrame, histogram: bool = True) -> DataFrame:
@@ -75,21 +95,21 @@ def transform_profile(reviews: DataFrame, histogram: bool = True) -> DataFrame:
     ``avg_rating`` wherever the job has a valid review; ``transform_stats``
     holds the mean that really leaves empty reviews out."""
     groups = published_cohorts()
-    bucket = F.col("_bucket")
+    bucket, n = F.col("_bucket"), F.col("_n")
 
     def mean(test: Column) -> Column:
-        kept = F.when(test, bucket)
-        return sc.mean_or_zero(F.sum(kept), F.count(kept))
-
-    profile = _bucketed(reviews).groupBy("job_id").agg(
-        F.count(F.lit(1)).alias("total_reviews"),
-        F.count_if("valid").alias("valid_reviews"),
-        F.count_if("empty").alias("empty_reviews"),
-        F.count_if("trial").alias("trial_reviews"),
+        starred = test & bucket.isNotNull()
+        return sc.mean_or_zero(F.sum(F.when(starred, bucket * n)), F.sum(F.when(starred, n)))
+
+    profile = _cells(reviews).groupBy("job_id").agg(
+        F.sum("_n").alias("total_reviews"),
+        _count_of(F.col("valid")).alias("valid_reviews"),
+        _count_of(F.col("empty")).alias("empty_reviews"),
+        _count_of(F.col("trial")).alias("trial_reviews"),
         mean(groups["all"]).alias("avg_rating"),
         mean(groups["coupang_trial"]).alias("avg_rating_trial"),
         mean(groups["regular"]).alias("avg_rating_regular"),
-        *(_histogram(groups, bucket) if histogram else ()),
+        *(_histogram(groups) if histogram else ()),
     )
     return profile.withColumn(
         "avg_rating_excluding_empty",
@@ -99,7 +119,7 @@ def transform_profile(reviews: DataFrame, histogram: bool = True) -> DataFrame:
 
 def rating_distribution(reviews: DataFrame) -> DataFrame:
     """Rows (job, cohort, stars, n), published cohorts, zero counts included."""
-    wide = _bucketed(reviews).groupBy("job_id").agg(*_histogram(published_cohorts(), F.col("_bucket")))
+    wide = _cells(reviews).groupBy("job_id").agg(*_histogram(published_cohorts()))
     return _unpivot_histogram(wide, S.COHORTS)
 
 
@@ -109,7 +129,11 @@ def _typed(reviews: DataFrame) -> DataFrame:
         *[c for c in reviews.columns if c != "rating"],
         F.col("own_rating").alias("rating"),
         (F.col("review_id") != "").alias("_counted"),
-    ).withColumn("_bucket", F.when(F.col("_counted"), sc.rating_bucket(F.col("rating"))))
+    )
+
+
+def _counted_cohorts() -> dict[str, Column]:
+    return {name: F.col("_counted") & test for name, test in typed_cohorts().items()}
 
 
 def transform_stats(reviews: DataFrame, *by: str, histogram: bool = True) -> DataFrame:
@@ -117,25 +141,25 @@ def transform_stats(reviews: DataFrame, *by: str, histogram: bool = True) -> Dat
     counted, trial, empty = F.col("_counted"), F.col("trial"), F.col("empty")
 
     def mean(test: Column) -> Column:
-        kept = F.when(counted & test, F.col("rating"))
-        return F.coalesce(F.avg(kept), F.lit(0.0))
-
-    return _typed(reviews).groupBy("job_id", *by).agg(
-        F.count_if(counted).alias("total_reviews"),
-        F.count_if(counted & F.col("valid")).alias("valid_reviews"),
-        F.count_if(counted & empty).alias("empty_reviews"),
-        F.count_if(counted & trial).alias("trial_reviews"),
+        total = F.sum(F.when(counted & test, F.col("_sum")))
+        return sc.mean_or_zero(total, F.sum(F.when(counted & test, F.col("_n"))))
+
+    return _cells(_typed(reviews), *by).groupBy("job_id", *by).agg(
+        _count_of(counted).alias("total_reviews"),
+        _count_of(counted & F.col("valid")).alias("valid_reviews"),
+        _count_of(counted & empty).alias("empty_reviews"),
+        _count_of(counted & trial).alias("trial_reviews"),
         mean(F.lit(True)).alias("avg_rating"),
         mean(~empty).alias("avg_rating_excluding_empty"),
         mean(trial).alias("avg_rating_trial"),
         mean(~trial).alias("avg_rating_regular"),
-        *(_histogram(typed_cohorts(), F.col("_bucket")) if histogram else ()),
+        *(_histogram(_counted_cohorts()) if histogram else ()),
     )
 
 
 def rating_distribution_4(reviews: DataFrame) -> DataFrame:
     """Rows (job, cohort, stars, n), typed cohorts, zero counts included."""
-    wide = _typed(reviews).groupBy("job_id").agg(*_histogram(typed_cohorts(), F.col("_bucket")))
+    wide = _cells(_typed(reviews)).groupBy("job_id").agg(*_histogram(_counted_cohorts()))
     return _unpivot_histogram(wide, S.COHORTS_WITH_EMPTY)
 
 

@@ -1,4 +1,8 @@
-"""Sentiment counts and shares per job, in the published and the typed form."""
+"""Sentiment counts and shares per job, in the published and the typed form.
+
+Results are first counted per job, label and trial flag: eight rows per job at
+most, whatever its size. All figures are sums over those.
+"""
 
 from __future__ import annotations
 
@@ -12,12 +16,30 @@ from tallyloom.operators.ratings import published_cohorts
 LABELS = {"positive": S.POSITIVE, "negative": S.NEGATIVE, "neutral": S.NEUTRAL}
 
 
-def sentiment_counts(label_of: Column) -> list[Column]:
-    return [
-        F.count_if(test & (label_of == text)).alias(f"{cohort}_{name}")
-        for cohort, test in published_cohorts().items()
-        for name, text in LABELS.items()
-    ]
+def _profile(results: DataFrame, label: Column, share) -> DataFrame:
+    rows = results.select("job_id", label.alias("_label"), "trial")
+    if results.isStreaming:
+        cells = rows.withColumn("_n", F.lit(1).cast("bigint"))
+    else:
+        cells = rows.groupBy("job_id", "_label", "trial").agg(F.count(F.lit(1)).alias("_n"))
+    n = F.col("_n")
+    counts = cells.groupBy("job_id").agg(
+        F.sum(n).alias("total_analyzed"),
+        *[
+            F.coalesce(F.sum(F.when(test & (F.col("_label") == name), n)), F.lit(0)).alias(f"{cohort}_{name}")
+            for cohort, test in published_cohorts().items()
+            for name in LABELS
+        ],
+    )
+    return with_shares(counts, share)
+
+
+def label_name(sentiment: Column, otherwise: str | None = None) -> Column:
+    """positive, negative, neutral or the fallback."""
+    chosen = F
+    for name, text in LABELS.items():
+        chosen = chosen.when(sentiment == text, F.lit(name))
+    return chosen.otherwise(F.lit(otherwise))
 
 
 def with_shares(counts: DataFrame, share=sc.pct) -> DataFrame:
@@ -32,17 +54,9 @@ def with_shares(counts: DataFrame, share=sc.pct) -> DataFrame:
 
 def sentiment_profile(results: DataFrame) -> DataFrame:
     """Published: other or missing sentiments count as analysed only."""
-    counts = results.groupBy("job_id").agg(
-        F.count(F.lit(1)).alias("total_analyzed"), *sentiment_counts(F.col("sentiment"))
-    )
-    return with_shares(counts)
+    return _profile(results, label_name(F.col("sentiment")), sc.pct)
 
 
 def sentiment_stats(results: DataFrame) -> DataFrame:
     """Typed: everything that is neither positive nor negative is neutral."""
-    known = F.col("sentiment").isin(S.POSITIVE, S.NEGATIVE)
-    label = F.when(known, F.col("sentiment")).otherwise(F.lit(S.NEUTRAL))
-    counts = results.groupBy("job_id").agg(
-        F.count(F.lit(1)).alias("total_analyzed"), *sentiment_counts(label)
-    )
-    return with_shares(counts, sc.share_pct)
+    return _profile(results, label_name(F.col("sentiment"), "neutral"), sc.share_pct)
