@@ -18,6 +18,9 @@ from tallyloom.operators import parse, ratings, reviews
 from tallyloom.operators import sentiment as sn
 from tallyloom.plans import fixtures as fx
 from tallyloom.plans.oracle import AS_OF
+from tallyloom.session import work_dir
+from tallyloom.sources import readers, sinks
+from tallyloom.streaming import flows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -567,3 +570,66 @@ def _(spark, sf):
 @query("join_drop_rate")
 def _(spark, sf):
     return mx.join_drop_rate(_reviews(spark, sf), _analyses(spark, sf))
+
+
+# --- the operators on streams: run to the end of the input, then read the sink
+
+
+def _stream(spark, sf):
+    return (
+        parse.parse_transform(fx.transform_messages(spark, sf, streaming=True), ("title",)),
+        parse.flatten_analysis(fx.analysis_messages(spark, sf, streaming=True)),
+    )
+
+
+@query("stream_join_reviews")
+def _(spark, sf):
+    work = work_dir(spark, "join")
+    joined = flows.join_reviews(*_stream(spark, sf)).select(*_JOIN_COLUMNS)
+    sinks.run_available(sinks.append(joined, f"{work}/rows", f"{work}/checkpoint"))
+    return spark.read.parquet(f"{work}/rows")
+
+
+@query("stream_hourly_counts")
+def _(spark, sf):
+    work = work_dir(spark, "hours")
+    counts = flows.hourly_counts(_stream(spark, sf)[0])
+    sinks.run_available(sinks.append(counts, f"{work}/rows", f"{work}/checkpoint"))
+    return spark.read.parquet(f"{work}/rows")
+
+
+@query("stream_distinct_counts")
+def _(spark, sf):
+    work = work_dir(spark, "distinct")
+    counts = flows.distinct_counts(_stream(spark, sf)[0])
+    sinks.run_available(sinks.changelog(counts, f"{work}/rows", f"{work}/checkpoint"))
+    return sinks.read_latest(spark, f"{work}/rows", ["job_id"])
+
+
+@query("stream_combined")
+def _(spark, sf):
+    work = work_dir(spark, "combined")
+    stats = flows.combined_job_stats(*_stream(spark, sf))
+    sinks.run_available(sinks.changelog(stats, f"{work}/rows", f"{work}/checkpoint"))
+    return sinks.read_latest(spark, f"{work}/rows", ["job_id"])
+
+
+def _emitted(spark, sf, at: Column | None):
+    work = work_dir(spark, "events")
+    fx.collection_messages(spark, sf).write.parquet(f"{work}/control")
+    control = readers.read_control(spark, readers.Source(path=f"{work}/control"), streaming=True)
+    updates = flows.ledger(*_stream(spark, sf), control)
+    sinks.run_available(
+        flows.emit_events(spark, updates, f"{work}/ledger", f"{work}/rows", f"{work}/checkpoint", at)
+    )
+    return flows.read_events(spark, f"{work}/rows")
+
+
+@query("stream_emit_done")
+def _(spark, sf):
+    return _emitted(spark, sf, None)
+
+
+@query("stream_job_timeouts")
+def _(spark, sf):
+    return _emitted(spark, sf, as_of()).filter("status = 'failed'")
