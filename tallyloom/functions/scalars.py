@@ -69,6 +69,22 @@ def share_pct(part: Column, total: Column) -> Column:
     return F.coalesce(part / F.nullif(total.cast("double"), F.lit(0.0)) * F.lit(100.0), F.lit(0.0))
 
 
+# The same rules as SQL text, for aggregations with dozens of columns: one text
+# costs one call into the JVM, the column form one per operator.
+
+
+def pct_sql(part: str, total: str) -> str:
+    return f"coalesce({part} * 100D / nullif(cast({total} AS double), 0D), 0D)"
+
+
+def share_pct_sql(part: str, total: str) -> str:
+    return f"coalesce({part} / nullif(cast({total} AS double), 0D) * 100D, 0D)"
+
+
+def mean_or_zero_sql(total: str, n: str) -> str:
+    return f"coalesce(cast({total} AS double) / nullif(cast({n} AS double), 0D), 0D)"
+
+
 def mean_or_zero(total: Column, n: Column) -> Column:
     return F.coalesce(total.cast("double") / F.nullif(n.cast("double"), F.lit(0.0)), F.lit(0.0))
 

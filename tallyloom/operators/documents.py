@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tallyloom import schema as S
 from tallyloom.functions import scalars as sc
-from tallyloom.operators import keywords as kw
-from tallyloom.operators import ratings, reviews, sentiment
+from tallyloom.operators import cells as cl
+from tallyloom.operators import reviews, sentiment
 
 _COMBINED = (
     "total_reviews",
@@ -65,9 +65,9 @@ def combined_from_tagged(transform: DataFrame, analysis: DataFrame) -> DataFrame
         ],
     )
     both = counts.filter("total_reviews > 0 AND total_analyzed > 0")
-    total = F.col("all_positive") + F.col("all_negative") + F.col("all_neutral")
+    total = "(all_positive + all_negative + all_neutral)"
     shares = both.withColumns(
-        {f"all_{name}_pct": sc.pct(F.col(f"all_{name}"), total) for name in sentiment.LABELS}
+        {f"all_{name}_pct": F.expr(sc.pct_sql(f"all_{name}", total)) for name in sentiment.LABELS}
     )
     return combine(shares).select("job_id", *_COMBINED)
 
@@ -87,50 +87,50 @@ def joined_job_stats(transform: DataFrame, analysis: DataFrame, **interval) -> D
     )
 
 
-def _stars(cohorts) -> Column:
+def _stars(cohorts, prefix: str = "") -> Column:
     return F.struct(
         *[
-            F.struct(*[F.col(f"stars_{c}_{star}").alias(str(star)) for star in S.STARS]).alias(c)
+            F.expr(
+                "named_struct(" + ", ".join(f"'{star}', {prefix}stars_{c}_{star}" for star in S.STARS) + ")"
+            ).alias(c)
             for c in cohorts
         ]
     )
 
 
-def _or_empty(nested: DataFrame) -> Column:
-    """The nested keywords, or an empty array for a job without any."""
-    kind = nested.schema["keyword_analysis"].dataType
-    return F.coalesce("keyword_analysis", F.from_json(F.lit("[]"), kind)).alias("keyword_analysis")
+def _review_figures(prefix: str = "") -> list[Column]:
+    names = {
+        "total_reviews": "total_reviews",
+        "valid_reviews": "valid_reviews",
+        "empty_reviews": "empty_reviews",
+        "coupang_trial_reviews": "trial_reviews",
+        "avg_rating": "avg_rating",
+        "avg_rating_excluding_empty": "avg_rating_excluding_empty",
+        "avg_rating_coupang_trial": "avg_rating_trial",
+        "avg_rating_regular": "avg_rating_regular",
+    }
+    return [F.col(f"{prefix}{column}").alias(name) for name, column in names.items()]
 
 
-def job_document(
-    profile: DataFrame, items: DataFrame, sentiments: DataFrame, stamp: Column
-) -> DataFrame:
-    """One JSON document per job, published shape; ``stamp`` is its time text."""
-    nested = kw.nested_items(items)
-    rows = combine(profile.join(sentiments, "job_id")).join(nested, "job_id", "left")
-    labels = lambda cohort: F.struct(
-        *[F.col(f"{cohort}_{name}").alias(text) for name, text in sentiment.LABELS.items()],
-        *[F.col(f"{cohort}_{name}_pct").alias(f"{text}_pct") for name, text in sentiment.LABELS.items()],
-    ).alias(cohort)
+def job_document(cells: DataFrame, stamp: Column) -> DataFrame:
+    """One JSON document per job with rows on both sides, published shape;
+    ``stamp`` is its time text."""
+    rows = combine(cl.job_statistics(cells).filter("total_analyzed > 0"))
+
+    def labels(cohort: str) -> Column:
+        counts = [F.col(f"{cohort}_{name}").alias(text) for name, text in sentiment.LABELS.items()]
+        shares = [F.col(f"{cohort}_{name}_pct").alias(f"{text}_pct") for name, text in sentiment.LABELS.items()]
+        return F.struct(*counts, *shares).alias(cohort)
+
     document = F.struct(
         F.col("job_id").alias("_id"),
         F.col("job_id"),
         stamp.alias("timestamp"),
-        F.struct(
-            "total_reviews",
-            "valid_reviews",
-            "empty_reviews",
-            F.col("trial_reviews").alias("coupang_trial_reviews"),
-            "avg_rating",
-            "avg_rating_excluding_empty",
-            F.col("avg_rating_trial").alias("avg_rating_coupang_trial"),
-            "avg_rating_regular",
-        ).alias("transform_stats"),
+        F.struct(*_review_figures()).alias("transform_stats"),
         _stars(S.COHORTS).alias("rating_distribution"),
-        _or_empty(nested),
+        "keyword_analysis",
         F.struct(
-            "total_analyzed",
-            F.struct(*[labels(c) for c in S.COHORTS]).alias("sentiment_distribution"),
+            "total_analyzed", F.struct(*[labels(c) for c in S.COHORTS]).alias("sentiment_distribution")
         ).alias("analysis_stats"),
         F.struct(
             "total_reviews",
@@ -144,30 +144,30 @@ def job_document(
     return rows.select("job_id", F.to_json(document).alias("document"))
 
 
-def job_document_spec(transform: DataFrame, analysis: DataFrame, k: int = S.TOP_KEYWORDS) -> DataFrame:
+def job_document_spec(cells: DataFrame, k: int = S.TOP_KEYWORDS) -> DataFrame:
     """One JSON document per job in the specified shape: typed statistics,
     histogram with empty reviews, tags of the top ``k`` keywords by cohort."""
-    stats = ratings.transform_stats(transform)
-    nested = kw.nested_top_keywords(transform, k)
-    rows = stats.join(sentiment.sentiment_stats(analysis), "job_id").join(nested, "job_id", "left")
-    labels = lambda cohort: F.struct(
-        *[F.col(f"{cohort}_{name}").alias(name) for name in sentiment.LABELS],
-        *[F.col(f"{cohort}_{name}_pct").alias(f"{name}Pct") for name in sentiment.LABELS],
-    ).alias(f"{cohort}_sentiment")
+    top = cl.top_keywords(cells, k)
+    jobs = cl.job_statistics(cells, keywords=False).filter("total_analyzed > 0").join(top, "job_id", "left")
+    nested = F.coalesce(
+        "keyword_analysis", F.from_json(F.lit("[]"), top.schema["keyword_analysis"].dataType)
+    ).alias("keyword_analysis")
+
+    def labels(cohort: str) -> Column:
+        return F.struct(
+            F.col(f"{cohort}_positive").alias("positive"),
+            F.col(f"{cohort}_negative").alias("negative"),
+            F.col(f"typed_{cohort}_neutral").alias("neutral"),
+            *[F.col(f"typed_{cohort}_{name}_pct").alias(f"{name}Pct") for name in sentiment.LABELS],
+        ).alias(f"{cohort}_sentiment")
+
     document = F.struct(
         F.col("job_id"),
         F.struct(
-            "total_reviews",
-            "valid_reviews",
-            "empty_reviews",
-            F.col("trial_reviews").alias("coupang_trial_reviews"),
-            "avg_rating",
-            "avg_rating_excluding_empty",
-            F.col("avg_rating_trial").alias("avg_rating_coupang_trial"),
-            "avg_rating_regular",
-            _stars(S.COHORTS_WITH_EMPTY).alias("rating_distribution"),
-            _or_empty(nested),
+            *_review_figures("typed_"),
+            _stars(S.COHORTS_WITH_EMPTY, "typed_").alias("rating_distribution"),
+            nested,
         ).alias("transform_stats"),
         F.struct("total_analyzed", *[labels(c) for c in S.COHORTS]).alias("analysis_stats"),
     )
-    return rows.select("job_id", F.to_json(document).alias("document"))
+    return jobs.select("job_id", F.to_json(document).alias("document"))

@@ -126,71 +126,3 @@ def _first_k(totals: DataFrame, k: int) -> DataFrame:
     return totals.withColumn("keyword_rank", F.row_number().over(order)).filter(
         F.col("keyword_rank") <= k
     )
-
-
-def _tag_list(n: Column, total: Column, tag: Column, share) -> Column:
-    entry = F.struct((-n).alias("_order"), tag.alias("tag"), n.alias("count"), share(n, total).alias("percentage"))
-    return F.sort_array(F.collect_list(F.when(n > 0, entry)))
-
-
-def _drop_order(entries: Column) -> Column:
-    return F.transform(entries, lambda e: F.struct(e["tag"], e["count"], e["percentage"]))
-
-
-def nested_items(items: DataFrame) -> DataFrame:
-    """``keyword_items`` as one array per job: ``[{name, items: [...]}]``.
-
-    A document holds the job's whole breakdown, so its size is that of the
-    breakdown: one entry per distinct (keyword, tag), never per review.
-    """
-    entry = F.struct(
-        (-F.col("n")).alias("_order"),
-        F.col("tag").alias("tag"),
-        F.col("n").alias("count"),
-        F.col("percentage").alias("percentage"),
-    )
-    per_keyword = items.groupBy("job_id", "keyword").agg(
-        _drop_order(F.sort_array(F.collect_list(entry))).alias("items")
-    )
-    return per_keyword.groupBy("job_id").agg(
-        F.sort_array(F.collect_list(F.struct(F.col("keyword").alias("name"), "items"))).alias("keyword_analysis")
-    )
-
-
-def nested_top_keywords(reviews: DataFrame, k: int = S.TOP_KEYWORDS) -> DataFrame:
-    """The typed breakdown of the top ``k`` keywords as one array per job:
-    ``[{keyword, all_tags, coupang_tags, regular_tags}]``, most frequent first.
-    """
-    names = {"all": "all_tags", "coupang_trial": "coupang_tags", "regular": "regular_tags"}
-    counts = tag_counts(reviews)
-    totals = counts.groupBy("job_id", "keyword").agg(
-        *[F.sum(f"`{c}`").alias(f"_{c}") for c in S.COHORTS]
-    )
-    top = _first_k(totals.withColumnRenamed("_all", "total"), k)
-    per_keyword = (
-        counts.join(top, ["job_id", "keyword"])
-        .groupBy("job_id", "keyword", "keyword_rank")
-        .agg(
-            *[
-                _drop_order(
-                    _tag_list(
-                        F.col(f"`{c}`"),
-                        F.col("total") if c == "all" else F.col(f"_{c}"),
-                        F.col("tag"),
-                        sc.share_pct,
-                    )
-                ).alias(name)
-                for c, name in names.items()
-            ]
-        )
-    )
-    return (
-        per_keyword.groupBy("job_id")
-        .agg(F.sort_array(F.collect_list(F.struct("keyword_rank", "keyword", *names.values()))).alias("_k"))
-        .select(
-            "job_id",
-            F.transform(
-                "_k", lambda e: F.struct(e["keyword"], *[e[name].alias(name) for name in names.values()])
-            ).alias("keyword_analysis"),
-        )
-    )

@@ -22,35 +22,35 @@ from tallyloom import schema as S
 from tallyloom.functions import scalars as sc
 
 
-def published_cohorts() -> dict[str, Column]:
-    trial = F.col("trial")
-    return {"all": F.lit(True), "coupang_trial": trial, "regular": ~trial}
-
-
-def typed_cohorts() -> dict[str, Column]:
-    trial, empty = F.col("trial"), F.col("empty")
-    return {
-        "all": F.lit(True),
-        "coupang_trial": ~empty & trial,
-        "regular": ~empty & ~trial,
-        "empty_review": empty,
-    }
+# Predicates on the flags of a review, as SQL.
+PUBLISHED = {"all": "true", "coupang_trial": "trial", "regular": "NOT trial"}
+TYPED = {
+    "all": "true",
+    "coupang_trial": "NOT empty AND trial",
+    "regular": "NOT empty AND NOT trial",
+    "empty_review": "empty",
+}
 
 
 def cohorts(reviews: DataFrame) -> DataFrame:
     """Long form: one row per review and typed cohort it belongs to."""
-    tags = F.array_compact(F.array(*(F.when(test, F.lit(name)) for name, test in typed_cohorts().items())))
+    tags = F.array_compact(F.array(*(F.expr(f"CASE WHEN {test} THEN '{name}' END") for name, test in TYPED.items())))
     return reviews.withColumn("cohort", F.explode(tags))
 
 
-def _count_of(test: Column) -> Column:
+def _count_of(test: str, name: str) -> Column:
     """Reviews in the cells that pass the test."""
-    return F.coalesce(F.sum(F.when(test, F.col("_n"))), F.lit(0))
+    return F.expr(f"coalesce(sum(CASE WHEN {test} THEN _n END), 0)").alias(name)
+
+
+def _mean(total: str, n: str, test: str, name: str) -> Column:
+    case = lambda value: f"sum(CASE WHEN {test} THEN {value} END)"
+    return F.expr(sc.mean_or_zero_sql(case(total), case(n))).alias(name)
 
 
-def _histogram(groups: Mapping[str, Column], prefix: str = "stars") -> list[Column]:
+def _histogram(groups: Mapping[str, str], prefix: str = "stars") -> list[Column]:
     return [
-        _count_of(test & (F.col("_bucket") == star)).alias(f"{prefix}_{name}_{star}")
+        _count_of(f"({test}) AND _bucket = {star}", f"{prefix}_{name}_{star}")
         for name, test in groups.items()
         for star in S.STARS
     ]
@@ -61,18 +61,12 @@ def histogram_names(groups, prefix: str = "stars") -> list[str]:
 
 
 def _unpivot_histogram(wide: DataFrame, groups, prefix: str = "stars") -> DataFrame:
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("cohort"),
-                F.lit(star).alias("stars"),
-                F.col(f"{prefix}_{name}_{star}").alias("n"),
-            )
-            for name in groups
-            for star in S.STARS
-        ]
+    cells = ", ".join(
+        f"named_struct('cohort', '{name}', 'stars', {star}, 'n', {prefix}_{name}_{star})"
+        for name in groups
+        for star in S.STARS
     )
-    return wide.select("job_id", F.inline(cells))
+    return wide.select("job_id", F.expr(f"inline(array({cells}))"))
 
 
 def _cells(reviews: DataFrame, *by: str) -> DataFrame:
@@ -94,22 +88,16 @@ def transform_profile(reviews: DataFrame, histogram: bool = True) -> DataFrame:
     """Published profile per job. ``avg_rating_excluding_empty`` repeats
     ``avg_rating`` wherever the job has a valid review; ``transform_stats``
     holds the mean that really leaves empty reviews out."""
-    groups = published_cohorts()
-    bucket, n = F.col("_bucket"), F.col("_n")
-
-    def mean(test: Column) -> Column:
-        starred = test & bucket.isNotNull()
-        return sc.mean_or_zero(F.sum(F.when(starred, bucket * n)), F.sum(F.when(starred, n)))
-
+    starred = lambda test: f"({test}) AND _bucket IS NOT NULL"
     profile = _cells(reviews).groupBy("job_id").agg(
         F.sum("_n").alias("total_reviews"),
-        _count_of(F.col("valid")).alias("valid_reviews"),
-        _count_of(F.col("empty")).alias("empty_reviews"),
-        _count_of(F.col("trial")).alias("trial_reviews"),
-        mean(groups["all"]).alias("avg_rating"),
-        mean(groups["coupang_trial"]).alias("avg_rating_trial"),
-        mean(groups["regular"]).alias("avg_rating_regular"),
-        *(_histogram(groups) if histogram else ()),
+        _count_of("valid", "valid_reviews"),
+        _count_of("empty", "empty_reviews"),
+        _count_of("trial", "trial_reviews"),
+        _mean("_bucket * _n", "_n", starred("true"), "avg_rating"),
+        _mean("_bucket * _n", "_n", starred("trial"), "avg_rating_trial"),
+        _mean("_bucket * _n", "_n", starred("NOT trial"), "avg_rating_regular"),
+        *(_histogram(PUBLISHED) if histogram else ()),
     )
     return profile.withColumn(
         "avg_rating_excluding_empty",
@@ -119,7 +107,7 @@ def transform_profile(reviews: DataFrame, histogram: bool = True) -> DataFrame:
 
 def rating_distribution(reviews: DataFrame) -> DataFrame:
     """Rows (job, cohort, stars, n), published cohorts, zero counts included."""
-    wide = _cells(reviews).groupBy("job_id").agg(*_histogram(published_cohorts()))
+    wide = _cells(reviews).groupBy("job_id").agg(*_histogram(PUBLISHED))
     return _unpivot_histogram(wide, S.COHORTS)
 
 
@@ -132,34 +120,28 @@ def _typed(reviews: DataFrame) -> DataFrame:
     )
 
 
-def _counted_cohorts() -> dict[str, Column]:
-    return {name: F.col("_counted") & test for name, test in typed_cohorts().items()}
+_COUNTED = {name: f"_counted AND ({test})" for name, test in TYPED.items()}
 
 
 def transform_stats(reviews: DataFrame, *by: str, histogram: bool = True) -> DataFrame:
     """Typed statistics per job, or per job and the extra columns ``by``."""
-    counted, trial, empty = F.col("_counted"), F.col("trial"), F.col("empty")
-
-    def mean(test: Column) -> Column:
-        total = F.sum(F.when(counted & test, F.col("_sum")))
-        return sc.mean_or_zero(total, F.sum(F.when(counted & test, F.col("_n"))))
-
+    mean = lambda test, name: _mean("_sum", "_n", f"_counted AND ({test})", name)
     return _cells(_typed(reviews), *by).groupBy("job_id", *by).agg(
-        _count_of(counted).alias("total_reviews"),
-        _count_of(counted & F.col("valid")).alias("valid_reviews"),
-        _count_of(counted & empty).alias("empty_reviews"),
-        _count_of(counted & trial).alias("trial_reviews"),
-        mean(F.lit(True)).alias("avg_rating"),
-        mean(~empty).alias("avg_rating_excluding_empty"),
-        mean(trial).alias("avg_rating_trial"),
-        mean(~trial).alias("avg_rating_regular"),
-        *(_histogram(_counted_cohorts()) if histogram else ()),
+        _count_of("_counted", "total_reviews"),
+        _count_of("_counted AND valid", "valid_reviews"),
+        _count_of("_counted AND empty", "empty_reviews"),
+        _count_of("_counted AND trial", "trial_reviews"),
+        mean("true", "avg_rating"),
+        mean("NOT empty", "avg_rating_excluding_empty"),
+        mean("trial", "avg_rating_trial"),
+        mean("NOT trial", "avg_rating_regular"),
+        *(_histogram(_COUNTED) if histogram else ()),
     )
 
 
 def rating_distribution_4(reviews: DataFrame) -> DataFrame:
     """Rows (job, cohort, stars, n), typed cohorts, zero counts included."""
-    wide = _cells(_typed(reviews)).groupBy("job_id").agg(*_histogram(_counted_cohorts()))
+    wide = _cells(_typed(reviews)).groupBy("job_id").agg(*_histogram(_COUNTED))
     return _unpivot_histogram(wide, S.COHORTS_WITH_EMPTY)
 
 

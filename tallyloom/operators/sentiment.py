@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyloom import schema as S
 from tallyloom.functions import scalars as sc
-from tallyloom.operators.ratings import published_cohorts
+from tallyloom.operators.ratings import PUBLISHED
 
 LABELS = {"positive": S.POSITIVE, "negative": S.NEGATIVE, "neutral": S.NEUTRAL}
 
@@ -22,12 +22,11 @@ def _profile(results: DataFrame, label: Column, share) -> DataFrame:
         cells = rows.withColumn("_n", F.lit(1).cast("bigint"))
     else:
         cells = rows.groupBy("job_id", "_label", "trial").agg(F.count(F.lit(1)).alias("_n"))
-    n = F.col("_n")
     counts = cells.groupBy("job_id").agg(
-        F.sum(n).alias("total_analyzed"),
+        F.sum("_n").alias("total_analyzed"),
         *[
-            F.coalesce(F.sum(F.when(test & (F.col("_label") == name), n)), F.lit(0)).alias(f"{cohort}_{name}")
-            for cohort, test in published_cohorts().items()
+            F.expr(f"coalesce(sum(CASE WHEN {test} AND _label = '{name}' THEN _n END), 0)").alias(f"{cohort}_{name}")
+            for cohort, test in PUBLISHED.items()
             for name in LABELS
         ],
     )
@@ -42,21 +41,22 @@ def label_name(sentiment: Column, otherwise: str | None = None) -> Column:
     return chosen.otherwise(F.lit(otherwise))
 
 
-def with_shares(counts: DataFrame, share=sc.pct) -> DataFrame:
+def with_shares(counts: DataFrame, share=sc.pct_sql) -> DataFrame:
     """Adds each label's share of the labels counted in its cohort."""
-    columns = {}
-    for cohort in S.COHORTS:
-        total = F.col(f"{cohort}_positive") + F.col(f"{cohort}_negative") + F.col(f"{cohort}_neutral")
-        for name in LABELS:
-            columns[f"{cohort}_{name}_pct"] = share(F.col(f"{cohort}_{name}"), total)
-    return counts.withColumns(columns)
+    columns = [
+        f"{share(f'{cohort}_{name}', f'({cohort}_positive + {cohort}_negative + {cohort}_neutral)')}"
+        f" AS {cohort}_{name}_pct"
+        for cohort in S.COHORTS
+        for name in LABELS
+    ]
+    return counts.selectExpr("*", *columns)
 
 
 def sentiment_profile(results: DataFrame) -> DataFrame:
     """Published: other or missing sentiments count as analysed only."""
-    return _profile(results, label_name(F.col("sentiment")), sc.pct)
+    return _profile(results, label_name(F.col("sentiment")), sc.pct_sql)
 
 
 def sentiment_stats(results: DataFrame) -> DataFrame:
     """Typed: everything that is neither positive nor negative is neutral."""
-    return _profile(results, label_name(F.col("sentiment"), "neutral"), sc.share_pct)
+    return _profile(results, label_name(F.col("sentiment"), "neutral"), sc.share_pct_sql)

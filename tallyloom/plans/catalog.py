@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyloom import schema as S
 from tallyloom.functions import codec
 from tallyloom.functions import scalars as sc
+from tallyloom.operators import cells as cl
 from tallyloom.operators import control as ct
 from tallyloom.operators import documents as doc
 from tallyloom.operators import keywords as kw
@@ -369,15 +370,13 @@ def _(spark, sf):
     return _combined(spark, sf)
 
 
+def _cells(spark, sf):
+    return cl.job_cells(_reviews(spark, sf, "keywords"), _analyses(spark, sf))
+
+
 @query("job_document")
 def _(spark, sf):
-    rows = _reviews(spark, sf, "keywords")
-    documents = doc.job_document(
-        ratings.transform_profile(rows),
-        kw.keyword_items(rows),
-        sn.sentiment_profile(_analyses(spark, sf)),
-        sc.kst_iso(as_of()),
-    )
+    documents = doc.job_document(_cells(spark, sf), sc.kst_iso(as_of()))
     # read back what a consumer of the document would see
     layout = f"""
       timestamp string,
@@ -412,7 +411,7 @@ def _(spark, sf):
 
 @query("job_document_spec")
 def _(spark, sf):
-    documents = doc.job_document_spec(_reviews(spark, sf, "keywords"), _analyses(spark, sf))
+    documents = doc.job_document_spec(_cells(spark, sf))
     tag = "array<struct<tag string, count bigint, percentage double>>"
     layout = f"""
       transform_stats struct<avg_rating_excluding_empty double,

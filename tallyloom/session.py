@@ -17,6 +17,8 @@ RECOMMENDED = {
     # HotSpot leaves larger methods to the interpreter; better no whole-stage
     # code for a wide projection than code that is never compiled.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # no call-site capture for every column expression
+    "spark.sql.dataFrameQueryContext.enabled": "false",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
