@@ -33,10 +33,12 @@ def parse_transform(
     and the pass-through fields named in ``carry``.
 
     ``on_error='quarantine'`` leaves unreadable messages out (``quarantine``
-    returns them); ``'row'`` turns each into a review of job ``error``.
+    returns them); ``'row'`` turns each into a review of job ``error``;
+    ``'mark'`` keeps them with their text in the column ``unreadable``, null
+    for good messages, so one pass can store both.
     """
-    if on_error not in ("quarantine", "row"):
-        raise ValueError(f"on_error must be 'quarantine' or 'row', not {on_error!r}")
+    if on_error not in ("quarantine", "row", "mark"):
+        raise ValueError(f"on_error must be 'quarantine', 'row' or 'mark', not {on_error!r}")
     unknown = set(carry) - set(S.PASS_THROUGH)
     if unknown:
         raise ValueError(f"not fields of a transform message: {sorted(unknown)}")
@@ -51,11 +53,13 @@ def parse_transform(
         job = F.when(readable, sc.job_id_or_unknown(m("job_id"))).otherwise(F.lit(S.ERROR_JOB))
         review = F.when(readable, m("review_id")).otherwise(F.lit(S.ERROR_JOB))
     else:
-        parsed = parsed.filter(readable)
+        if on_error == "quarantine":
+            parsed = parsed.filter(readable)
         job, review = sc.job_id_or_unknown(m("job_id")), m("review_id")
     # a missing review id is the empty id, which joins and counts like any other
     review = F.coalesce(review, F.lit(""))
 
+    unreadable = F.when(~readable, F.coalesce(m(codec.CORRUPT), F.lit("")))
     kept = [F.col(c) for c in messages.columns if c != value]
     return parsed.select(
         *kept,
@@ -67,6 +71,7 @@ def parse_transform(
         sc.flag_is_one(m("is_empty_review")).alias("empty"),
         sc.flag_is_one(m("is_coupang_trial")).alias("trial"),
         *(_carried(m(name), name).alias(name) for name in carry),
+        *([unreadable.alias("unreadable")] if on_error == "mark" else []),
     )
 
 

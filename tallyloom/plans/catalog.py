@@ -376,8 +376,11 @@ def _cells(spark, sf):
 
 @query("job_document")
 def _(spark, sf):
-    documents = doc.job_document(_cells(spark, sf), sc.kst_iso(as_of()))
-    # read back what a consumer of the document would see
+    return _read_document(doc.job_document(_cells(spark, sf), sc.kst_iso(as_of())))
+
+
+def _read_document(documents: DataFrame) -> DataFrame:
+    """What a consumer of the published documents reads from them."""
     layout = f"""
       timestamp string,
       transform_stats struct<total_reviews bigint, avg_rating double, coupang_trial_reviews bigint>,
@@ -632,3 +635,13 @@ def _(spark, sf):
 @query("stream_job_timeouts")
 def _(spark, sf):
     return _emitted(spark, sf, as_of()).filter("status = 'failed'")
+
+
+@query("stream_job_document")
+def _(spark, sf):
+    work = work_dir(spark, "documents")
+    rows = parse.parse_transform(fx.transform_messages(spark, sf, streaming=True), ("keywords",))
+    results = parse.flatten_analysis(fx.analysis_messages(spark, sf, streaming=True))
+    sinks.run_available(sinks.changelog(cl.job_cells(rows, results), f"{work}/cells", f"{work}/checkpoint"))
+    cells = sinks.read_latest(spark, f"{work}/cells", cl.KEYS)
+    return _read_document(doc.job_document(cells, sc.kst_iso(as_of())))

@@ -525,3 +525,4 @@ SQL["stream_distinct_counts"] = with_tables("SELECT job_id, n FROM tc", REVIEWS,
 SQL["stream_combined"] = SQL["combined_job_stats"]
 SQL["stream_emit_done"] = with_tables(events_sql(None), *LEDGER_TABLES)
 SQL["stream_job_timeouts"] = SQL["job_timeouts"]
+SQL["stream_job_document"] = SQL["job_document"]
