@@ -414,7 +414,10 @@ def _read_document(documents: DataFrame) -> DataFrame:
 
 @query("job_document_spec")
 def _(spark, sf):
-    documents = doc.job_document_spec(_cells(spark, sf))
+    # two branches read the cells, so they are stored once
+    stored = f"{work_dir(spark, 'cells')}/cells"
+    _cells(spark, sf).write.parquet(stored)
+    documents = doc.job_document_spec(spark.read.parquet(stored))
     tag = "array<struct<tag string, count bigint, percentage double>>"
     layout = f"""
       transform_stats struct<avg_rating_excluding_empty double,
