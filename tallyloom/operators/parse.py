@@ -19,18 +19,32 @@ from tallyloom.functions import scalars as sc
 _AS_VARIANT = {*S.FLAG_FIELDS, *S.RATING_FIELDS, "keywords", "invalid_reason"}
 
 
+# What a review is judged by, and the message fields each figure needs.
+_FIGURES = {
+    "rating": S.RATING_FIELDS,
+    "own_rating": ("rating",),
+    "valid": ("is_valid",),
+    "empty": ("is_empty_review",),
+    "trial": ("is_coupang_trial",),
+}
+FIGURES = tuple(_FIGURES)
+
+
 def parse_transform(
     messages: DataFrame,
     carry: Sequence[str] = (),
     on_error: str = "quarantine",
     value: str = "value",
+    figures: Sequence[str] = FIGURES,
 ) -> DataFrame:
     """Typed reviews from transform messages.
 
     Keeps every column of ``messages`` but the JSON text and adds ``job_id``,
     ``review_id``, ``rating`` (first of the three rating fields), ``own_rating``
     (the field ``rating`` alone), the booleans ``valid``, ``empty``, ``trial``
-    and the pass-through fields named in ``carry``.
+    and the pass-through fields named in ``carry``. Counts and joins that need
+    none or few of the five figures name those in ``figures``; the JSON reader
+    skips the fields behind the others.
 
     ``on_error='quarantine'`` leaves unreadable messages out (``quarantine``
     returns them); ``'row'`` turns each into a review of job ``error``;
@@ -43,7 +57,7 @@ def parse_transform(
     if unknown:
         raise ValueError(f"not fields of a transform message: {sorted(unknown)}")
     fields = {"job_id": "string", "review_id": "string"}
-    for name in (*S.RATING_FIELDS, *S.FLAG_FIELDS, *carry):
+    for name in (*[f for figure in figures for f in _FIGURES[figure]], *carry):
         fields[name] = "variant" if name in _AS_VARIANT else "string"
     parsed = codec.parse_once(messages, value, fields)
     readable = codec.is_readable(F.col("_m"))
@@ -59,17 +73,20 @@ def parse_transform(
     # a missing review id is the empty id, which joins and counts like any other
     review = F.coalesce(review, F.lit(""))
 
+    figure = {
+        "rating": lambda: sc.rating_coalesce(*(m(name) for name in S.RATING_FIELDS)),
+        "own_rating": lambda: sc.number_or_zero(m("rating")),
+        "valid": lambda: sc.flag_or(m("is_valid"), True),
+        "empty": lambda: sc.flag_is_one(m("is_empty_review")),
+        "trial": lambda: sc.flag_is_one(m("is_coupang_trial")),
+    }
     unreadable = F.when(~readable, F.coalesce(m(codec.CORRUPT), F.lit("")))
     kept = [F.col(c) for c in messages.columns if c != value]
     return parsed.select(
         *kept,
         job.alias("job_id"),
         review.alias("review_id"),
-        sc.rating_coalesce(*(m(name) for name in S.RATING_FIELDS)).alias("rating"),
-        sc.number_or_zero(m("rating")).alias("own_rating"),
-        sc.flag_or(m("is_valid"), True).alias("valid"),
-        sc.flag_is_one(m("is_empty_review")).alias("empty"),
-        sc.flag_is_one(m("is_coupang_trial")).alias("trial"),
+        *(figure[name]().alias(name) for name in figures),
         *(_carried(m(name), name).alias(name) for name in carry),
         *([unreadable.alias("unreadable")] if on_error == "mark" else []),
     )

@@ -63,15 +63,24 @@ def join_reviews(
     )
 
 
+def _slice_start(micros: Column, slice_seconds: int) -> Column:
+    """Whole-number arithmetic: exact for any time, also before 1970."""
+    return micros - F.pmod(micros, F.lit(slice_seconds * _MICROS))
+
+
 def slice_of(ts: Column, slice_seconds: int) -> Column:
-    return F.floor(F.unix_micros(ts) / F.lit(slice_seconds * _MICROS))
+    """The slice a time lies in, named by its start in microseconds."""
+    return _slice_start(F.unix_micros(ts), slice_seconds)
 
 
 def slices_within(ts: Column, within_seconds: int, slice_seconds: int) -> Column:
     """All slices that the interval ``ts`` +- ``within_seconds`` touches."""
     micros, reach = F.unix_micros(ts), F.lit(within_seconds * _MICROS)
-    width = F.lit(slice_seconds * _MICROS)
-    return F.sequence(F.floor((micros - reach) / width), F.floor((micros + reach) / width))
+    return F.sequence(
+        _slice_start(micros - reach, slice_seconds),
+        _slice_start(micros + reach, slice_seconds),
+        F.lit(slice_seconds * _MICROS).cast("bigint"),
+    )
 
 
 def joined_rows(joined: DataFrame) -> DataFrame:
@@ -123,7 +132,6 @@ def match_counts(
     ``negative``, ``neutral`` and ``lag_micros`` (analysis time less review
     time, summed over the matches).
     """
-    width = slice_seconds * _MICROS
     zero = F.lit(0).cast("bigint")
     micros = F.unix_micros(F.col(ts))
     left = transform.select(
@@ -157,7 +165,7 @@ def match_counts(
                 for i, label in enumerate(S.SENTIMENTS)
             ],
         )
-        .withColumn("_off", F.col("_n") * (F.col("_at") - F.col("_slice") * F.lit(width)))
+        .withColumn("_off", F.col("_n") * (F.col("_at") - F.col("_slice")))
     )
     reach = within_seconds * _MICROS
     ordered = W.partitionBy("job_id", "review_id", "_slice").orderBy("_at")
@@ -185,7 +193,7 @@ def match_counts(
         .withColumn(
             # distance in time of all matches, analysis minus review
             "lag_micros",
-            F.col("_offsets") - F.col("matches") * (F.col("_at") - F.col("_slice") * F.lit(width)),
+            F.col("_offsets") - F.col("matches") * (F.col("_at") - F.col("_slice")),
         )
         .drop("_offsets", "_slice", "_at")
     )

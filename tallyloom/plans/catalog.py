@@ -47,8 +47,13 @@ def as_of() -> Column:
     return F.lit(AS_OF).cast("timestamp")
 
 
-def _reviews(spark, sf, *carry: str) -> DataFrame:
-    return parse.parse_transform(fx.transform_messages(spark, sf), carry)
+def _reviews(spark, sf, *carry: str, figures=parse.FIGURES) -> DataFrame:
+    return parse.parse_transform(fx.transform_messages(spark, sf), carry, figures=figures)
+
+
+def _ids(spark, sf) -> DataFrame:
+    """Reviews for counting: ids and times, nothing else parsed."""
+    return _reviews(spark, sf, figures=())
 
 
 def _analyses(spark, sf) -> DataFrame:
@@ -70,7 +75,7 @@ def _collections(spark, sf) -> DataFrame:
 def _ledger(spark, sf) -> DataFrame:
     return ct.ledger(
         ct.expected_counts(_collections(spark, sf)),
-        ct.distinct_counts(_reviews(spark, sf)),
+        ct.distinct_counts(_ids(spark, sf)),
         ct.distinct_counts(_analyses(spark, sf)),
     )
 
@@ -165,7 +170,7 @@ def _(spark, sf):
 
 @query("explode_keywords")
 def _(spark, sf):
-    rows = kw.explode_keywords(_reviews(spark, sf, "keywords"))
+    rows = kw.explode_keywords(_reviews(spark, sf, "keywords", figures=()))
     return rows.groupBy("job_id", "keyword", "tag").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -269,7 +274,8 @@ def _(spark, sf):
 
 
 def _joined(spark, sf, *carry):
-    return reviews.join_reviews(_reviews(spark, sf, *carry), _analyses(spark, sf))
+    rows = _reviews(spark, sf, *carry, figures=("rating",))
+    return reviews.join_reviews(rows, _analyses(spark, sf))
 
 
 _JOIN_COLUMNS = (
@@ -292,7 +298,7 @@ def _(spark, sf):
 
 @query("joined_job_stats")
 def _(spark, sf):
-    return doc.joined_job_stats(_reviews(spark, sf), _analyses(spark, sf))
+    return doc.joined_job_stats(_reviews(spark, sf, figures=("rating",)), _analyses(spark, sf))
 
 
 # --- profiles
@@ -347,17 +353,17 @@ def _(spark, sf):
 
 @query("keyword_items")
 def _(spark, sf):
-    return kw.keyword_items(_reviews(spark, sf, "keywords"))
+    return kw.keyword_items(_reviews(spark, sf, "keywords", figures=()))
 
 
 @query("keyword_tags")
 def _(spark, sf):
-    return kw.keyword_tags(_reviews(spark, sf, "keywords"))
+    return kw.keyword_tags(_reviews(spark, sf, "keywords", figures=("empty", "trial")))
 
 
 @query("top_keywords")
 def _(spark, sf):
-    return kw.top_keywords(_reviews(spark, sf, "keywords"))
+    return kw.top_keywords(_reviews(spark, sf, "keywords", figures=("empty",)))
 
 
 def _combined(spark, sf):
@@ -479,7 +485,7 @@ def _(spark, sf):
 
 @query("distinct_counts")
 def _(spark, sf):
-    return ct.distinct_counts(_lines(spark, sf))
+    return ct.distinct_counts(parse.parse_transform(fx.lineitem_messages(spark, sf), figures=()))
 
 
 @query("array_counts")
@@ -489,24 +495,24 @@ def _(spark, sf):
 
 @query("hourly_counts")
 def _(spark, sf):
-    return ct.hourly_counts(_reviews(spark, sf))
+    return ct.hourly_counts(_ids(spark, sf))
 
 
 @query("closed_windows")
 def _(spark, sf):
-    return ct.closed_windows(ct.hourly_counts(_reviews(spark, sf)), as_of())
+    return ct.closed_windows(ct.hourly_counts(_ids(spark, sf)), as_of())
 
 
 @query("counts_at_collection")
 def _(spark, sf):
     return ct.counts_at_collection(
-        _collections(spark, sf), ct.hourly_counts(_reviews(spark, sf)), ct.hourly_counts(_analyses(spark, sf))
+        _collections(spark, sf), ct.hourly_counts(_ids(spark, sf)), ct.hourly_counts(_analyses(spark, sf))
     )
 
 
 @query("transform_complete")
 def _(spark, sf):
-    return ct.step_complete(ct.distinct_counts(_reviews(spark, sf)), ct.expected_counts(_collections(spark, sf)))
+    return ct.step_complete(ct.distinct_counts(_ids(spark, sf)), ct.expected_counts(_collections(spark, sf)))
 
 
 @query("analysis_complete")
@@ -516,7 +522,7 @@ def _(spark, sf):
 
 @query("min_counts")
 def _(spark, sf):
-    return ct.min_counts(ct.distinct_counts(_reviews(spark, sf)), ct.distinct_counts(_analyses(spark, sf)))
+    return ct.min_counts(ct.distinct_counts(_ids(spark, sf)), ct.distinct_counts(_analyses(spark, sf)))
 
 
 @query("ledger")
@@ -564,7 +570,7 @@ def _(spark, sf):
 
 @query("ops_metrics")
 def _(spark, sf):
-    return mx.ops_metrics(_reviews(spark, sf))
+    return mx.ops_metrics(_ids(spark, sf))
 
 
 @query("match_rate")
@@ -574,7 +580,7 @@ def _(spark, sf):
 
 @query("join_drop_rate")
 def _(spark, sf):
-    return mx.join_drop_rate(_reviews(spark, sf), _analyses(spark, sf))
+    return mx.join_drop_rate(_reviews(spark, sf, figures=("rating",)), _analyses(spark, sf))
 
 
 # --- the operators on streams: run to the end of the input, then read the sink
@@ -582,7 +588,9 @@ def _(spark, sf):
 
 def _stream(spark, sf):
     return (
-        parse.parse_transform(fx.transform_messages(spark, sf, streaming=True), ("title",)),
+        parse.parse_transform(
+            fx.transform_messages(spark, sf, streaming=True), ("title",), figures=("rating",)
+        ),
         parse.flatten_analysis(fx.analysis_messages(spark, sf, streaming=True)),
     )
 

@@ -90,20 +90,21 @@ def start_streams(
     the arguments of ``DataStreamWriter.trigger``; default is to process what
     is there and stop.
     """
-    def transform(*carry: str) -> DataFrame:
-        return parse.parse_transform(read_messages(spark, inputs.transform, streaming=True), carry)
+    def transform(*carry: str, figures=()) -> DataFrame:
+        messages = read_messages(spark, inputs.transform, streaming=True)
+        return parse.parse_transform(messages, carry, figures=figures)
 
     def analysis() -> DataFrame:
         return parse.flatten_analysis(read_messages(spark, inputs.analysis, streaming=True))
 
     control = parse.parse_control(read_messages(spark, inputs.control, streaming=True), key="key")
-    joined = reviews.joined_rows(flows.join_reviews(transform(*S.PASS_THROUGH), analysis(), delay))
+    joined = reviews.joined_rows(flows.join_reviews(transform(*S.PASS_THROUGH, figures=("rating",)), analysis(), delay))
     hours = flows.hourly_counts(transform())
     writers = {
         "rows": sinks.append(joined, out.rows, f"{out.checkpoints}/rows"),
         "hours": sinks.append(hours, out.hours, f"{out.checkpoints}/hours"),
         "cells": sinks.changelog(
-            cl.job_cells(transform("keywords"), analysis()), out.cells, f"{out.checkpoints}/cells"
+            cl.job_cells(transform("keywords", figures=parse.FIGURES), analysis()), out.cells, f"{out.checkpoints}/cells"
         ),
         "events": flows.emit_events(
             spark,
