@@ -44,6 +44,11 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
 
+def read_batch(spark: SparkSession, path: str, batch_id: int, layout: str) -> DataFrame:
+    """What one micro-batch wrote."""
+    return spark.read.schema(layout).parquet(f"{path}/{BATCH}={batch_id}")
+
+
 def changelog(df: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
     return updates(df, checkpoint, lambda batch, batch_id: write_batch(batch, path, batch_id))
 

@@ -106,25 +106,34 @@ def emit_events(
 ) -> DataStreamWriter:
     """Writes each control event once, however often its job is updated.
 
-    Per micro-batch: store the updated ledger rows, derive their events, leave
-    out those an earlier batch has written. With ``as_of`` all open jobs of the
-    stored ledger are checked for their timeout as well. A repeated batch sees
-    only the batches before it, so it writes the same events again.
+    Per micro-batch: store the updated ledger rows, lay them over the jobs the
+    batch before left open, derive the events and leave out those written
+    earlier. With ``as_of`` open jobs are checked for their timeout as well.
+    What stays open (neither aggregated nor reported overdue) is handed on, so
+    a batch costs its updates and the open jobs, not the history. A repeated
+    batch sees only the batches before it and writes the same again.
     """
+    updates, still_open = f"{ledger_path}/updates", f"{ledger_path}/open"
     sinks.write_batch(spark.createDataFrame([], EVENT_LAYOUT), events_path, -1)
+    sinks.write_batch(spark.createDataFrame([], LEDGER_LAYOUT), still_open, -1)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        sinks.write_batch(ct.with_done_flags(batch), ledger_path, batch_id)
-        stored = sinks.read_changelog(session, ledger_path, LEDGER_LAYOUT).filter(F.col(sinks.BATCH) <= batch_id)
-        events = ct.control_events(stored.filter(F.col(sinks.BATCH) == batch_id))
-        if as_of is not None:
-            current = reviews.latest_by_key(stored, ["job_id"], [sinks.BATCH])
-            events = events.unionByName(ct.job_timeouts(current, as_of, timeout_minutes))
+        sinks.write_batch(ct.with_done_flags(batch), updates, batch_id)
+        updated = sinks.read_batch(session, updates, batch_id, LEDGER_LAYOUT)
+        before = sinks.read_batch(session, still_open, batch_id - 1, LEDGER_LAYOUT)
+        current = updated.unionByName(before.join(updated.select("job_id"), "job_id", "left_anti"))
+
+        events = ct.control_events(current, as_of, timeout_minutes)
         sent = sinks.read_changelog(session, events_path, EVENT_LAYOUT).filter(F.col(sinks.BATCH) < batch_id)
         fresh = events.join(sent.select("event_key"), "event_key", "left_anti")
         sinks.write_batch(fresh, events_path, batch_id)
 
+        waiting = current.filter("NOT aggregation_done")
+        if as_of is not None:
+            waiting = waiting.filter(~ct.is_overdue(as_of, timeout_minutes))
+        sinks.write_batch(waiting, still_open, batch_id)
+
     return sinks.updates(ledger_updates, checkpoint, handle)
 
 
