@@ -47,7 +47,7 @@ def run_batch(spark: SparkSession, inputs: Inputs, out: Outputs, as_of: Column |
     """Writes ``rows``, ``documents``, ``documents_spec``, ``events`` and the
     unreadable messages under ``quarantine``. ``as_of`` is the time written
     into documents and the one timeouts are judged by; default now."""
-    now = as_of if as_of is not None else F.current_timestamp()
+    now = flows.pinned(spark, as_of if as_of is not None else F.current_timestamp())
     transform = _store(
         parse.parse_transform(read_messages(spark, inputs.transform), S.PASS_THROUGH, on_error="mark"),
         out.reviews,

@@ -124,19 +124,26 @@ def emit_events(
         before = sinks.read_batch(session, still_open, batch_id - 1, LEDGER_LAYOUT)
         current = updated.unionByName(before.join(updated.select("job_id"), "job_id", "left_anti"))
 
-        events = ct.control_events(current, as_of, timeout_minutes)
+        now = None if as_of is None else pinned(session, as_of)
+        events = ct.control_events(current, now, timeout_minutes)
         sent = sinks.read_changelog(session, events_path, EVENT_LAYOUT).filter(F.col(sinks.BATCH) < batch_id)
         fresh = events.join(sent.select("event_key"), "event_key", "left_anti")
         sinks.write_batch(fresh, events_path, batch_id)
 
         waiting = current.filter("NOT aggregation_done")
-        if as_of is not None:
-            waiting = waiting.filter(~ct.is_overdue(as_of, timeout_minutes))
+        if now is not None:
+            waiting = waiting.filter(~ct.is_overdue(now, timeout_minutes))
         sinks.write_batch(waiting, still_open, batch_id)
 
     return sinks.updates(ledger_updates, checkpoint, handle)
 
 
+def pinned(spark: SparkSession, time: Column) -> Column:
+    """The time's value now, so that several queries judge by the same moment."""
+    micros = spark.range(1).select(F.unix_micros(time)).first()[0]
+    return F.timestamp_micros(F.lit(micros))
+
+
 def read_events(spark: SparkSession, events_path: str) -> DataFrame:
     return sinks.read_changelog(spark, events_path, EVENT_LAYOUT).drop(sinks.BATCH)
 

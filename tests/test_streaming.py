@@ -137,6 +137,34 @@ def test_events_once(spark, streams, tmp_path):
     assert "j0|transform" in want and "j2|timeout" in want
 
 
+def test_overdue_job_is_told_in_a_later_batch(spark, tmp_path, monkeypatch):
+    """Nothing arrives for the open job after its first batch."""
+    work, clock = str(tmp_path), {"now": at(60)}
+    monkeypatch.setattr(flows, "pinned", lambda session, time: F.lit(clock["now"]))
+
+    def message(job, path, seconds):
+        body = json.dumps({"job_id": job, "step": "collection", "status": "done", "expected_count": 1})
+        write_split(spark, path, [(None, body, at(seconds))], 1, 0)
+
+    def feed():
+        source = Source(path=f"{work}/c")
+        control = readers.read_control(spark, source, streaming=True)
+        empty = Source(path=f"{work}/none")
+        updates = flows.ledger(readers.read_transform(spark, empty, (), True), readers.read_analysis(spark, empty, True), control)
+        sinks.run_available(
+            flows.emit_events(spark, updates, f"{work}/l", f"{work}/e", f"{work}/cp", F.current_timestamp()))
+        return sorted(r.event_key for r in flows.read_events(spark, f"{work}/e").collect())
+
+    spark.createDataFrame([], LAYOUT).write.parquet(f"{work}/none")
+    message("slow", f"{work}/c", 0)
+    assert feed() == []
+    clock["now"] = at(700)
+    message("new", f"{work}/c", 650)
+    assert feed() == ["slow|timeout"]
+    message("newer", f"{work}/c", 690)
+    assert feed() == ["slow|timeout"]
+
+
 def test_repeated_batch_changes_nothing(spark, tmp_path):
     """A micro-batch that runs again after a failure rewrites its own output."""
     df = spark.createDataFrame([("a", 1), ("b", 2)], "job_id string, n bigint")
