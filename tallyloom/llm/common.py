@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +39,17 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def find_package(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver has it.
+
+    Enough where the nodes see the same folder or have the package installed;
+    elsewhere it is shipped with the job as usual.
+    """
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(":"):
+        env["PYTHONPATH"] = ":".join(filter(None, [root, env.get("PYTHONPATH")]))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -62,7 +75,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     hi, lo = F.greatest(a, b), F.least(a, b)
     edges = saved(links.where(F.col(a) != F.col(b)).select(hi.alias("x"), lo.alias("y")).distinct())
     state = _state(edges)
-    while True:
+    while state[0]:
         both = edges.union(edges.select("y", "x"))
         least = both.groupBy("x").agg(F.least("x", F.min("y")).alias("m"))
         large = salted_join(both, least, "x", F.col("y")).where("y > x and y <> m").select(F.col("y").alias("x"), F.col("m").alias("y"))
