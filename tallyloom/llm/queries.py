@@ -5,8 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyloom.llm import sql
 from tallyloom.llm.common import find_package
 from tallyloom.llm.simhash import near_duplicates
+from tallyloom.llm.decontaminate import contaminated
 from tallyloom.llm.token_counts import count_tokens
 
 
@@ -23,10 +25,17 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op10_simhash": op10_simhash,
+    "op8_decontaminate": op8_decontaminate,
     "op9_token_counts": op9_token_counts,
 }
 
 #: DuckDB's SQL for the queries that SQL can express.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op8_decontaminate": sql.DECONTAMINATE,
+}
