@@ -9,6 +9,7 @@ from tallyloom.llm import sql
 from tallyloom.llm.common import find_package
 from tallyloom.llm.simhash import near_duplicates
 from tallyloom.llm.decontaminate import contaminated
+from tallyloom.llm.mixing import mix
 from tallyloom.llm.token_counts import count_tokens
 
 
@@ -29,9 +30,14 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES = {
     "op10_simhash": op10_simhash,
     "op8_decontaminate": op8_decontaminate,
+    "op5_mixing": op5_mixing,
     "op9_token_counts": op9_token_counts,
 }
 
