@@ -10,6 +10,7 @@ from tallyloom.llm.common import find_package
 from tallyloom.llm.simhash import near_duplicates
 from tallyloom.llm.decontaminate import contaminated
 from tallyloom.llm.mixing import mix
+from tallyloom.llm.quality import classify
 from tallyloom.llm.token_counts import count_tokens
 
 
@@ -34,10 +35,15 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op10_simhash": op10_simhash,
     "op8_decontaminate": op8_decontaminate,
     "op5_mixing": op5_mixing,
+    "op2_quality": op2_quality,
     "op9_token_counts": op9_token_counts,
 }
 
