@@ -7,7 +7,7 @@ each line, and the mean over lines, weighted by their length, is the quality of
 the document. A logistic curve turns it into a calibrated score.
 
 Only documents are labelled, so the field is trained twice: first each line has
-its document's label; then the lines of bad documents that the first field
+its document's label; then the lines of bad documents that the first field surely
 calls good become good, at least one staying bad.
 """
 
@@ -25,12 +25,13 @@ from pyspark.sql import functions as F
 #: The largest number of labelled documents, and of lines of each, that the field is trained on.
 SAMPLE, SAMPLE_LINES = 3_000, 300
 THRESHOLD = 0.3
-BINS = 10
+CUTS = np.array([0.01, 0.03, 0.1, 0.25, 0.5, 0.75, 0.85, 0.9, 0.95, 0.98, 0.99])
+BINS = len(CUTS) + 1
 
 _UPPER, _LOWER, _DIGITS = (x.encode() for x in (string.ascii_uppercase, string.ascii_lowercase, string.digits))
 _STOPS, _CALLS, _SPACE = b".,;:'\"()-", b"!?", b" \t\r\x0b\x0c"
 _SYMBOLS = bytes(b for b in range(33, 127) if b not in _UPPER + _LOWER + _DIGITS + _STOPS + _CALLS)
-FIGURES = 12
+FIGURES = 13
 
 
 def line_figures(line: str) -> tuple:
@@ -52,6 +53,7 @@ def line_figures(line: str) -> tuple:
         sum(map((3).__ge__, lengths)) / n,
         len(set(words)) / n,
         sum(map(str.isupper, words)) / n,
+        sum(map(str.__eq__, words, words[1:])) / n,
         float(raw[-1:] in (b".", b"!", b"?")),
     )
 
@@ -156,7 +158,7 @@ def _expected(odds: np.ndarray, lengths: np.ndarray, agree: float) -> tuple[np.n
     return good.T[real.T], equal
 
 
-def _train_once(bins, first, lengths, labels, rounds=80, rate=0.15, decay=1e-3):
+def _train_once(bins, first, lengths, labels, rounds=200, rate=0.15, decay=1e-3):
     """Maximum likelihood by Adam; returns tables, agreement, bias and the marginals."""
     n = len(bins)
     tables, extra = np.zeros((3, FIGURES, BINS)), np.zeros(2)
@@ -185,6 +187,12 @@ def _train_once(bins, first, lengths, labels, rounds=80, rate=0.15, decay=1e-3):
     return tables, float(extra[0]), float(extra[1]), good
 
 
+def _quantiles(values: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Edges of bins that hold shares of all characters, finer towards the ends."""
+    order = np.argsort(values, kind="stable")
+    return values[order][np.searchsorted(np.cumsum(weights[order]), CUTS * weights.sum()).clip(0, len(values) - 1)]
+
+
 def train(figures: list[np.ndarray], labels: list[int]) -> Field:
     """The field for documents given as arrays of line figures. Without both labels every score is the same."""
     kept = [(f, y) for f, y in zip(figures, labels) if len(f)]
@@ -198,15 +206,13 @@ def train(figures: list[np.ndarray], labels: list[int]) -> Field:
     owner = np.repeat(np.arange(len(kept)), lengths)
     truth = np.array([y for _, y in kept])
     first = np.diff(owner, prepend=-1) > 0
-    edges = np.quantile(stacked, np.linspace(0, 1, BINS + 1)[1:-1], axis=0).T
-    edges[:, 0] = np.minimum(edges[:, 0], edges[:, -1])
-    flat.edges = edges
+    flat.edges = edges = np.array([_quantiles(column, stacked[:, 0]) for column in stacked.T])
     bins = flat.binned(stacked)
     lines = truth[owner].astype(float)
     tables, agree, bias, good = _train_once(bins, first, lengths, lines)
     worst = np.full(len(kept), np.inf)
     np.minimum.at(worst, owner, good)
-    lines = np.where((truth[owner] == 0) & (good > 0.5) & (good > worst[owner]), 1.0, lines)
+    lines = np.where((truth[owner] == 0) & (good > 0.9) & (good > worst[owner]), 1.0, lines)
     tables, agree, bias, good = _train_once(bins, first, lengths, lines)
     mean = np.bincount(owner, good * stacked[:, 0]) / np.bincount(owner, stacked[:, 0])
     return Field(edges, tables, agree, bias, _curve(mean, truth))
