@@ -11,6 +11,7 @@ from tallyloom.llm.simhash import near_duplicates
 from tallyloom.llm.decontaminate import contaminated
 from tallyloom.llm.mixing import mix
 from tallyloom.llm.quality import classify
+from tallyloom.llm import toxicity
 from tallyloom.llm.token_counts import count_tokens
 
 
@@ -39,11 +40,16 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op10_simhash": op10_simhash,
     "op8_decontaminate": op8_decontaminate,
     "op5_mixing": op5_mixing,
     "op2_quality": op2_quality,
+    "op7_toxicity": op7_toxicity,
     "op9_token_counts": op9_token_counts,
 }
 
