@@ -12,6 +12,7 @@ from tallyloom.llm.decontaminate import contaminated
 from tallyloom.llm.mixing import mix
 from tallyloom.llm.quality import classify
 from tallyloom.llm import toxicity
+from tallyloom.llm import embeddings
 from tallyloom.llm.token_counts import count_tokens
 
 
@@ -44,12 +45,17 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op10_simhash": op10_simhash,
     "op8_decontaminate": op8_decontaminate,
     "op5_mixing": op5_mixing,
     "op2_quality": op2_quality,
     "op7_toxicity": op7_toxicity,
+    "op6_embeddings": op6_embeddings,
     "op9_token_counts": op9_token_counts,
 }
 
