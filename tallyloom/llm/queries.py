@@ -13,6 +13,7 @@ from tallyloom.llm.mixing import mix
 from tallyloom.llm.quality import classify
 from tallyloom.llm import toxicity
 from tallyloom.llm import embeddings
+from tallyloom.llm import licenses
 from tallyloom.llm.token_counts import count_tokens
 
 
@@ -49,6 +50,10 @@ def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op10_simhash": op10_simhash,
     "op8_decontaminate": op8_decontaminate,
@@ -56,10 +61,12 @@ QUERIES = {
     "op2_quality": op2_quality,
     "op7_toxicity": op7_toxicity,
     "op6_embeddings": op6_embeddings,
+    "op1_licenses": op1_licenses,
     "op9_token_counts": op9_token_counts,
 }
 
 #: DuckDB's SQL for the queries that SQL can express.
 SQL: dict[str, str] = {
+    "op1_licenses": sql.LICENSES,
     "op8_decontaminate": sql.DECONTAMINATE,
 }

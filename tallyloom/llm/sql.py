@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tallyloom.llm.licenses import AGREE, ALL, RARE, SLACK
+
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORDS = rf"regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -25,3 +27,49 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)
 """
+
+
+def _list(words) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+
+NOTICES = ", ".join(f"('{n.label}', {_list(n.words)}, {_list(n.phrases)}, {n.whole})" for n in ALL)
+LICENSES = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS w FROM documents),
+notices AS (SELECT row_number() OVER () AS k, * FROM (VALUES {NOTICES}) AS v(label, words, phrases, whole)),
+parts AS (SELECT k, unnest(words) AS word, unnest(range(len(words))) AS o FROM notices),
+frequency AS (
+  SELECT word, count(*) AS n FROM (SELECT r, unnest(list_distinct(w)) AS word FROM d)
+  WHERE word IN (SELECT word FROM parts) GROUP BY word),
+ranked AS (
+  SELECT k, word, row_number() OVER (PARTITION BY k ORDER BY coalesce(n, 0), word) AS rank
+  FROM (SELECT DISTINCT k, word FROM parts) LEFT JOIN frequency USING (word)),
+postings AS (SELECT k, word, o FROM parts JOIN ranked USING (k, word) WHERE rank <= {RARE}),
+needed AS (
+  SELECT k, CASE WHEN whole THEN n ELSE least(n, {AGREE}) END AS n
+  FROM notices JOIN (SELECT k, count(DISTINCT word) AS n FROM postings GROUP BY k) USING (k)),
+places AS (
+  SELECT r, word, i FROM (SELECT r, unnest(w) AS word, unnest(range(len(w))) AS i FROM d)
+  WHERE word IN (SELECT word FROM postings)),
+starts AS (
+  SELECT r, k, i - o AS s, count(DISTINCT word) AS votes FROM places JOIN postings USING (word) GROUP BY r, k, i - o),
+near AS (
+  SELECT r, k, s, d.w, words, phrases, whole, label,
+    ' ' || array_to_string(d.w[greatest(s - {SLACK}, 0) + 1 : greatest(s + len(words) + {SLACK}, 0)], ' ') || ' ' AS around
+  FROM starts JOIN needed USING (k) JOIN notices USING (k) JOIN d USING (r) WHERE votes >= n),
+found AS (
+  SELECT r, s, whole, label,
+    list_sum([CASE WHEN s + x >= 0 AND w[s + x + 1] = words[x + 1] THEN 1 ELSE 0 END FOR x IN range(len(words))]) / len(words)::DOUBLE AS share
+  FROM near
+  WHERE CASE WHEN whole THEN s >= 0 AND w[s + 1 : s + len(words)] = words
+    ELSE len([p FOR p IN phrases IF contains(around, ' ' || p || ' ')]) = len(phrases) END),
+per_row AS (
+  SELECT r, sum(whole::INT) AS n_base, min(CASE WHEN whole THEN s END) AS first_word, max(CASE WHEN whole THEN s END) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (whole) AS base_labels,
+    string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score
+  FROM found GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+  last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+  coalesce(score, 0)::DOUBLE AS score
+FROM d LEFT JOIN per_row USING (r)
+"""
