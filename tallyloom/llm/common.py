@@ -92,3 +92,23 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("x", "y"))).first())
+
+
+#: Bits of a sketch, and so the rows of its broadcast table: at most 2**14 words of 64 bits.
+SKETCH_BITS = 20
+
+
+def maybe_in(rows: DataFrame, keys: DataFrame, *columns: str) -> tuple[DataFrame, DataFrame]:
+    """Splits ``rows`` into those whose key may be among ``keys`` and those whose key surely is not.
+
+    Looks hashes of the key up in a bitmap of fixed size, so no row is moved.
+    Both frames have the key under the names ``columns``; none other than those
+    of ``rows`` is kept.
+    """
+    place = F.xxhash64(*columns).bitwiseAND((1 << SKETCH_BITS) - 1)
+    bit = F.expr("shiftleft(1L, cast(_place & 63 as int))")
+    words = keys.select(place.alias("_place")).groupBy(F.shiftright("_place", 6).alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    placed = rows.withColumn("_place", place)
+    joined = placed.join(F.broadcast(words), F.shiftright("_place", 6) == F.col("_word"), "left")
+    known = F.coalesce(F.col("_bits").bitwiseAND(bit), F.lit(0)) != 0
+    return joined.where(known).select(*rows.columns), joined.where(~known).select(*rows.columns)

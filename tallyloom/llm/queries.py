@@ -14,6 +14,7 @@ from tallyloom.llm.quality import classify
 from tallyloom.llm import toxicity
 from tallyloom.llm import embeddings
 from tallyloom.llm import licenses
+from tallyloom.llm import line_dedup
 from tallyloom.llm.token_counts import count_tokens
 
 
@@ -54,6 +55,11 @@ def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = line_dedup.dedup(_table(spark, sf_dir, "documents"))
+    return docs.select("doc_id", "n_lines", "n_dropped", "text")
+
+
 QUERIES = {
     "op10_simhash": op10_simhash,
     "op8_decontaminate": op8_decontaminate,
@@ -62,6 +68,7 @@ QUERIES = {
     "op7_toxicity": op7_toxicity,
     "op6_embeddings": op6_embeddings,
     "op1_licenses": op1_licenses,
+    "op3_line_dedup": op3_line_dedup,
     "op9_token_counts": op9_token_counts,
 }
 
