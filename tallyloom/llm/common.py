@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,13 +33,24 @@ def saved(df: DataFrame) -> DataFrame:
     A session without that setting keeps them beside its tables, in the
     warehouse, which all its executors share as well.
     """
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints"
-        spark.sparkContext.setCheckpointDir(folder)
+    _shared(df.sparkSession)
     return df.checkpoint()
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a Parquet table in the same folder, which the caller of the job owns."""
+    path = f"{_shared(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _shared(spark: SparkSession) -> str:
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints")
+    return context.getCheckpointDir()
+
+
 def find_package(spark: SparkSession) -> None:
     """Lets Python workers import this package from where the driver has it.
 

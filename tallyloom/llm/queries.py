@@ -2,20 +2,13 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import sql
+from tallyloom.llm import chat, decontaminate, embeddings, licenses, line_dedup, mixing, quality, simhash, sql, token_counts, toxicity
 from tallyloom.llm.common import find_package
-from tallyloom.llm.simhash import near_duplicates
-from tallyloom.llm.decontaminate import contaminated
-from tallyloom.llm.mixing import mix
-from tallyloom.llm.quality import classify
-from tallyloom.llm import toxicity
-from tallyloom.llm import embeddings
-from tallyloom.llm import licenses
-from tallyloom.llm import line_dedup
-from tallyloom.llm.token_counts import count_tokens
+
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,56 +16,62 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
 
 
-def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(_table(spark, sf_dir, "documents"))
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = line_dedup.dedup(_table(spark, sf_dir, "documents"))
+    return docs.select("doc_id", "n_lines", "n_dropped", "text")
+
+
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.conversations(_table(spark, sf_dir, "conversations"))
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan(_table(spark, sf_dir, "documents"))
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = line_dedup.dedup(_table(spark, sf_dir, "documents"))
-    return docs.select("doc_id", "n_lines", "n_dropped", "text")
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
-    "op10_simhash": op10_simhash,
-    "op8_decontaminate": op8_decontaminate,
-    "op5_mixing": op5_mixing,
-    "op2_quality": op2_quality,
-    "op7_toxicity": op7_toxicity,
-    "op6_embeddings": op6_embeddings,
     "op1_licenses": op1_licenses,
+    "op2_quality": op2_quality,
     "op3_line_dedup": op3_line_dedup,
+    "op4_chat": op4_chat,
+    "op5_mixing": op5_mixing,
+    "op6_embeddings": op6_embeddings,
+    "op7_toxicity": op7_toxicity,
+    "op8_decontaminate": op8_decontaminate,
     "op9_token_counts": op9_token_counts,
+    "op10_simhash": op10_simhash,
+    "pipeline": corpus_pipeline.run,
 }
 
-#: DuckDB's SQL for the queries that SQL can express.
+#: DuckDB's SQL for the queries that SQL can express; the pipeline has none.
 SQL: dict[str, str] = {
     "op1_licenses": sql.LICENSES,
     "op8_decontaminate": sql.DECONTAMINATE,
