@@ -27,6 +27,11 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(lower_ascii(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
 
 
+def text_version(text: Column) -> Column:
+    """Tells texts under one document id apart."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def saved(df: DataFrame) -> DataFrame:
     """The rows, computed once and kept in the folder of ``spark.checkpoint.dir``.
 

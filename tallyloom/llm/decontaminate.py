@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import WORD_BYTES, saved, words_of
+from tallyloom.llm.common import WORD_BYTES, saved, text_version, words_of
 
 WINDOW, SHINGLE = 13, 3
 MAP_BITS = 23
@@ -86,7 +86,7 @@ def item_slots(benchmark: DataFrame, text: str) -> tuple[np.ndarray, dict[int, i
 
 
 def candidate_runs(docs: DataFrame, key: str, text: str, bitmap: np.ndarray, sizes: dict[int, int]) -> DataFrame:
-    """``(key, n_words, runs)``: stretches of words all of whose shingles may be in the benchmark."""
+    """``(id, version, n_words, runs)``: stretches of words all of whose shingles may be in the benchmark."""
     sent = docs.sparkSession.sparkContext.broadcast(np.unpackbits(bitmap.view(np.uint8), bitorder="little"))
     kind = pa.list_(pa.struct([("size", pa.int32()), ("words", pa.list_(pa.string())), ("start", pa.int64())]))
 
@@ -106,15 +106,16 @@ def candidate_runs(docs: DataFrame, key: str, text: str, bitmap: np.ndarray, siz
         codes, bits = _Codes(), sent.value
         for batch in batches:
             counts, runs = [], []
-            for x in batch.column(1):
+            for x in batch.column(2):
                 words = split_words(x.as_py())
                 counts.append(len(words))
                 runs.append(runs_of(words, codes, bits))
             runs = [[dict(zip(("size", "words", "start"), r)) for r in found] for found in runs]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(runs, kind)], names=[key, "n_words", "runs"])
+            columns = [batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(runs, kind)]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "version", "n_words", "runs"])
 
-    schema = f"`{key}` {docs.schema[key].dataType.simpleString()}, n_words bigint, runs array<struct<size int, words array<string>, start bigint>>"
-    return docs.select(key, text).mapInArrow(scan, schema)
+    schema = f"id {docs.schema[key].dataType.simpleString()}, version bigint, n_words bigint, runs array<struct<size int, words array<string>, start bigint>>"
+    return docs.select(F.col(key).alias("id"), text_version(F.col(text)).alias("version"), text).mapInArrow(scan, schema)
 
 
 def _shingles(words: Column, size: Column) -> Column:
@@ -144,13 +145,19 @@ def contaminated(
     repeated documents are judged each. Other columns are not read; empty
     tables give no hits or no rows.
     """
+    found = _found(docs, benchmark, key, text, item, item_text)
+    return found.select(F.col("id").alias(key), "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, key: str, text: str, item: str, item_text: str) -> DataFrame:
     bitmap, sizes = item_slots(benchmark, item_text)
     rows = candidate_runs(docs, key, text, bitmap, sizes).withColumn("row", F.monotonically_increasing_id())
-    rows = saved(rows.where(F.size("runs") > 0)), saved(rows.where(F.size("runs") == 0).select(key, "n_words"))
-    return _judged(*rows, saved(windows_of(benchmark, item, item_text)), key)
+    rows = saved(rows)
+    dirty, clean = rows.where(F.size("runs") > 0), rows.where(F.size("runs") == 0).select("id", "version", "n_words")
+    return _judged(dirty, clean, saved(windows_of(benchmark, item, item_text)))
 
 
-def _judged(dirty: DataFrame, clean: DataFrame, windows: DataFrame, key: str) -> DataFrame:
+def _judged(dirty: DataFrame, clean: DataFrame, windows: DataFrame) -> DataFrame:
     runs = dirty.select("row", F.explode("runs").alias("run")).select("row", "run.*").withColumn("run", F.monotonically_increasing_id())
     runs = saved(runs)
     places = runs.select("run", "size", F.posexplode(_shingles(F.col("words"), F.col("size"))).alias("at", "shingle"))
@@ -185,12 +192,13 @@ def _judged(dirty: DataFrame, clean: DataFrame, windows: DataFrame, key: str) ->
     in_row = held.groupBy("row", "window").count().select("row", F.col("window").alias("w"))
     items = in_row.join(windows.where("item is not null"), F.col("w") == F.col("window")).select("row", F.col("item").cast("string").alias("item")).distinct()
     items = items.groupBy("row").agg(F.sort_array(F.collect_list("item")).alias("items")).select(F.col("row").alias("item_row"), "items")
-    full = dirty.select("row", key, "n_words").join(hits, F.col("row") == F.col("hit_row"), "left").join(items, F.col("row") == F.col("item_row"), "left")
+    full = dirty.select("row", "id", "version", "n_words").join(hits, F.col("row") == F.col("hit_row"), "left").join(items, F.col("row") == F.col("item_row"), "left")
     none = F.array().cast("array<string>")
-    full = full.select(key, "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("items", none).alias("items"))
-    full = full.union(clean.select(key, "n_words", F.lit(0).cast("long"), none))
+    full = full.select("id", "version", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("items", none).alias("items"))
+    full = full.union(clean.select("id", "version", "n_words", F.lit(0).cast("long"), none))
     return full.select(
-        key,
+        "id",
+        "version",
         "n_words",
         "n_hit",
         F.size("items").cast("long").alias("n_items"),
@@ -200,6 +208,7 @@ def _judged(dirty: DataFrame, clean: DataFrame, windows: DataFrame, key: str) ->
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are not contaminated. Rows that share a key go together; null keys stay."""
-    bad = contaminated(docs, benchmark, key, text).where("contaminated").select(F.col(key).alias("_bad")).distinct()
-    return docs.join(bad, docs[key] == F.col("_bad"), "left_anti")
+    """The rows of ``docs`` that are not contaminated, whatever other rows share their id. Rows with a null id stay."""
+    bad = _found(docs, benchmark, key, text, "item_id", "text").where("contaminated").select("id", "version").distinct()
+    same = (docs[key] == F.col("id")) & (text_version(docs[text]) == F.col("version"))
+    return docs.join(bad, same, "left_anti")

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import components, maybe_in, salted_join, saved
+from tallyloom.llm.common import components, maybe_in, salted_join, saved, text_version
 
 DISTANCE = 1
 CROWDED = 64
@@ -114,7 +114,7 @@ def occurrences(docs: DataFrame, key: str, text: str, keys: bool = False) -> Dat
         return F.when(size >= MIN_CHARS, F.struct(_hash(line).alias("h"), i.alias("at"), *more))
 
     body = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.col(key).alias("doc"), F.xxhash64(body).alias("version"), F.transform(F.split(body, "\n"), normal).alias("lines"))
+    rows = docs.select(F.col(key).alias("doc"), text_version(F.col(text)).alias("version"), F.transform(F.split(body, "\n"), normal).alias("lines"))
     rows = rows.select("doc", "version", F.sort_array(F.array_compact(F.transform("lines", entry))).alias("lines"))
     again = F.transform("lines", lambda x, i: F.struct(x.alias("line"), F.coalesce(F.get(F.col("lines"), i - 1)["h"] == x["h"], F.lit(False)).alias("again")))
     rows = rows.select("doc", "version", F.inline(again))
@@ -245,7 +245,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", crowded: int
     """
     drops = saved(dropped_lines(docs, key, text, crowded))
     own = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    rows = docs.select(F.struct(*own).alias("row"), F.col(key).alias("doc"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("version"))
+    rows = docs.select(F.struct(*own).alias("row"), F.col(key).alias("doc"), text_version(F.col(text)).alias("version"))
     some, none = maybe_in(rows, drops, "doc", "version")
     facts = drops.select(F.col("doc").alias("d"), F.col("version").alias("v"), "drops")
     some = some.join(facts, F.col("doc").eqNullSafe(F.col("d")) & (F.col("version") == F.col("v")), "left").select("row", "drops")

@@ -18,7 +18,6 @@ documents are taken in part, so that the words still add up to the target.
 from __future__ import annotations
 
 import hashlib
-import math
 import random
 from collections.abc import Iterable
 
@@ -161,9 +160,9 @@ def first_words(text: Column, n: Column) -> Column:
 
 
 def mixed_texts(docs: DataFrame, plan: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The mix itself: each row of ``docs`` with a key of the plan as often as taken, then in part."""
-    wanted = plan.where("taken > 0").select(F.col(key).alias("_key"), "copies", "part")
+    """The mix itself: each row of ``docs`` with a key of the plan as often as taken whole, then in part. Keys are unique."""
+    wanted = plan.where("copies > 0 or part > 0").select(F.col(key).alias("_key"), F.col("copies").alias("_copies"), F.col("part").alias("_part"))
     joined = docs.join(wanted, docs[key] == F.col("_key"))
-    whole = joined.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("_copy")
-    cut = joined.where("part > 0").withColumn(text, first_words(F.col(text), F.col("part")))
-    return whole.union(cut).drop("_key", "copies", "part")
+    whole = joined.where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_copy")
+    cut = joined.where("_part > 0").withColumn(text, first_words(F.col(text), F.col("_part")))
+    return whole.union(cut).drop("_key", "_copies", "_part")

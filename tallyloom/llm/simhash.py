@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tallyloom.llm.common import components, salted_join, saved
+from tallyloom.llm.common import components, salted_join, saved, text_version
 
 BITS, SEGMENTS = 64, 16
 WIDTH = BITS // SEGMENTS
@@ -55,15 +55,15 @@ def fingerprint(text: str | None) -> int:
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(key, fp)``: one signed 64-bit fingerprint for each row."""
-    schema = f"`{key}` {docs.schema[key].dataType.simpleString()}, fp bigint"
+    """``(id, version, fp)``: one signed 64-bit fingerprint for each row; ``version`` tells texts under one id apart."""
+    schema = f"id {docs.schema[key].dataType.simpleString()}, version bigint, fp bigint"
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([fingerprint(x.as_py()) for x in batch.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], names=[key, "fp"])
+            fps = np.array([fingerprint(x.as_py()) for x in batch.column(2)], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps)], names=["id", "version", "fp"])
 
-    return docs.select(key, text).mapInArrow(hashed, schema)
+    return docs.select(F.col(key).alias("id"), text_version(F.col(text)).alias("version"), text).mapInArrow(hashed, schema)
 
 
 def popcounts(fp: Column) -> list[Column]:
@@ -113,22 +113,29 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     each. Other columns are not read; an empty table gives an empty result.
     Equal fingerprints become one before any are compared.
     """
+    found = _classed(docs, key, text)
+    return found.select(F.col("id").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _classed(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``(id, version, fp, component_id)`` for each row."""
     rows = saved(fingerprints(docs, key, text))
-    unique = saved(rows.groupBy("fp").agg(F.min(key).alias("least")))
+    unique = saved(rows.groupBy("fp").agg(F.min("id").alias("least")))
     found = saved(components(links(unique.select("fp"))))
     rooted = saved(unique.join(found, unique["fp"] == found["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root")))
     ids = saved(rooted.groupBy("root").agg(F.min("least").alias("component_id")))
     named = rooted.select("fp", F.col("root").alias("of")).join(ids, F.col("of") == F.col("root")).select("fp", "component_id")
-    joined = salted_join(rows, named, "fp", F.col(key))
-    return joined.select(key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return salted_join(rows, named, "fp", F.col("id"))
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` with one document of each component: that with the smallest key.
 
-    Rows with a null key are kept, since nothing tells them apart; rows that
-    repeat a key are one document and stay together.
+    Rows with a null key are kept, since nothing tells them apart; equal rows
+    are one document and stay together; rows with one key but other texts are
+    judged each.
     """
-    found = near_duplicates(docs, key, text).where(F.col(key) != F.col("component_id"))
-    dropped = found.select(F.col(key).alias("_dropped")).distinct()
-    return docs.join(dropped, docs[key] == F.col("_dropped"), "left_anti")
+    found = _classed(docs, key, text).where(F.col("id") != F.col("component_id"))
+    dropped = found.select("id", "version").distinct()
+    same = (docs[key] == F.col("id")) & (text_version(docs[text]) == F.col("version"))
+    return docs.join(dropped, same, "left_anti")
