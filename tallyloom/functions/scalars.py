@@ -91,11 +91,8 @@ def mean_or_zero(total: Column, n: Column) -> Column:
 
 def dominant_sentiment(positive: Column, negative: Column, neutral: Column) -> Column:
     """Largest share; ties go to positive, then negative, then neutral."""
-    return (
-        F.when((positive >= negative) & (positive >= neutral), F.lit(S.POSITIVE))
-        .when((negative >= positive) & (negative >= neutral), F.lit(S.NEGATIVE))
-        .otherwise(F.lit(S.NEUTRAL))
-    )
+    top = F.greatest(positive, negative, neutral)
+    return F.when(positive == top, S.POSITIVE).when(negative == top, S.NEGATIVE).otherwise(S.NEUTRAL)
 
 
 def sentiment_rating_score(avg_rating: Column, positive_pct: Column) -> Column:
@@ -112,7 +109,7 @@ def composite_job(key: Column) -> Column:
 
 
 def strip_quotes(text: Column) -> Column:
-    return F.regexp_replace(text, '^"|"$', "")
+    return F.regexp_replace(text, S.OUTER_QUOTES, "")
 
 
 def control_key(record_key: Column, job_id: Column) -> Column:

@@ -55,12 +55,12 @@ def step_completion(control: DataFrame) -> DataFrame:
 
 def step_verdict(control: DataFrame) -> DataFrame:
     """Data-quality rule on each message: a required field missing or the two
-    counts differing makes the step failed."""
-    missing = F.lit(False)
-    for name in ("job_id", "step", "status", "sent_at"):
-        missing = missing | (F.coalesce(F.col(name), F.lit("")) == "")
-    missing = missing | (F.col("job_id") == S.UNKNOWN_JOB)
-    reason = F.when(missing, F.lit("missing field")).when(
+    counts differing makes the step failed.
+
+    ``control`` carries ``is_valid`` from ``valid_control``, since the parsed
+    fields have defaults and no longer tell whether they were there.
+    """
+    reason = F.when(~F.col("is_valid"), F.lit("missing field")).when(
         F.col("expected_count") != F.col("actual_count"), F.lit("count mismatch")
     )
     return control.withColumn("reason", reason).withColumn(

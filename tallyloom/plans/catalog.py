@@ -475,7 +475,8 @@ def _(spark, sf):
 
 @query("step_verdict")
 def _(spark, sf):
-    return ct.step_verdict(_log(spark, sf)).select("job_id", "step", "ts", "expected_count", "reason", "verdict")
+    messages = parse.valid_control(fx.control_log(spark, sf))
+    return ct.step_verdict(parse.parse_control(messages, key="key")).select("job_id", "step", "ts", "expected_count", "reason", "verdict")
 
 
 @query("job_step_status")

@@ -2,7 +2,7 @@
 
 ``events`` becomes transform, analysis and collection-done messages, ``orders``
 a control log, ``lineitem`` a large transform stream with natural copies, and
-``documents`` with ``labels`` messages that carry whole texts. Every row of a
+``documents`` messages that carry whole texts. Every row of a
 table takes part; the messages vary by the values of the row, so that all
 parsing rules are met. ``oracle.py`` states the same rows as SQL.
 """
@@ -16,7 +16,7 @@ from tallyloom import schema as S
 from tallyloom.functions import scalars as sc
 
 RESENT = "purchase"  # events delivered a second time, one second later
-UNANALYSED = "error"  # events no analysis exists for
+ODD = "error"  # events whose analysis message holds no usable result
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, streaming: bool = False) -> DataFrame:
@@ -27,22 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str, streaming: bool = False)
         # as a pattern, the path may be one file as well as a folder of files
         df = spark.readStream.schema(layout).parquet(f"{sf_dir}/{name}.[p]arquet")
     else:
-        df = spread(spark.read.parquet(path))
+        df = spark.read.parquet(path)
     naive = [f.name for f in df.schema.fields if f.dataType.typeName() == "timestamp_ntz"]
     return df.withColumns({c: F.col(c).cast("timestamp") for c in naive}) if naive else df
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A scan of fewer tasks than cores is dealt out over the cores.
-
-    A one-file table with one row group is read by one task, which would then
-    also do all the JSON work behind it. Large tables scan in more tasks than
-    there are cores and pass through untouched.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def _json(**fields: Column) -> Column:
     """Fields that are null stay absent."""
     return F.to_json(F.struct(*[value.alias(name) for name, value in fields.items()]))
@@ -105,8 +94,12 @@ def transform_messages(spark: SparkSession, sf_dir: str, streaming: bool = False
 
 
 def analysis_messages(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
-    """``(value, ts)`` from events: results lists; some list a result without job."""
-    events = table(spark, sf_dir, "events", streaming).filter(F.col("event_type") != UNANALYSED)
+    """``(value, ts)`` from events: results lists; some list a result without job.
+
+    Those of ``ODD`` events have a text, an empty list or nothing for results,
+    a result with a null job id, or are broken JSON.
+    """
+    events = table(spark, sf_dir, "events", streaming)
     result = F.struct(
         F.expr("concat('job-', user_id)").alias("job_id"),
         F.expr("concat('r', event_id)").alias("review_id"),
@@ -126,7 +119,13 @@ def analysis_messages(spark: SparkSession, sf_dir: str, streaming: bool = False)
     )
     results = F.when(F.col("event_type") == "signup", F.array(result, orphan)).otherwise(F.array(result))
     later = F.expr("ts + (event_id % 181) * INTERVAL 1 SECOND")
-    return events.select(_json(results=results).alias("value"), later.alias("ts"))
+    odd = F.expr(
+        """CASE event_id % 5 WHEN 0 THEN '{"results":"none"}' WHEN 1 THEN '{"results":[]}' WHEN 2 THEN '{}'
+           WHEN 3 THEN concat('{"results":[{"job_id":null,"review_id":"r', event_id, '","sentiment":"odd"}]}')
+           ELSE '{"results":[{' END"""
+    )
+    value = F.when(F.col("event_type") == ODD, odd).otherwise(_json(results=results))
+    return events.select(value.alias("value"), later.alias("ts"))
 
 
 def collection_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,25 +148,32 @@ def collection_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def control_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(key, value, ts)``: one control message per order."""
+    """``(key, value, ts)``: one control message per order.
+
+    Messages of the lowest priority lack one of the six required fields, each
+    in turn; every seventh of them has a null status instead.
+    """
     orders = table(spark, sf_dir, "orders")
+    lacks = F.expr("CASE WHEN o_orderpriority LIKE '5%' THEN CAST(o_orderkey % 7 AS INT) ELSE 7 END")
+    unless = lambda i, value: F.when(lacks != i, value)
     expected = F.expr("CAST(FLOOR(o_totalprice / 100) AS INT)")
     actual = F.expr(
         "CAST(FLOOR(o_totalprice / 100) AS INT) - CASE WHEN o_orderstatus = 'F' THEN 0 ELSE o_custkey % 3 END"
     )
     value = _json(
-        job_id=F.expr("concat('job-', o_custkey)"),
-        step=F.expr(
+        job_id=unless(0, F.expr("concat('job-', o_custkey)")),
+        step=unless(1, F.expr(
             """CASE WHEN o_orderpriority LIKE '1%' THEN 'collection' WHEN o_orderpriority LIKE '2%' THEN 'transform'
                WHEN o_orderpriority LIKE '3%' THEN 'analysis' WHEN o_orderpriority LIKE '4%' THEN 'aggregation'
                ELSE 'publish' END"""
-        ),
-        status=F.expr("CASE o_orderstatus WHEN 'F' THEN 'done' WHEN 'O' THEN 'failed' ELSE 'timeout' END"),
-        expected_count=expected,
-        actual_count=actual,
-        timestamp=F.when(~F.col("o_orderpriority").like("5%"), sc.kst_iso(F.col("o_orderdate"))),
+        )),
+        status=unless(2, F.expr("CASE o_orderstatus WHEN 'F' THEN 'done' WHEN 'O' THEN 'failed' ELSE 'timeout' END")),
+        expected_count=unless(3, expected),
+        actual_count=unless(4, actual),
+        timestamp=unless(5, sc.kst_iso(F.col("o_orderdate"))),
         metadata=F.struct(F.expr("FLOOR(o_totalprice) / 2").alias("processing_time")),
     )
+    value = F.when(lacks == 6, F.regexp_replace(value, '"status":"[a-z]+"', '"status":null')).otherwise(value)
     return orders.select(
         F.expr("concat('job-', o_custkey)").alias("key"), value.alias("value"), F.col("o_orderdate").alias("ts")
     )

@@ -47,18 +47,19 @@ ctl AS (
   FROM (SELECT user_id, COUNT(*) AS n, MAX(ts) AS ts FROM events GROUP BY user_id))"""
 
 LOG = """
+lk AS (SELECT *, CASE WHEN o_orderpriority LIKE '5%' THEN o_orderkey % 7 ELSE 7 END AS lacks FROM orders),
 lg AS (
   SELECT 'job-' || o_custkey AS job_id,
-         CASE WHEN o_orderpriority LIKE '1%' THEN 'collection' WHEN o_orderpriority LIKE '2%' THEN 'transform'
+         CASE WHEN lacks = 1 THEN NULL WHEN o_orderpriority LIKE '1%' THEN 'collection' WHEN o_orderpriority LIKE '2%' THEN 'transform'
               WHEN o_orderpriority LIKE '3%' THEN 'analysis' WHEN o_orderpriority LIKE '4%' THEN 'aggregation'
               ELSE 'publish' END AS step,
-         CASE o_orderstatus WHEN 'F' THEN 'done' WHEN 'O' THEN 'failed' ELSE 'timeout' END AS status,
-         CAST(FLOOR(o_totalprice / 100) AS BIGINT) AS expected_count,
-         CAST(FLOOR(o_totalprice / 100) AS BIGINT)
-           - CASE WHEN o_orderstatus = 'F' THEN 0 ELSE o_custkey % 3 END AS actual_count,
-         o_orderpriority NOT LIKE '5%' AS has_time, FLOOR(o_totalprice) / 2.0e0 AS processing_time,
+         CASE WHEN lacks IN (2, 6) THEN NULL WHEN o_orderstatus = 'F' THEN 'done' WHEN o_orderstatus = 'O' THEN 'failed' ELSE 'timeout' END AS status,
+         CASE WHEN lacks = 3 THEN 0 ELSE CAST(FLOOR(o_totalprice / 100) AS BIGINT) END AS expected_count,
+         CASE WHEN lacks = 4 THEN 0 ELSE CAST(FLOOR(o_totalprice / 100) AS BIGINT)
+           - CASE WHEN o_orderstatus = 'F' THEN 0 ELSE o_custkey % 3 END END AS actual_count,
+         lacks >= 6 AS complete, FLOOR(o_totalprice) / 2.0e0 AS processing_time,
          o_orderdate AS ts
-  FROM orders)"""
+  FROM lk)"""
 
 LINES = """
 li AS (
@@ -126,6 +127,10 @@ def share(part: str, total: str) -> str:
     return f"COALESCE({part} / NULLIF(CAST({total} AS DOUBLE), 0) * 100.0e0, 0.0e0)"
 
 
+def quoted(text: str) -> str:
+    return f"'{text}'"
+
+
 def n_if(test: str) -> str:
     return f"COUNT(*) FILTER (WHERE {test})"
 
@@ -191,7 +196,7 @@ def sentiment(label: str, ratio_of) -> str:
     counts, shares = [], []
     for cohort, test in PUBLISHED.items():
         for name, text in LABELS.items():
-            counts.append(f"{n_if(f'{test} AND {label} = {chr(39)}{text}{chr(39)}')} AS {cohort}_{name}")
+            counts.append(f"{n_if(f'{test} AND {label} = {quoted(text)}')} AS {cohort}_{name}")
             total = " + ".join(f"{cohort}_{other}" for other in LABELS)
             shares.append(f"{ratio_of(f'{cohort}_{name}', f'({total})')} AS {cohort}_{name}_pct")
     joined = ",\n         ".join(counts)
@@ -208,9 +213,9 @@ s AS ({sentiment('sentiment', pct)}),
 cb AS (
   SELECT p.job_id, total_reviews, total_analyzed AS analyzed_reviews,
          {pct('total_analyzed', 'total_reviews')} AS analysis_coverage, avg_rating,
-         CASE WHEN all_positive_pct >= all_negative_pct AND all_positive_pct >= all_neutral_pct THEN '{POS}'
-              WHEN all_negative_pct >= all_positive_pct AND all_negative_pct >= all_neutral_pct THEN '{NEG}'
-              ELSE '{NEU}' END AS dominant_sentiment,
+         list_extract(['{POS}', '{NEG}', '{NEU}'], list_position(
+           [all_positive_pct, all_negative_pct, all_neutral_pct],
+           list_max([all_positive_pct, all_negative_pct, all_neutral_pct]))) AS dominant_sentiment,
          avg_rating * all_positive_pct / 100.0e0 AS sentiment_rating_score
   FROM p JOIN s ON p.job_id = s.job_id)"""
 
@@ -258,7 +263,7 @@ UTC = (
 def message(job, step, status, expected, actual, ts, stamp, error="") -> str:
     text = stamp.format(ts=ts)
     return (
-        f"'{{\"job_id\":\"' || {job} || '\",\"step\":\"' || {step} || '\",\"status\":\"' || {status} || "
+        f"'{{\"job_id\":\"' || {job} || COALESCE('\",\"step\":\"' || {step}, '') || '\",\"status\":\"' || {status} || "
         f"'\",\"expected_count\":' || {expected} || ',\"actual_count\":' || {actual} || "
         f"',\"timestamp\":\"' || {text} || '\",\"metadata\":{{\"processing_time\":0.0,"
         f"\"worker_id\":\"tallyloom-worker\",\"batch_id\":\"batch-' || CAST(epoch_us({ts}) // 1000 AS VARCHAR) || "
@@ -308,7 +313,13 @@ UNION ALL
 SELECT job_id, review_id || '-r', l_tax, l_extendedprice FROM bm
 WHERE l_linestatus = 'F' AND l_returnflag = 'R'""", BATCHES),
     "first_review": with_tables("SELECT job_id, review_id, rating, l_extendedprice FROM bm", BATCHES),
-    "first_analysis": with_tables("SELECT '' AS job_id, review_id, ts, sentiment FROM an", ANALYSES),
+    "first_analysis": with_tables(f"""
+SELECT '' AS job_id, review_id, ts, sentiment FROM an
+UNION ALL
+SELECT CASE event_id % 5 WHEN 3 THEN '' WHEN 4 THEN '{S.ERROR_JOB}' ELSE '{S.UNKNOWN_JOB}' END,
+       CASE event_id % 5 WHEN 3 THEN 'r' || event_id WHEN 4 THEN '{S.ERROR_JOB}' ELSE '{S.UNKNOWN_JOB}' END,
+       ts + (event_id % 181) * INTERVAL '1' SECOND, CASE event_id % 5 WHEN 3 THEN 'odd' END
+FROM events WHERE event_type = 'error'""", ANALYSES),
     "valid_records": "SELECT doc_id FROM documents WHERE lang NOT IN ('de', 'es')",
     "quarantine": "SELECT doc_id, 'not a JSON object' AS reason FROM documents WHERE lang IN ('de', 'es')",
     "parse_object": """
@@ -316,7 +327,7 @@ SELECT doc_id, CAST(CASE WHEN lang IN ('de', 'es') THEN 0 ELSE 6 END AS INTEGER)
        CASE WHEN lang NOT IN ('de', 'es') THEN source END AS job_id FROM documents""",
     "encode_json": "SELECT doc_id, md5(text) AS text_md5, lang, n_chars FROM documents",
     "extract_job_id": "SELECT doc_id, CASE WHEN lang IN ('de', 'es') THEN '' ELSE source END AS job_id FROM documents",
-    "valid_control": with_tables("SELECT job_id AS key, ts, has_time AS is_valid FROM lg", LOG),
+    "valid_control": with_tables("SELECT job_id AS key, ts, complete AS is_valid FROM lg", LOG),
     "control_key": with_tables("SELECT job_id, ts, expected_count FROM ctl", COLLECTED),
     "explode_keywords": with_tables(
         "SELECT job_id, keyword, tag, COUNT(*) AS n FROM kw GROUP BY ALL", REVIEWS, KEYWORDS),
@@ -343,7 +354,7 @@ SELECT step, COUNT(*) AS messages, CAST(MAX(CASE step WHEN 'collection' THEN 60
   WHEN 'analysis' THEN 45 WHEN 'aggregation' THEN 15 ELSE 30 END * 60000) AS BIGINT) AS timeout_ms
 FROM lg GROUP BY step""", LOG),
     "control_message": with_tables(
-        f"SELECT job_id, {message('job_id', chr(39) + 'transform' + chr(39), chr(39) + 'done' + chr(39), 'expected_count', 'expected_count', 'ts', KST)} AS message FROM ctl",
+        f"SELECT job_id, {message('job_id', quoted('transform'), quoted('done'), 'expected_count', 'expected_count', 'ts', KST)} AS message FROM ctl",
         COLLECTED),
     "failure_message": with_tables(
         "SELECT job_id, " + message("job_id", "step", "'failed'", "expected_count", "actual_count", "ts", KST,
@@ -386,7 +397,7 @@ SELECT job_id, review_id,
 FROM jn""", REVIEWS, ANALYSES, PAIRS),
     "joined_job_stats": with_tables(f"""
 SELECT job_id, COUNT(*) AS joined_rows, {ratio('SUM(rating)', 'COUNT(*)')} AS avg_rating,
-       {', '.join(f"{n_if(f'sentiment = {chr(39)}{text}{chr(39)}')} AS {name}" for name, text in LABELS.items())},
+       {', '.join(f"{n_if(f'sentiment = {quoted(text)}')} AS {name}" for name, text in LABELS.items())},
        {ratio('CAST(SUM(epoch_us(analysis_ts) - epoch_us(ts)) AS DOUBLE)', '(COUNT(*) * 1000000)')} AS avg_lag_seconds
 FROM jn GROUP BY job_id""", REVIEWS, ANALYSES, PAIRS),
     # --- profiles
@@ -445,14 +456,14 @@ SELECT job_id, BOOL_OR(step = 'transform') AS transform_done, BOOL_OR(step = 'an
 FROM lg WHERE step IN ('transform', 'analysis') AND status = 'done' GROUP BY job_id""", LOG),
     "step_verdict": with_tables("""
 SELECT job_id, step, ts, expected_count,
-       CASE WHEN NOT has_time THEN 'missing field' WHEN expected_count <> actual_count THEN 'count mismatch' END AS reason,
-       CASE WHEN NOT has_time OR expected_count <> actual_count THEN 'failed' ELSE status END AS verdict
+       CASE WHEN NOT complete THEN 'missing field' WHEN expected_count <> actual_count THEN 'count mismatch' END AS reason,
+       CASE WHEN NOT complete OR expected_count <> actual_count THEN 'failed' ELSE status END AS verdict
 FROM lg""", LOG),
     "job_step_status": with_tables(
         "SELECT DISTINCT job_id FROM lg WHERE step = 'analysis' AND status = 'failed'", LOG),
     "distinct_counts": with_tables("SELECT job_id, COUNT(DISTINCT review_id) AS n FROM li GROUP BY job_id", LINES),
     "array_counts": with_tables(
-        f"SELECT job_id, CAST({n_if(chr(108) + '_linestatus = ' + chr(39) + 'F' + chr(39))} + "
+        "SELECT job_id, CAST(COUNT(*) FILTER (WHERE l_linestatus = 'F') + "
         "COUNT(*) FILTER (WHERE l_linestatus = 'F' AND l_returnflag = 'R') AS BIGINT) AS n FROM bm GROUP BY job_id", BATCHES),
     "hourly_counts": with_tables(
         "SELECT job_id, window_start, window_start + INTERVAL '1' HOUR AS window_end, n FROM th",

@@ -24,6 +24,8 @@ TIMEOUT_TEXT = "Processing timeout exceeded"
 
 UNKNOWN_JOB = "unknown"
 ERROR_JOB = "error"
+# The quotes that keys may carry around them.
+OUTER_QUOTES = '^"|"$'
 
 JOIN_WITHIN_SECONDS = 90
 COUNT_WINDOW = "1 hour"

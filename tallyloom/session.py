@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -42,15 +41,8 @@ def local_session(cores: int | str = "*", app: str = "tallyloom", **conf: str) -
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A new folder under the cluster's shared ``spark.checkpoint.dir``.
-
-    Only a local session may go without that setting; it then gets a temporary
-    folder of this machine. A cluster session without it is refused, because
-    its executors would each write to a disk of their own.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="tallyloom-")
+    """A new folder under ``spark.checkpoint.dir``, or where that is unset beside
+    the session's tables, in its warehouse; all executors share either. The
+    caller owns the folder."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/work"
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"

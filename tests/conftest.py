@@ -17,8 +17,11 @@ def at(seconds: float) -> datetime:
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(4, "tests", spark__ui__showConsoleProgress="false", spark__sql__shuffle__partitions="4")
+def spark(tmp_path_factory):
+    session = local_session(
+        4, "tests", spark__ui__showConsoleProgress="false", spark__sql__shuffle__partitions="4",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("work")),
+    )
     yield session
     session.stop()
 

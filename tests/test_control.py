@@ -128,17 +128,17 @@ def test_messages(spark):
         ct.done_message("cooking", j, one, one, ts)
 
 
-SAMPLES = [
-    ({"job_id": "job-2024-001", "step": step, "status": status, "expected_count": 1000, "actual_count": n,
-      "timestamp": "2024-01-15T19:30:00+09:00", "metadata": {"processing_time": seconds}}, i)
-    for i, (step, status, n, seconds) in enumerate(
-        [("collection", "done", 1000, 120.5), ("transform", "done", 1000, 45.2), ("analysis", "failed", 850, 1800.0),
-         ("aggregation", "done", 1000, 12.8)])
-]
+def sample(step, status, n, seconds, at=0):
+    return ({"job_id": "shoes-7", "step": step, "status": status, "expected_count": 64, "actual_count": n,
+             "timestamp": "2025-03-02T08:00:00+09:00", "metadata": {"processing_time": seconds}}, at)
+
+
+SAMPLES = [sample("collection", "done", 64, 31.0, 0), sample("transform", "done", 64, 7.5, 1),
+           sample("analysis", "failed", 60, 700.0, 2), sample("aggregation", "done", 64, 0.5, 3)]
 
 
 def test_sample_log(messages):
-    control = parse.parse_control(messages(*SAMPLES), key="key")
+    control = parse.parse_control(parse.valid_control(messages(*SAMPLES)), key="key")
     verdicts = {r.step: (r.verdict, r.reason) for r in ct.step_verdict(control).collect()}
     assert verdicts["analysis"] == ("failed", "count mismatch") and verdicts["transform"] == ("done", None)
     done = ct.step_completion(control).first()
@@ -146,7 +146,7 @@ def test_sample_log(messages):
     assert ct.job_step_status(control, "analysis", "failed").count() == 1
     assert ct.job_step_status(control, "analysis").count() == 0
     times = {r.step: (r.seconds, r.le_60, r.le_1800) for r in mx.step_duration(control).collect()}
-    assert times["analysis"] == (1800.0, 0, 1) and times["transform"] == (45.2, 1, 1)
+    assert times["analysis"] == (700.0, 0, 1) and times["transform"] == (7.5, 1, 1)
     rates = {r.step: (r.completion_rate, r.failure_rate, r.match_rate) for r in mx.match_rate(control).collect()}
     assert rates["analysis"] == (0.0, 100.0, 0.0) and rates["collection"] == (100.0, 0.0, 100.0)
     assert {r.step: r.jobs for r in mx.active_jobs(control).collect()} == {"transform": 0, "analysis": 0, "aggregation": 0}
@@ -158,8 +158,16 @@ def test_active_jobs(messages):
 
 
 def test_verdict_of_missing_fields(messages):
-    control = parse.parse_control(messages({"step": "analysis", "status": "done"}), key="key")
-    assert ct.step_verdict(control).first().verdict == "failed"
+    full = {"job_id": "j", "step": "analysis", "status": "done", "expected_count": 0, "actual_count": 0, "timestamp": "t"}
+    odd = [{k: v for k, v in full.items() if k != name} for name in full]
+    odd.append({k: v for k, v in full.items() if not k.endswith("count")})
+    judge = lambda items: [
+        (r.verdict, r.reason)
+        for r in ct.step_verdict(parse.parse_control(parse.valid_control(messages(*items, key="k")), key="key")).collect()
+    ]
+    assert judge(odd) == [("failed", "missing field")] * 7
+    assert judge([full, full | {"expected_count": 1}]) == [("done", None), ("failed", "count mismatch")]
+    assert judge([full | {"status": None}]) == [(None, None)]  # null is there
 
 
 def test_counts_at_collection_on_the_hour(spark, messages):
