@@ -17,6 +17,9 @@ from pyspark.sql.window import Window as W
 from tallyloom import schema as S
 from tallyloom.functions import scalars as sc
 
+# Over so many tasks the tags of one keyword and count are joined with their rank.
+SALTS = 16
+
 
 def explode_keywords(reviews: DataFrame, textual_only: bool = False) -> DataFrame:
     """One row per review and keyword with a non-empty tag.
@@ -58,12 +61,18 @@ def _ladder(counts: DataFrame, group: Sequence[str], n: str = "n") -> DataFrame:
 
 def _ranked_shares(counts: DataFrame, group: Sequence[str], share) -> DataFrame:
     """Adds ``percentage`` of the group's total and ``tag_rank`` (1 = most
-    frequent, equal counts share a rank)."""
+    frequent, equal counts share a rank).
+
+    Most tags of a large keyword occur once, so the join key also holds a salt
+    of the tag; each step of the ladder is there for every salt.
+    """
+    salted = counts.withColumn("_salt", F.pmod(F.xxhash64("tag"), F.lit(SALTS)).cast("int"))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     return (
-        counts.join(_ladder(counts, group), [*group, "n"])
+        salted.join(_ladder(counts, group).withColumn("_salt", salts), [*group, "n", "_salt"])
         .withColumn("percentage", share(F.col("n"), F.col("_total")))
         .withColumnRenamed("_rank", "tag_rank")
-        .drop("_total")
+        .drop("_total", "_salt")
     )
 
 

@@ -74,11 +74,13 @@ def match_rate(control: DataFrame) -> DataFrame:
 
 
 def join_drop_rate(transform: DataFrame, analysis: DataFrame, **interval) -> DataFrame:
-    """Per job: reviews without any analysis inside the join interval."""
+    """Per job: reviews without any analysis inside the join interval, and how
+    many of them have no review id to be joined by."""
     per_review = reviews.match_counts(transform, analysis, **interval)
     dropped = F.sum(F.when(F.col("matches") == 0, F.col("reviews")).otherwise(F.lit(0)))
     return per_review.groupBy("job_id").agg(
         F.sum("reviews").alias("reviews"),
         dropped.alias("dropped"),
+        F.sum(F.when(F.col("review_id") == "", F.col("reviews")).otherwise(F.lit(0))).alias("without_id"),
         sc.pct(dropped, F.sum("reviews")).alias("drop_rate"),
     )

@@ -20,10 +20,15 @@ def join_reviews(
     within_seconds: int = S.JOIN_WITHIN_SECONDS,
     slice_seconds: int = SLICE_SECONDS,
     ts: str = "ts",
+    pair_missing_ids: bool = False,
 ) -> DataFrame:
     """Every (review, analysis) pair of one job and review at most
     ``within_seconds`` apart, both ends included.
 
+    Rows without a review id stand for no review in common and are left out;
+    with ``pair_missing_ids`` they meet as if they were copies of one review,
+    all with all.
+
     In batch the equi-key also holds a time slice: a review lies in one slice,
     an analysis in each slice its interval touches, so a pair meets exactly
     once while the copies of a much repeated review spread over many tasks.
@@ -33,6 +38,8 @@ def join_reviews(
     analysis texts.
     """
     streaming = transform.isStreaming or analysis.isStreaming
+    if not pair_missing_ids:
+        transform, analysis = transform.filter(has_id()), analysis.filter(has_id())
     t = transform.alias("t")
     right = analysis.select(
         F.col("job_id"),
@@ -63,6 +70,10 @@ def join_reviews(
     )
 
 
+def has_id() -> Column:
+    return F.col("review_id") != ""
+
+
 def _slice_start(micros: Column, slice_seconds: int) -> Column:
     """Whole-number arithmetic: exact for any time, also before 1970."""
     return micros - F.pmod(micros, F.lit(slice_seconds * _MICROS))
@@ -117,6 +128,7 @@ def match_counts(
     within_seconds: int = S.JOIN_WITHIN_SECONDS,
     slice_seconds: int = SLICE_SECONDS,
     ts: str = "ts",
+    pair_missing_ids: bool = False,
 ) -> DataFrame:
     """How many analyses each review meets, without building the pairs.
 
@@ -126,6 +138,8 @@ def match_counts(
     linear in the rows, where the pairs of a much repeated review would be
     quadratic. A window partition holds one entry per distinct instant of one
     review within one slice: 600,000 at most for millisecond record times.
+    Reviews without id match nothing, unless ``pair_missing_ids``, and are
+    counted in one row per job.
 
     Returns one row per review instant: ``reviews`` and ``rating_sum`` over the
     copies at that instant and, for each single copy, ``matches``, ``positive``,
@@ -134,6 +148,9 @@ def match_counts(
     """
     zero = F.lit(0).cast("bigint")
     micros = F.unix_micros(F.col(ts))
+    anonymous = transform.filter(~has_id())
+    if not pair_missing_ids:
+        transform, analysis = transform.filter(has_id()), analysis.filter(has_id())
     left = transform.select(
         "job_id",
         "review_id",
@@ -175,7 +192,7 @@ def match_counts(
     def within(column: str) -> Column:
         return F.sum(column).over(upto) - F.coalesce(F.sum(column).over(before), zero)
 
-    return (
+    matched = (
         per_instant.select(
             "job_id",
             "review_id",
@@ -197,3 +214,10 @@ def match_counts(
         )
         .drop("_offsets", "_slice", "_at")
     )
+    if pair_missing_ids:
+        return matched
+    alone = anonymous.groupBy("job_id").agg(
+        F.count(F.lit(1)).alias("reviews"), F.coalesce(F.sum("rating"), F.lit(0.0)).alias("rating_sum")
+    )
+    none = {name: zero for name in ("matches", "positive", "negative", "neutral", "lag_micros")}
+    return matched.unionByName(alone.withColumns({"review_id": F.lit(""), **none}))

@@ -288,6 +288,20 @@ def _(spark, sf):
     return _joined(spark, sf, "title").select(*_JOIN_COLUMNS)
 
 
+def _anonymous(spark, sf, *carry: str) -> tuple[DataFrame, DataFrame]:
+    """Reviews and analyses some of which have no review id."""
+    messages = fx.transform_messages(spark, sf, anonymous=True)
+    return (
+        parse.parse_transform(messages, carry, figures=("rating",)),
+        parse.flatten_analysis(fx.analysis_messages(spark, sf, anonymous=True)),
+    )
+
+
+@query("join_missing_ids")
+def _(spark, sf):
+    return reviews.join_reviews(*_anonymous(spark, sf, "title")).select(*_JOIN_COLUMNS)
+
+
 @query("joined_rows")
 def _(spark, sf):
     rows = reviews.joined_rows(_joined(spark, sf, *S.PASS_THROUGH))
@@ -581,7 +595,7 @@ def _(spark, sf):
 
 @query("join_drop_rate")
 def _(spark, sf):
-    return mx.join_drop_rate(_reviews(spark, sf, figures=("rating",)), _analyses(spark, sf))
+    return mx.join_drop_rate(*_anonymous(spark, sf))
 
 
 # --- the operators on streams: run to the end of the input, then read the sink

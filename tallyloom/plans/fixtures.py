@@ -16,6 +16,7 @@ from tallyloom import schema as S
 from tallyloom.functions import scalars as sc
 
 RESENT = "purchase"  # events delivered a second time, one second later
+NAMELESS = 7
 ODD = "error"  # events whose analysis message holds no usable result
 
 
@@ -41,8 +42,15 @@ def _variant(expr: str) -> str:
     return f"CAST({expr} AS VARIANT)"
 
 
-def transform_messages(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
-    """``(key, value, ts, redelivery)`` from events."""
+def _review_id(anonymous: bool) -> Column:
+    return F.expr(f"CASE WHEN event_id % {NAMELESS} <> 0 OR {not anonymous} THEN concat('r', event_id) END")
+
+
+def transform_messages(
+    spark: SparkSession, sf_dir: str, streaming: bool = False, anonymous: bool = False
+) -> DataFrame:
+    """``(key, value, ts, redelivery)`` from events. With ``anonymous`` every
+    ``NAMELESS``-th review has no id."""
     events = table(spark, sf_dir, "events", streaming).withColumns(
         {
             "_rating": F.expr("CAST(FLOOR(value) AS BIGINT) % 12 / 2"),
@@ -68,7 +76,7 @@ def transform_messages(spark: SparkSession, sf_dir: str, streaming: bool = False
     )
     value = _json(
         job_id=F.expr("concat('job-', user_id)"),
-        review_id=F.expr("concat('r', event_id)"),
+        review_id=_review_id(anonymous),
         rating=rating,
         overall_star_rating=F.expr("CASE WHEN event_type = 'view' THEN _rating END"),
         star_rating=F.expr("CASE WHEN event_type IN ('purchase', 'error') THEN _rating END"),
@@ -93,7 +101,9 @@ def transform_messages(spark: SparkSession, sf_dir: str, streaming: bool = False
     )
 
 
-def analysis_messages(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
+def analysis_messages(
+    spark: SparkSession, sf_dir: str, streaming: bool = False, anonymous: bool = False
+) -> DataFrame:
     """``(value, ts)`` from events: results lists; some list a result without job.
 
     Those of ``ODD`` events have a text, an empty list or nothing for results,
@@ -102,7 +112,7 @@ def analysis_messages(spark: SparkSession, sf_dir: str, streaming: bool = False)
     events = table(spark, sf_dir, "events", streaming)
     result = F.struct(
         F.expr("concat('job-', user_id)").alias("job_id"),
-        F.expr("concat('r', event_id)").alias("review_id"),
+        _review_id(anonymous).alias("review_id"),
         F.expr(
             f"""CASE WHEN value < 10 THEN '{S.NEGATIVE}' WHEN value < 40 THEN '{S.POSITIVE}'
                 WHEN value < 80 THEN '{S.NEUTRAL}' WHEN value < 100 THEN '혼합' END"""

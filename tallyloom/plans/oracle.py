@@ -375,6 +375,9 @@ SELECT job_id, review_id, ts, rating, trial, empty, valid, l_partkey, l_extended
     "join_reviews": with_tables("""
 SELECT job_id, review_id, ts, redelivery, analysis_ts, rating, event_type AS title, sentiment, summary
 FROM jn""", REVIEWS, ANALYSES, PAIRS),
+    "join_missing_ids": with_tables("""
+SELECT job_id, review_id, ts, redelivery, analysis_ts, rating, event_type AS title, sentiment, summary
+FROM jn WHERE event_id % 7 <> 0""", REVIEWS, ANALYSES, PAIRS),
     "joined_rows": with_tables(f"""
 SELECT job_id, review_id,
        '{{' || CASE WHEN event_type <> 'view'
@@ -521,8 +524,10 @@ SELECT step, COUNT(*) AS messages, {pct(n_if("status = 'done'"), 'COUNT(*)')} AS
        {pct(n_if('expected_count = actual_count'), 'COUNT(*)')} AS match_rate
 FROM lg GROUP BY step""", LOG),
     "join_drop_rate": with_tables(f"""
-SELECT job_id, COUNT(*) AS reviews, {n_if('NOT met')} AS dropped, {pct(n_if('NOT met'), 'COUNT(*)')} AS drop_rate
-FROM (SELECT t.job_id, EXISTS (SELECT 1 FROM an a WHERE a.job_id = t.job_id AND a.review_id = t.review_id
+SELECT job_id, COUNT(*) AS reviews, {n_if('NOT met')} AS dropped, {n_if('nameless')} AS without_id,
+       {pct(n_if('NOT met'), 'COUNT(*)')} AS drop_rate
+FROM (SELECT t.job_id, event_id % 7 = 0 AS nameless, event_id % 7 <> 0 AND EXISTS (
+        SELECT 1 FROM an a WHERE a.job_id = t.job_id AND a.review_id = t.review_id
         AND a.ts BETWEEN t.ts - INTERVAL '90' SECOND AND t.ts + INTERVAL '90' SECOND) AS met FROM tr t)
 GROUP BY job_id""", REVIEWS, ANALYSES),
 }

@@ -6,23 +6,22 @@ import pytest
 from conftest import at
 from pyspark.sql import functions as F
 
-from __spark_entry__ import SMOKE_DIR, queries
+from __spark_entry__ import SMOKE_DIR
 from tallyloom import session
 from tallyloom.operators import control as ct
 from tallyloom.operators import keywords as kw
 from tallyloom.operators import parse, ratings, reviews
 from tallyloom.plans import fixtures as fx
-
-BATCH = [name for name in queries() if not name.startswith("stream_") and name != "job_document_spec"]
+from tallyloom.plans.catalog import QUERIES
 
 
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", BATCH)
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_no_python_and_no_cross_join(spark, name):
-    plan = plan_of(queries()[name](spark, SMOKE_DIR))
+    plan = plan_of(QUERIES[name](spark, SMOKE_DIR))
     for node in ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
         assert node not in plan, node
 
@@ -98,16 +97,33 @@ def test_shares_of_a_keyword_with_very_many_tags(spark):
         (4, 1, 50_000), (3, 5_001, 50_000), (2, 10_001, 50_000), (1, 15_001, 50_000)}
 
 
+def test_tags_of_one_keyword_are_joined_in_many_tasks(spark):
+    counts = spark.range(200_000).select(
+        F.lit("j").alias("job_id"), F.lit("k").alias("keyword"), F.col("id").cast("string").alias("tag"),
+        F.lit(1).cast("bigint").alias("n"))
+    settings = {"spark.sql.adaptive.skewJoin.enabled": "false", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "200"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        shares = kw._ranked_shares(counts, ["job_id", "keyword"], lambda n, total: n / total)
+        sizes = [r["count"] for r in shares.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 200_000 and len(sizes) >= kw.SALTS / 2 and max(sizes) < 60_000
+
+
 class Cluster:
-    """Just the two things ``work_dir`` asks a session for."""
+    """Just what ``work_dir`` asks a session for."""
 
-    def __init__(self, master, shared):
-        self.sparkContext = type("Context", (), {"master": master})
-        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: shared or default)})
+    def __init__(self, **settings):
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: settings.get(key, default))})
 
 
-def test_work_dir_follows_the_shared_setting(spark):
-    assert session.work_dir(Cluster("yarn", "hdfs:///work/"), "x").startswith("hdfs:///work/x-")
-    with pytest.raises(ValueError):
-        session.work_dir(Cluster("yarn", None), "x")
+def test_work_dir_is_shared(spark):
+    shared = Cluster(**{"spark.checkpoint.dir": "hdfs:///work/"})
+    assert session.work_dir(shared, "x").startswith("hdfs:///work/x-")
+    assert session.work_dir(Cluster(**{"spark.sql.warehouse.dir": "hdfs:///tables"}), "x").startswith("hdfs:///tables/work/x-")
     assert session.work_dir(spark, "x") != session.work_dir(spark, "x")

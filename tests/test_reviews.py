@@ -38,7 +38,18 @@ def test_interval_ends_are_included(spark):
 
 def test_other_keys_do_not_meet(spark):
     t, a = tables(spark, [("j", "r", 0), ("", "", 0)], [("j", "s", 0, POS), ("k", "r", 0, POS), ("", "", 5, NEG)])
-    assert [(r.job_id, r.sentiment) for r in reviews.join_reviews(t, a).collect()] == [("", NEG)]
+    assert reviews.join_reviews(t, a).count() == 0  # rows without review id have nothing in common
+    literal = reviews.join_reviews(t, a, pair_missing_ids=True)
+    assert [(r.job_id, r.sentiment) for r in literal.collect()] == [("", NEG)]
+
+
+def test_reviews_without_id_make_no_pairs(spark):
+    t, a = tables(spark, [("j", "", i % 50) for i in range(400)] + [("j", "r", 0)], [("j", "", i % 50, POS) for i in range(400)])
+    assert reviews.join_reviews(t, a).count() == 0
+    row = mx.join_drop_rate(t, a).first()
+    assert (row.reviews, row.dropped, row.without_id) == (401, 401, 400)
+    counts = reviews.match_counts(t, a, pair_missing_ids=True).agg(F.sum(F.col("reviews") * F.col("matches"))).first()[0]
+    assert counts == 160_000 == reviews.join_reviews(t, a, pair_missing_ids=True).count()
 
 
 @pytest.mark.parametrize("slice_seconds", [7, 90, 600, 100_000])
