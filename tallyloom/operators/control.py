@@ -257,9 +257,10 @@ def timeout_message(job_id: Column, step: Column, expected: Column, actual: Colu
 
 
 def encode_event(ts: Column) -> Column:
-    """The JSON message of an event row."""
+    """The JSON message of an event row; ``error_message`` shows on failure."""
     return control_message(
-        F.col("job_id"), F.col("step"), F.col("status"), F.col("expected_count"), F.col("actual_count"), ts
+        F.col("job_id"), F.col("step"), F.col("status"), F.col("expected_count"), F.col("actual_count"), ts,
+        error=F.when(F.col("status") != "done", F.lit(S.TIMEOUT_TEXT)),
     )
 
 
@@ -299,6 +300,17 @@ def control_events(
     ).select("event_key", "job_id", "step", "status", "expected_count", "actual_count")
 
 
+def ledger_events(
+    job_ledger: DataFrame, as_of: Column | None = None, timeout_minutes: int = S.JOB_TIMEOUT_MINUTES
+) -> DataFrame:
+    """``control_events`` and, with ``as_of``, the steps that are past their own limit."""
+    events = control_events(job_ledger, as_of, timeout_minutes)
+    if as_of is None:
+        return events
+    key = sc.composite_key(F.col("job_id"), F.col("step"), F.col("status")).alias("event_key")
+    return events.unionByName(step_timeouts(job_ledger, as_of).select(key, "*"))
+
+
 def is_overdue(as_of: Column, timeout_minutes: int = S.JOB_TIMEOUT_MINUTES) -> Column:
     limit = F.lit(timeout_minutes * 60_000).cast("bigint")
     return ~F.col("aggregation_done") & sc.older_than(F.col("collected_at"), limit, as_of)

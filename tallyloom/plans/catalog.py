@@ -601,73 +601,128 @@ def _(spark, sf):
 # --- the operators on streams: run to the end of the input, then read the sink
 
 
-def _stream(spark, sf):
-    return (
-        parse.parse_transform(
-            fx.transform_messages(spark, sf, streaming=True), ("title",), figures=("rating",)
-        ),
-        parse.flatten_analysis(fx.analysis_messages(spark, sf, streaming=True)),
-    )
+# The messages come in so many portions by time, the stream runs on after each.
+PORTIONS = 3
+
+
+def _fed(spark, sf, work: str, writer) -> None:
+    """Feeds a stream portion by portion. ``writer`` gets the three sources."""
+    inputs = {
+        "transform": fx.transform_messages(spark, sf),
+        "analysis": fx.analysis_messages(spark, sf).withColumn("key", F.lit(None).cast("string")),
+        "control": fx.collection_messages(spark, sf),
+    }
+    ends = inputs["transform"].agg(F.min("ts").alias("a"), F.max("ts").alias("z")).first()
+    step = (ends["z"] - ends["a"]) / PORTIONS if ends["a"] else None
+    sources = {name: readers.Source(path=f"{work}/in/{name}") for name in inputs}
+    for i in range(PORTIONS):
+        for name, messages in inputs.items():
+            portion = messages.select("key", "value", "ts")
+            if step and i > 0:
+                portion = portion.filter(F.col("ts") >= F.lit(ends["a"] + i * step))
+            if step and i < PORTIONS - 1:
+                portion = portion.filter(F.col("ts") < F.lit(ends["a"] + (i + 1) * step))
+            portion.write.mode("append").parquet(sources[name].path)
+        sinks.run_available(writer(sources))
+
+
+def _fed_reviews(spark, sources, *carry):
+    return readers.read_transform(spark, sources["transform"], carry, streaming=True)
+
+
+def _fed_analyses(spark, sources):
+    return readers.read_analysis(spark, sources["analysis"], streaming=True)
 
 
 @query("stream_join_reviews")
 def _(spark, sf):
     work = work_dir(spark, "join")
-    joined = flows.join_reviews(*_stream(spark, sf)).select(*_JOIN_COLUMNS)
-    sinks.run_available(sinks.append(joined, f"{work}/rows", f"{work}/checkpoint"))
+
+    def writer(sources):
+        joined = flows.join_reviews(_fed_reviews(spark, sources, "title"), _fed_analyses(spark, sources))
+        return sinks.append(joined.select(*(c for c in _JOIN_COLUMNS if c != "redelivery")), f"{work}/rows", f"{work}/checkpoint")
+
+    _fed(spark, sf, work, writer)
     return spark.read.parquet(f"{work}/rows")
 
 
 @query("stream_hourly_counts")
 def _(spark, sf):
     work = work_dir(spark, "hours")
-    counts = flows.hourly_counts(_stream(spark, sf)[0])
-    sinks.run_available(sinks.append(counts, f"{work}/rows", f"{work}/checkpoint"))
+    _fed(spark, sf, work, lambda sources: sinks.append(
+        flows.hourly_counts(_fed_reviews(spark, sources)), f"{work}/rows", f"{work}/checkpoint"))
     return spark.read.parquet(f"{work}/rows")
 
 
 @query("stream_distinct_counts")
 def _(spark, sf):
     work = work_dir(spark, "distinct")
-    counts = flows.distinct_counts(_stream(spark, sf)[0])
-    sinks.run_available(sinks.changelog(counts, f"{work}/rows", f"{work}/checkpoint"))
+    _fed(spark, sf, work, lambda sources: sinks.changelog(
+        flows.distinct_counts(_fed_reviews(spark, sources)), f"{work}/rows", f"{work}/checkpoint"))
     return sinks.read_latest(spark, f"{work}/rows", ["job_id"])
 
 
 @query("stream_combined")
 def _(spark, sf):
     work = work_dir(spark, "combined")
-    stats = flows.combined_job_stats(*_stream(spark, sf))
-    sinks.run_available(sinks.changelog(stats, f"{work}/rows", f"{work}/checkpoint"))
+    _fed(spark, sf, work, lambda sources: sinks.changelog(
+        flows.combined_job_stats(_fed_reviews(spark, sources), _fed_analyses(spark, sources)),
+        f"{work}/rows", f"{work}/checkpoint"))
     return sinks.read_latest(spark, f"{work}/rows", ["job_id"])
 
 
 def _emitted(spark, sf, at: Column | None):
     work = work_dir(spark, "events")
-    fx.collection_messages(spark, sf).write.parquet(f"{work}/control")
-    control = readers.read_control(spark, readers.Source(path=f"{work}/control"), streaming=True)
-    updates = flows.ledger(*_stream(spark, sf), control)
-    sinks.run_available(
-        flows.emit_events(spark, updates, f"{work}/ledger", f"{work}/rows", f"{work}/checkpoint", at)
-    )
+
+    def writer(sources):
+        control = readers.read_control(spark, sources["control"], streaming=True)
+        updates = flows.ledger(_fed_reviews(spark, sources), _fed_analyses(spark, sources), control)
+        return flows.emit_events(spark, updates, f"{work}/ledger", f"{work}/rows", f"{work}/checkpoint", at)
+
+    _fed(spark, sf, work, writer)
     return flows.read_events(spark, f"{work}/rows")
 
 
 @query("stream_emit_done")
 def _(spark, sf):
-    return _emitted(spark, sf, None)
+    # the count in a done message is the one at the moment the step became complete
+    return _emitted(spark, sf, None).select("event_key", "job_id", "step", "status", "expected_count")
 
 
 @query("stream_job_timeouts")
 def _(spark, sf):
-    return _emitted(spark, sf, as_of()).filter("status = 'failed'")
+    return _emitted(spark, sf, as_of()).filter("status = 'failed'").drop("message")
 
 
 @query("stream_job_document")
 def _(spark, sf):
     work = work_dir(spark, "documents")
-    rows = parse.parse_transform(fx.transform_messages(spark, sf, streaming=True), ("keywords",))
-    results = parse.flatten_analysis(fx.analysis_messages(spark, sf, streaming=True))
-    sinks.run_available(sinks.changelog(cl.job_cells(rows, results), f"{work}/cells", f"{work}/checkpoint"))
+    _fed(spark, sf, work, lambda sources: sinks.changelog(
+        cl.job_cells(_fed_reviews(spark, sources, "keywords"), _fed_analyses(spark, sources)),
+        f"{work}/cells", f"{work}/checkpoint"))
     cells = sinks.read_latest(spark, f"{work}/cells", cl.KEYS)
     return _read_document(doc.job_document(cells, sc.kst_iso(as_of())))
+
+
+@query("stream_quarantine")
+def _(spark, sf):
+    """Unreadable analysis messages that a stream came across."""
+    work = work_dir(spark, "quarantine")
+    _fed(spark, sf, work, lambda sources: sinks.append(
+        parse.quarantine(readers.read_messages(spark, sources["analysis"], streaming=True)),
+        f"{work}/rows", f"{work}/checkpoint"))
+    return spark.read.parquet(f"{work}/rows").drop("key")
+
+
+@query("read_sources")
+def _(spark, sf):
+    """Reviews and analyses by job, read back from message files."""
+    work = work_dir(spark, "sources")
+    fx.transform_messages(spark, sf).select("key", "value", "ts").write.parquet(f"{work}/transform")
+    fx.analysis_messages(spark, sf).write.json(f"{work}/analysis", ignoreNullFields=False)
+    rows = readers.read_transform(spark, readers.Source(path=f"{work}/transform"))
+    results = readers.read_analysis(spark, readers.Source("json", f"{work}/analysis", schema="value string, ts timestamp", key=None))
+    both = rows.select("job_id", "rating", F.lit(1).alias("t"), F.lit(0).alias("a")).unionByName(
+        results.select("job_id", F.lit(0.0).alias("rating"), F.lit(0).alias("t"), F.lit(1).alias("a")))
+    return both.groupBy("job_id").agg(
+        F.sum("t").alias("reviews"), F.sum("a").alias("analyses"), F.sum("rating").alias("ratings"))

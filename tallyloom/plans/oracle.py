@@ -533,12 +533,21 @@ GROUP BY job_id""", REVIEWS, ANALYSES),
 }
 
 # --- the streaming twins end with what the batch form returns
-SQL["stream_join_reviews"] = SQL["join_reviews"]
+SQL["stream_join_reviews"] = with_tables("""
+SELECT job_id, review_id, ts, analysis_ts, rating, event_type AS title, sentiment, summary
+FROM jn""", REVIEWS, ANALYSES, PAIRS)
 SQL["stream_hourly_counts"] = with_tables(f"""
 SELECT job_id, window_start, window_start + INTERVAL '1' HOUR AS window_end, n FROM th
 WHERE window_start + INTERVAL '1' HOUR <= {NEWEST} - INTERVAL '2' MINUTE""", REVIEWS, ANALYSES, HOURS)
 SQL["stream_distinct_counts"] = with_tables("SELECT job_id, n FROM tc", REVIEWS, ANALYSES, COUNTS)
 SQL["stream_combined"] = SQL["combined_job_stats"]
-SQL["stream_emit_done"] = with_tables(events_sql(None), *LEDGER_TABLES)
+SQL["stream_emit_done"] = with_tables(
+    f"SELECT event_key, job_id, step, status, expected_count FROM ({events_sql(None)})", *LEDGER_TABLES)
+SQL["stream_quarantine"] = """
+SELECT '{"results":[{' AS value, ts + (event_id % 181) * INTERVAL '1' SECOND AS ts, 'not a JSON object' AS reason
+FROM events WHERE event_type = 'error' AND event_id % 5 = 4"""
+SQL["read_sources"] = with_tables("""
+SELECT job_id, CAST(SUM(t) AS BIGINT) AS reviews, CAST(SUM(a) AS BIGINT) AS analyses, SUM(rating) AS ratings FROM (
+  SELECT job_id, rating, 1 AS t, 0 AS a FROM tr UNION ALL SELECT job_id, 0.0e0, 0, 1 FROM an) GROUP BY job_id""", REVIEWS, ANALYSES)
 SQL["stream_job_timeouts"] = SQL["job_timeouts"]
 SQL["stream_job_document"] = SQL["job_document"]

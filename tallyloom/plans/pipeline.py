@@ -67,7 +67,7 @@ def run_batch(spark: SparkSession, inputs: Inputs, out: Outputs, as_of: Column |
     ledger = ct.ledger(
         ct.expected_counts(control), ct.distinct_counts(good), ct.distinct_counts(analysis)
     )
-    events = ct.control_events(ledger, now)
+    events = ct.ledger_events(ledger, now)
     events.withColumn("message", ct.encode_event(now)).write.mode("overwrite").parquet(out.events)
 
 
@@ -81,7 +81,7 @@ def start_streams(
     inputs: Inputs,
     out: Outputs,
     trigger: dict | None = None,
-    lifetime: str | None = None,
+    lifetime: str | None = S.JOB_LIFETIME,
     delay: str = "0 seconds",
 ) -> list[StreamingQuery]:
     """Starts the queries behind ``rows``, ``hours``, ``cells`` and ``events``.

@@ -21,6 +21,8 @@ DEFAULT_TIMEOUT_MINUTES = 30
 # Minutes after the end of a collection before the whole job counts as failed.
 JOB_TIMEOUT_MINUTES = 10
 TIMEOUT_TEXT = "Processing timeout exceeded"
+# How long after its event time a review or a finished job is still known to streams.
+JOB_LIFETIME = "7 days"
 
 UNKNOWN_JOB = "unknown"
 ERROR_JOB = "error"

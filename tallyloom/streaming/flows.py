@@ -2,7 +2,7 @@
 
 State is bounded by watermarks. Where a result needs every review id of a job
 (distinct counts), ``lifetime`` says how long after a review's event time a
-copy of it may still arrive; without it the ids are kept for good.
+copy of it may still arrive; only ``lifetime=None`` keeps the ids for good.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tallyloom import schema as S
+from tallyloom.functions import scalars as sc
 from tallyloom.operators import control as ct
 from tallyloom.operators import documents as doc
 from tallyloom.operators import reviews
@@ -20,8 +21,10 @@ from tallyloom.sources import sinks
 LEDGER_LAYOUT = """
   job_id string, expected_count bigint, collected_at timestamp, transform_count bigint, analysis_count bigint,
   transform_done boolean, analysis_done boolean, min_count bigint, aggregation_done boolean"""
+KNOWN_LAYOUT = f"{LEDGER_LAYOUT}, told array<string>"
 EVENT_LAYOUT = """
-  event_key string, job_id string, step string, status string, expected_count bigint, actual_count bigint"""
+  event_key string, job_id string, step string, status string, expected_count bigint, actual_count bigint,
+  message string"""
 
 
 def join_reviews(transform: DataFrame, analysis: DataFrame, delay: str = "0 seconds", **interval) -> DataFrame:
@@ -42,7 +45,7 @@ def once_per_key(rows: DataFrame, keys: list[str], lifetime: str | None) -> Data
     return rows.withWatermark("ts", lifetime).dropDuplicatesWithinWatermark(keys)
 
 
-def distinct_counts(rows: DataFrame, lifetime: str | None = None) -> DataFrame:
+def distinct_counts(rows: DataFrame, lifetime: str | None = S.JOB_LIFETIME) -> DataFrame:
     """Distinct reviews per job, for update mode."""
     ids = once_per_key(rows.select("job_id", "review_id", "ts"), ["job_id", "review_id"], lifetime)
     return ids.groupBy("job_id").agg(F.count(F.lit(1)).alias("n"))
@@ -54,12 +57,19 @@ def combined_job_stats(transform: DataFrame, analysis: DataFrame) -> DataFrame:
 
 
 def ledger(
-    transform: DataFrame, analysis: DataFrame, control: DataFrame, lifetime: str | None = None
+    transform: DataFrame,
+    analysis: DataFrame,
+    control: DataFrame,
+    lifetime: str | None = S.JOB_LIFETIME,
+    heartbeat: DataFrame | None = None,
 ) -> DataFrame:
     """Counts and expectation of each collected job, for update mode.
 
     The three streams meet as one tagged union under one aggregation. A
-    collection message counts as one item, named by its time and content.
+    collection message counts as one item, named by its time and content. Rows
+    of ``heartbeat``, whatever they hold, change nothing; they only make a
+    micro-batch run, so that timeouts are noticed while no message comes. They
+    carry the oldest time and so move no watermark.
     """
     item = lambda rows, kind: rows.select(
         F.lit(kind).alias("kind"), "job_id", "review_id", "ts", F.lit(None).cast("bigint").alias("expected_count")
@@ -72,6 +82,14 @@ def ledger(
         "expected_count",
     )
     items = item(transform, "transform").unionByName(item(analysis, "analysis")).unionByName(collected)
+    if heartbeat is not None:
+        text, number = F.lit(None).cast("string"), F.lit(None).cast("bigint")
+        items = items.unionByName(
+            heartbeat.select(
+                F.lit("heartbeat").alias("kind"), text.alias("job_id"), text.alias("review_id"),
+                F.timestamp_micros(F.lit(0)).alias("ts"), number.alias("expected_count"),
+            )
+        )
     once = once_per_key(items, ["kind", "job_id", "review_id"], lifetime)
     is_kind = lambda kind: F.col("kind") == kind
     order = F.when(is_kind("collection"), F.struct("ts", "expected_count"))
@@ -103,37 +121,47 @@ def emit_events(
     checkpoint: str,
     as_of: Column | None = None,
     timeout_minutes: int = S.JOB_TIMEOUT_MINUTES,
+    remember: str = S.JOB_LIFETIME,
 ) -> DataStreamWriter:
-    """Writes each control event once, however often its job is updated.
-
-    Per micro-batch: store the updated ledger rows, lay them over the jobs the
-    batch before left open, derive the events and leave out those written
-    earlier. With ``as_of`` open jobs are checked for their timeout as well.
-    What stays open (neither aggregated nor reported overdue) is handed on, so
-    a batch costs its updates and the open jobs, not the history. A repeated
-    batch sees only the batches before it and writes the same again.
+    """Writes each control event once, with its message, however often its job is updated.
+
+    Per micro-batch: store the updated ledger rows, lay them over the jobs that
+    the batch before handed on, derive the events, leave out those a job was
+    told before, and hand the jobs on with what they were told. With ``as_of``
+    open jobs are checked for their timeouts as well. Finished jobs are handed on
+    until ``remember`` after their collection, so that late updates tell
+    nothing twice. A batch costs its updates and the jobs handed on and reads
+    no output of earlier batches. A repeated batch starts from the same jobs
+    and writes the same again.
     """
-    updates, still_open = f"{ledger_path}/updates", f"{ledger_path}/open"
-    sinks.write_batch(spark.createDataFrame([], EVENT_LAYOUT), events_path, -1)
-    sinks.write_batch(spark.createDataFrame([], LEDGER_LAYOUT), still_open, -1)
+    updates, known = f"{ledger_path}/updates", f"{ledger_path}/known"
+    sinks.write_batch(spark.createDataFrame([], KNOWN_LAYOUT), known, -1)
+    none = F.array().cast("array<string>")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         sinks.write_batch(ct.with_done_flags(batch), updates, batch_id)
         updated = sinks.read_batch(session, updates, batch_id, LEDGER_LAYOUT)
-        before = sinks.read_batch(session, still_open, batch_id - 1, LEDGER_LAYOUT)
-        current = updated.unionByName(before.join(updated.select("job_id"), "job_id", "left_anti"))
-
-        now = None if as_of is None else pinned(session, as_of)
-        events = ct.control_events(current, now, timeout_minutes)
-        sent = sinks.read_changelog(session, events_path, EVENT_LAYOUT).filter(F.col(sinks.BATCH) < batch_id)
-        fresh = events.join(sent.select("event_key"), "event_key", "left_anti")
+        before = sinks.read_batch(session, known, batch_id - 1, KNOWN_LAYOUT)
+        renewed = updated.join(before.select("job_id", "told"), "job_id", "left")
+        current = renewed.unionByName(before.join(updated.select("job_id"), "job_id", "left_anti"))
+        current = current.withColumn("told", F.coalesce("told", none))
+
+        now = pinned(session, F.current_timestamp() if as_of is None else as_of)
+        events = ct.ledger_events(current, None if as_of is None else now, timeout_minutes)
+        fresh = events.join(current.select("job_id", "told"), "job_id").filter(~F.array_contains("told", F.col("event_key")))
+        fresh = fresh.withColumn("message", ct.encode_event(now)).select("event_key", "job_id", "step", "status", "expected_count", "actual_count", "message")
         sinks.write_batch(fresh, events_path, batch_id)
 
-        waiting = current.filter("NOT aggregation_done")
-        if now is not None:
-            waiting = waiting.filter(~ct.is_overdue(now, timeout_minutes))
-        sinks.write_batch(waiting, still_open, batch_id)
+        written = sinks.read_batch(session, events_path, batch_id, EVENT_LAYOUT)
+        news = written.groupBy("job_id").agg(F.collect_list("event_key").alias("news"))  # a few for each job
+        after = current.join(news, "job_id", "left").withColumn("told", F.concat("told", F.coalesce("news", none)))
+        finished = F.col("aggregation_done") | F.array_contains("told", sc.composite_key(F.col("job_id"), F.lit("timeout")))
+        newest = current.agg(F.max("collected_at").alias("t")).first()["t"]
+        if newest is not None:
+            expired = F.col("collected_at") < F.lit(newest) - F.expr(f"INTERVAL {remember}")
+            after = after.filter(~(finished & expired))
+        sinks.write_batch(after.drop("news"), known, batch_id)
 
     return sinks.updates(ledger_updates, checkpoint, handle)
 
