@@ -51,8 +51,7 @@ def parse_transform(
     ``'mark'`` keeps them with their text in the column ``unreadable``, null
     for good messages, so one pass can store both.
     """
-    if on_error not in ("quarantine", "row", "mark"):
-        raise ValueError(f"on_error must be 'quarantine', 'row' or 'mark', not {on_error!r}")
+    _check(on_error, "quarantine", "row", "mark")
     unknown = set(carry) - set(S.PASS_THROUGH)
     if unknown:
         raise ValueError(f"not fields of a transform message: {sorted(unknown)}")
@@ -80,7 +79,6 @@ def parse_transform(
         "empty": lambda: sc.flag_is_one(m("is_empty_review")),
         "trial": lambda: sc.flag_is_one(m("is_coupang_trial")),
     }
-    unreadable = F.when(~readable, F.coalesce(m(codec.CORRUPT), F.lit("")))
     kept = [F.col(c) for c in messages.columns if c != value]
     return parsed.select(
         *kept,
@@ -88,10 +86,20 @@ def parse_transform(
         review.alias("review_id"),
         *(figure[name]().alias(name) for name in figures),
         *(_carried(m(name), name).alias(name) for name in carry),
-        *([unreadable.alias("unreadable")] if on_error == "mark" else []),
+        *([_unreadable()] if on_error == "mark" else []),
     )
 
 
+def _check(on_error: str, *known: str) -> None:
+    if on_error not in known:
+        raise ValueError(f"on_error must be one of {known}, not {on_error!r}")
+
+
+def _unreadable() -> Column:
+    """The text of a message that is no JSON object, else null."""
+    return F.when(~codec.is_readable(F.col("_m")), F.coalesce(F.col("_m")[codec.CORRUPT], F.lit(""))).alias("unreadable")
+
+
 def _carried(field: Column, name: str) -> Column:
     kind = S.JOINED_COLUMNS[name]
     if name == "keywords":
@@ -101,16 +109,21 @@ def _carried(field: Column, name: str) -> Column:
     return field if kind == "string" else field.try_cast(kind)
 
 
-def flatten_analysis(messages: DataFrame, value: str = "value") -> DataFrame:
+def flatten_analysis(messages: DataFrame, value: str = "value", on_error: str = "quarantine") -> DataFrame:
     """One row per analysis result; results without a job id are left out.
 
     The results are read as VARIANT, so one odd element does not cost the rest
-    of its message.
+    of its message. ``on_error='mark'`` adds a row for each unreadable message
+    with its text in the column ``unreadable``, null for results.
     """
+    _check(on_error, "quarantine", "mark")
     kept = [c for c in messages.columns if c != value]
-    rows = codec.parse_once(messages, value, {"results": "array<variant>"}).select(
-        *kept, F.explode("_m.results").alias("_r")
-    )
+    mark = on_error == "mark"
+    rows = codec.parse_once(messages, value, {"results": "array<variant>"})
+    if mark:
+        rows = rows.select(*kept, _unreadable(), F.explode_outer("_m.results").alias("_r"))
+    else:
+        rows = rows.select(*kept, F.explode("_m.results").alias("_r"))
     field = lambda name, kind="string": F.try_variant_get("_r", f"$.{name}", kind)
     trial = F.try_variant_get("_r", "$.is_coupang_trial", "variant")
     return rows.select(
@@ -120,7 +133,8 @@ def flatten_analysis(messages: DataFrame, value: str = "value") -> DataFrame:
         field("sentiment").alias("sentiment"),
         field("summary").alias("summary"),
         sc.flag_is_one(trial).alias("trial"),
-    ).filter(F.col("job_id") != "")
+        *(["unreadable"] if mark else []),
+    ).filter("job_id <> '' OR unreadable IS NOT NULL" if mark else "job_id <> ''")
 
 
 def flatten_array(
@@ -204,8 +218,11 @@ def _marked(messages: DataFrame, value: str) -> DataFrame:
     return codec.parse_once(copy, "_text", {"job_id": "string"})
 
 
-def parse_control(messages: DataFrame, key: str | None = None, value: str = "value") -> DataFrame:
-    """Typed control messages; unreadable ones are left out.
+def parse_control(
+    messages: DataFrame, key: str | None = None, value: str = "value", on_error: str = "quarantine"
+) -> DataFrame:
+    """Typed control messages; unreadable ones are left out or, with
+    ``on_error='mark'``, kept with their text in the column ``unreadable``.
 
     ``job_id`` falls back to the record key named by ``key``.
     """
@@ -224,12 +241,15 @@ def parse_control(messages: DataFrame, key: str | None = None, value: str = "val
     count = lambda name: F.coalesce(
         sc.number_or_zero(m(name)).try_cast("bigint"), F.lit(0).cast("bigint")
     )
+    _check(on_error, "quarantine", "mark")
+    mark = on_error == "mark"
     kept = [c for c in messages.columns if c not in (value, key)]
+    parsed = codec.parse_once(messages, value, fields)
     return (
-        codec.parse_once(messages, value, fields)
-        .filter(codec.is_readable(F.col("_m")))
+        (parsed if mark else parsed.filter(codec.is_readable(F.col("_m"))))
         .select(
             *kept,
+            *([_unreadable()] if mark else []),
             sc.control_key(record_key, m("job_id")).alias("job_id"),
             m("step").alias("step"),
             m("status").alias("status"),

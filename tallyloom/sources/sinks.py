@@ -70,6 +70,34 @@ def read_latest(spark: SparkSession, path: str, keys: Sequence[str], layout: str
     return latest_by_key(read_changelog(spark, path, layout), keys, [BATCH]).drop(BATCH)
 
 
+#: A compacting changelog starts a new base every so many batches.
+BLOCK = 20
+
+
+def write_compacting(df: DataFrame, path: str, batch_id: int, keys: Sequence[str], layout: str, block: int = BLOCK) -> DataFrame:
+    """Writes a batch of updates and returns the current rows of all keys.
+
+    Every ``block`` batches the current rows become a new base, so a batch
+    reads one base and the updates since, whatever came before. Folders are
+    named by batch number and never listed.
+    """
+    spark = df.sparkSession
+    number, base = batch_id // block, f"{path}/base"
+    if batch_id == 0:
+        write_batch(spark.createDataFrame([], layout), base, 0)
+    elif batch_id % block == 0:
+        write_batch(_since(spark, path, number - 1, batch_id - 1, keys, layout, block), base, number)
+    write_batch(df, f"{path}/changes", batch_id)
+    return _since(spark, path, number, batch_id, keys, layout, block)
+
+
+def _since(spark: SparkSession, path: str, number: int, last: int, keys: Sequence[str], layout: str, block: int) -> DataFrame:
+    rows = read_batch(spark, f"{path}/base", number, layout).withColumn(BATCH, F.lit(-1))
+    for batch_id in range(number * block, last + 1):
+        rows = rows.unionByName(read_batch(spark, f"{path}/changes", batch_id, layout).withColumn(BATCH, F.lit(batch_id)))
+    return latest_by_key(rows, keys, [BATCH]).drop(BATCH)
+
+
 def compact(spark: SparkSession, path: str, keys: Sequence[str], target: str) -> None:
     """Writes the current rows of a changelog as a changelog of one batch."""
     write_batch(read_latest(spark, path, keys), target, 0)

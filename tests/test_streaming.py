@@ -5,6 +5,7 @@ import random
 
 import pytest
 from conftest import at
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tallyloom import schema as S
@@ -165,6 +166,42 @@ def test_overdue_job_is_told_in_a_later_batch(spark, tmp_path, monkeypatch):
     assert feed() == ["slow|timeout"]
 
 
+def test_idle_stream_reports_timeouts(spark, tmp_path, monkeypatch):
+    """No message comes, only the heartbeat."""
+    work, clock = str(tmp_path), {"now": at(60)}
+    monkeypatch.setattr(flows, "pinned", lambda session, time: F.lit(clock["now"]))
+    body = json.dumps({"job_id": "slow", "step": "collection", "status": "done", "expected_count": 1})
+    write_split(spark, f"{work}/c", [(None, body, at(0))], 1, 0)
+    spark.createDataFrame([], LAYOUT).write.parquet(f"{work}/none")
+
+    def beat():
+        spark.range(1).write.mode("append").parquet(f"{work}/beat")
+        empty = Source(path=f"{work}/none")
+        updates = flows.ledger(
+            readers.read_transform(spark, empty, (), True), readers.read_analysis(spark, empty, True),
+            readers.read_control(spark, Source(path=f"{work}/c"), streaming=True),
+            heartbeat=spark.readStream.schema("id bigint").parquet(f"{work}/beat"),
+        )
+        sinks.run_available(flows.emit_events(spark, updates, f"{work}/l", f"{work}/e", f"{work}/cp", F.current_timestamp()))
+        return sorted(r.event_key for r in flows.read_events(spark, f"{work}/e").collect())
+
+    assert beat() == []
+    clock["now"] = at(700)
+    assert beat() == ["slow|timeout"]
+    clock["now"] = at(7200)
+    assert beat() == ["slow|aggregation|timeout", "slow|analysis|timeout", "slow|timeout", "slow|transform|timeout"]
+    assert len(beat()) == 4
+
+
+def test_compacting_changelog(spark, tmp_path):
+    layout, want = "job_id string, n bigint", {}
+    for i in range(8):
+        update = {f"j{i % 3}": i, "x": i}
+        want |= update
+        current = sinks.write_compacting(spark.createDataFrame(list(update.items()), layout), f"{tmp_path}/c", i, ["job_id"], layout, 3)
+        assert {r.job_id: r.n for r in current.collect()} == want
+
+
 def test_repeated_batch_changes_nothing(spark, tmp_path):
     """A micro-batch that runs again after a failure rewrites its own output."""
     df = spark.createDataFrame([("a", 1), ("b", 2)], "job_id string, n bigint")
@@ -178,18 +215,25 @@ def test_repeated_batch_changes_nothing(spark, tmp_path):
 
 def test_whole_pipeline(spark, streams, tmp_path):
     batch, live = pl.Outputs(f"{tmp_path}/batch"), pl.Outputs(f"{tmp_path}/live")
+    for source, text in ((streams.transform, "{broken"), (streams.analysis, "[1]"), (streams.control, "nothing")):
+        write_split(spark, source.path, [(None, text, at(4000))], 1, 0)
     now = F.lit(at(100_000))
     pl.run_batch(spark, streams, batch, now)
-    for query in pl.start_streams(spark, streams, live, delay="2 hours"):
+    for query in pl.start_streams(spark, streams, live, delay="2 hours", as_of=now):
         query.awaitTermination()
         assert query.exception() is None
     read_rows = lambda out: spark.read.parquet(out.rows).withColumn("keywords", F.to_json("keywords"))
     assert rows(read_rows(live)) == rows(read_rows(batch))
-    assert rows(pl.current_documents(spark, live, now)) == rows(spark.read.parquet(batch.documents))
+    assert rows(pl.current_documents(spark, live)) == rows(spark.read.parquet(batch.documents))
     # a stream reports the count it saw when the step became complete
     done = lambda events: rows(events.filter("status = 'done'").select("event_key", "expected_count"))
     assert done(flows.read_events(spark, live.events)) == done(spark.read.parquet(batch.events))
-    assert spark.read.parquet(batch.quarantine).count() == 0
+    for out in (batch, live):
+        bad = spark.read.parquet(out.quarantine).collect()
+        assert sorted((r.source, r.unreadable) for r in bad) == [("analyses", "[1]"), ("control", "nothing"), ("reviews", "{broken")]
+    told = {r.event_key: json.loads(r.message) for r in flows.read_events(spark, live.events).collect()}
+    assert told["j2|timeout"]["error_message"] == S.TIMEOUT_TEXT and told["j2|transform|timeout"]["status"] == "timeout"
+    assert "error_message" not in told["j0|transform"]
     assert spark.read.parquet(batch.documents_spec).count() == 3
     event = json.loads(spark.read.parquet(batch.events).filter("event_key = 'j0|transform'").first().message)
     assert event["expected_count"] == 16 and event["timestamp"].endswith("+09:00")
@@ -211,4 +255,7 @@ def test_text_lines_and_messages(spark, tmp_path):
 
 def test_observed_counts(spark, messages):
     t = parse.parse_transform(messages({"job_id": "a", "review_id": "1"}, {"job_id": "a", "review_id": "2"}))
-    assert flows.count_observer(t, "seen").count() == 2
+    seen = Observation("seen")
+    counted = t.observe(seen, F.count(F.lit(1)).alias("rows"), F.approx_count_distinct("job_id").alias("jobs"))
+    assert counted.count() == 2 and seen.get == {"rows": 2, "jobs": 1}
+    assert flows.count_observer(t, "named").count() == 2
