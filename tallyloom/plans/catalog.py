@@ -434,10 +434,7 @@ def _read_document(documents: DataFrame) -> DataFrame:
 
 @query("job_document_spec")
 def _(spark, sf):
-    # two branches read the cells, so they are stored once
-    stored = f"{work_dir(spark, 'cells')}/cells"
-    _cells(spark, sf).write.parquet(stored)
-    documents = doc.job_document_spec(spark.read.parquet(stored))
+    documents = _spec_documents(spark, sf)
     tag = "array<struct<tag string, count bigint, percentage double>>"
     layout = f"""
       transform_stats struct<avg_rating_excluding_empty double,
@@ -464,6 +461,102 @@ def _(spark, sf):
     )
 
 
+def _flat(section: str, values: str) -> Column:
+    """The entries of a map of numbers as ``(part, value)``."""
+    return F.transform(
+        F.map_entries(values), lambda e: F.struct(F.concat(F.lit(f"{section}."), e["key"]).alias("part"), e["value"].alias("value"))
+    )
+
+
+def _nested(section: str, values: str) -> Column:
+    """The entries of a map of maps of numbers as ``(part, value)``."""
+    inner = lambda c: F.transform(
+        F.map_entries(c["value"]),
+        lambda e: F.struct(F.concat(F.lit(f"{section}."), c["key"], F.lit("."), e["key"]).alias("part"), e["value"].alias("value")),
+    )
+    return F.flatten(F.transform(F.map_entries(values), inner))
+
+
+def _numbers(documents: DataFrame, layout: str, *parts: Column) -> DataFrame:
+    """Every number of the documents outside their tag lists, as ``(job_id, part, value)``."""
+    d = documents.select("job_id", F.from_json("document", layout).alias("d"))
+    return d.select("job_id", F.inline(F.concat(*parts)))
+
+
+_TAG_LIST = "array<struct<tag string, count bigint, percentage double>>"
+
+
+@query("job_document_values")
+def _(spark, sf):
+    numbers = "map<string,double>"
+    return _numbers(
+        doc.job_document(_cells(spark, sf), F.lit("now")),
+        f"""transform_stats {numbers}, rating_distribution map<string,{numbers}>, combined_stats map<string,string>,
+            analysis_stats struct<total_analyzed double, sentiment_distribution map<string,{numbers}>>""",
+        _flat("transform_stats", "d.transform_stats"),
+        _nested("rating_distribution", "d.rating_distribution"),
+        F.array(F.struct(F.lit("total_analyzed").alias("part"), F.col("d.analysis_stats.total_analyzed").alias("value"))),
+        _nested("sentiment", "d.analysis_stats.sentiment_distribution"),
+        F.filter(
+            F.transform(
+                F.map_entries("d.combined_stats"),
+                lambda e: F.struct(F.concat(F.lit("combined_stats."), e["key"]).alias("part"), e["value"].try_cast("double").alias("value")),
+            ),
+            lambda e: e["value"].isNotNull(),
+        ),
+    )
+
+
+@query("job_document_tags")
+def _(spark, sf):
+    documents = doc.job_document(_cells(spark, sf), F.lit("now"))
+    layout = f"keyword_analysis array<struct<name string, items {_TAG_LIST}>>"
+    rows = documents.select("job_id", F.explode(F.from_json("document", layout)["keyword_analysis"]).alias("k"))
+    rows = rows.select("job_id", F.col("k.name").alias("keyword"), F.posexplode("k.items").alias("place", "t"))
+    return rows.select("job_id", "keyword", "place", "t.tag", F.col("t.count").alias("n"), "t.percentage")
+
+
+def _spec_documents(spark, sf) -> DataFrame:
+    # two branches read the cells, so they are stored once
+    stored = f"{work_dir(spark, 'cells')}/cells"
+    _cells(spark, sf).write.parquet(stored)
+    return doc.job_document_spec(spark.read.parquet(stored))
+
+
+@query("job_document_spec_values")
+def _(spark, sf):
+    numbers = "map<string,double>"
+    figures = (
+        "total_reviews valid_reviews empty_reviews coupang_trial_reviews avg_rating avg_rating_excluding_empty "
+        "avg_rating_coupang_trial avg_rating_regular"
+    ).split()
+    layout = f"""
+      transform_stats struct<{", ".join(f"{f} double" for f in figures)}, rating_distribution map<string,{numbers}>>,
+      analysis_stats struct<total_analyzed double, {", ".join(f"{c}_sentiment {numbers}" for c in S.COHORTS)}>"""
+    part = lambda name, value: F.struct(F.lit(name).alias("part"), F.col(value).alias("value"))
+    return _numbers(
+        _spec_documents(spark, sf),
+        layout,
+        F.array(*(part(f"transform_stats.{f}", f"d.transform_stats.{f}") for f in figures)),
+        _nested("rating_distribution", "d.transform_stats.rating_distribution"),
+        F.array(part("total_analyzed", "d.analysis_stats.total_analyzed")),
+        *(_flat(f"{c}_sentiment", f"d.analysis_stats.{c}_sentiment") for c in S.COHORTS),
+    )
+
+
+@query("job_document_spec_tags")
+def _(spark, sf):
+    names = {"all": "all_tags", "coupang_trial": "coupang_tags", "regular": "regular_tags"}
+    layout = f"""transform_stats struct<keyword_analysis array<struct<keyword string,
+      {", ".join(f"{n} {_TAG_LIST}" for n in names.values())}>>>"""
+    d = _spec_documents(spark, sf).select("job_id", F.from_json("document", layout).alias("d"))
+    rows = d.select("job_id", F.posexplode("d.transform_stats.keyword_analysis").alias("_at", "k"))
+    lists = F.array(*(F.struct(F.lit(c).alias("cohort"), F.col(f"k.{n}").alias("tags")) for c, n in names.items()))
+    rows = rows.select("job_id", (F.col("_at") + 1).alias("keyword_rank"), "k.keyword", F.inline(lists))
+    rows = rows.select("job_id", "keyword_rank", "keyword", "cohort", F.posexplode("tags").alias("place", "t"))
+    return rows.select("job_id", "keyword_rank", "keyword", "cohort", "place", "t.tag", F.col("t.count").alias("n"), "t.percentage")
+
+
 # --- control
 
 

@@ -295,6 +295,41 @@ SELECT c.job_id, c.n AS actual_count, expected_count, c.n >= expected_count AS i
 FROM {counts} c JOIN ctl ON c.job_id = ctl.job_id"""
 
 
+def numbers(source: str, parts: dict[str, str]) -> str:
+    """Columns of one row per job as rows ``(job_id, part, value)``."""
+    names = ", ".join(quoted(part) for part in parts)
+    values = ", ".join(f"CAST({value} AS DOUBLE)" for value in parts.values())
+    return f"SELECT job_id, unnest([{names}]) AS part, unnest([{values}]) AS value FROM ({source})"
+
+
+REVIEW_FIGURES = {
+    f"transform_stats.{name}": column
+    for name, column in {
+        "total_reviews": "total_reviews", "valid_reviews": "valid_reviews", "empty_reviews": "empty_reviews",
+        "coupang_trial_reviews": "trial_reviews", "avg_rating": "avg_rating",
+        "avg_rating_excluding_empty": "avg_rating_excluding_empty", "avg_rating_coupang_trial": "avg_rating_trial",
+        "avg_rating_regular": "avg_rating_regular",
+    }.items()
+}
+
+
+def star_figures(groups: dict[str, str]) -> dict[str, str]:
+    return {f"rating_distribution.{c}.{star}": f"stars_{c}_{star}" for c in groups for star in S.STARS}
+
+
+LABEL_FIGURES = {
+    f"sentiment.{c}.{text}{end}": f"{c}_{name}{end}" for c in PUBLISHED for name, text in LABELS.items() for end in ("", "_pct")
+}
+TYPED_LABEL_FIGURES = {
+    f"{c}_sentiment.{name}{end.replace('_pct', 'Pct')}": f"{c}_{name}{end}" for c in PUBLISHED for name in LABELS for end in ("", "_pct")
+}
+COMBINED_FIGURES = {
+    "combined_stats.total_reviews": "total_reviews", "combined_stats.analyzed_reviews": "total_analyzed",
+    "combined_stats.analysis_coverage": "analysis_coverage", "combined_stats.avg_rating": "avg_rating",
+    "combined_stats.sentiment_rating_correlation": "sentiment_rating_score",
+}
+TYPED_SENTIMENT = sentiment(f"(CASE WHEN sentiment IN ('{POS}', '{NEG}') THEN sentiment ELSE '{NEU}' END)", share)
+
 LEDGER_TABLES = (REVIEWS, ANALYSES, COLLECTED, COUNTS, LEDGER)
 
 SQL: dict[str, str] = {
@@ -447,6 +482,28 @@ JOIN (SELECT job_id, keyword,
         arg_min(percentage, (-n, tag)) FILTER (WHERE cohort = 'all') AS all_first_pct
       FROM tg GROUP BY job_id, keyword) l ON l.job_id = tp.job_id AND l.keyword = tp.keyword""",
         REVIEWS, ANALYSES, KEYWORDS, bucketed("tr", "own_rating"), TAGS, TOP),
+    "job_document_values": with_tables(
+        numbers(
+            f"SELECT pr.*, s.* EXCLUDE (job_id), analysis_coverage, sentiment_rating_score "
+            f"FROM ({profile('b')}) pr JOIN s ON s.job_id = pr.job_id JOIN cb ON cb.job_id = pr.job_id",
+            REVIEW_FIGURES | star_figures(PUBLISHED) | {"total_analyzed": "total_analyzed"} | LABEL_FIGURES | COMBINED_FIGURES),
+        REVIEWS, ANALYSES, bucketed("tr"), COMBINED),
+    "job_document_tags": with_tables("""
+SELECT job_id, keyword, CAST(row_number() OVER (PARTITION BY job_id, keyword ORDER BY n DESC, tag) - 1 AS INTEGER) AS place,
+       tag, n, percentage
+FROM it WHERE job_id IN (SELECT job_id FROM cb)""", REVIEWS, ANALYSES, KEYWORDS, bucketed("tr"), COMBINED, ITEMS),
+    "job_document_spec_values": with_tables(
+        numbers(
+            f"SELECT st.*, ss.* EXCLUDE (job_id) FROM (SELECT job_id, {stats_columns()} FROM b GROUP BY job_id) st "
+            f"JOIN ({TYPED_SENTIMENT}) ss ON ss.job_id = st.job_id",
+            REVIEW_FIGURES | star_figures(TYPED) | {"total_analyzed": "total_analyzed"} | TYPED_LABEL_FIGURES),
+        REVIEWS, ANALYSES, bucketed("tr", "own_rating")),
+    "job_document_spec_tags": with_tables("""
+SELECT tg.job_id, keyword_rank, tg.keyword, cohort,
+       CAST(row_number() OVER (PARTITION BY tg.job_id, tg.keyword, cohort ORDER BY n DESC, tag) - 1 AS INTEGER) AS place,
+       tag, n, percentage
+FROM tg JOIN tp ON tg.job_id = tp.job_id AND tg.keyword = tp.keyword
+WHERE tg.job_id IN (SELECT job_id FROM an)""", REVIEWS, ANALYSES, KEYWORDS, TAGS, TOP),
     # --- control
     "expected_counts": with_tables("SELECT job_id, expected_count, ts AS collected_at FROM ctl", COLLECTED),
     "collection_done": with_tables(
