@@ -14,12 +14,15 @@ from tallyloom.operators import parse, ratings, reviews
 from tallyloom.plans import fixtures as fx
 from tallyloom.plans.catalog import QUERIES
 
+# The plan of a stream query is that of reading its sink.
+BATCH = [name for name in QUERIES if not name.startswith("stream_")]
+
 
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+@pytest.mark.parametrize("name", BATCH)
 def test_no_python_and_no_cross_join(spark, name):
     plan = plan_of(QUERIES[name](spark, SMOKE_DIR))
     for node in ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
