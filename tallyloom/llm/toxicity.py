@@ -30,8 +30,9 @@ CATEGORIES = ("frequent", "dense", "toxic")
 FREQUENT, DENSE = 4, 0.01
 PREFIXES = (4, 5, 6)
 FOLDS = 5
-THRESHOLD = 0.3
-_PURE, _SEEN = 0.9, 3
+THRESHOLD = 0.5
+#: What makes a marker, and how often and how clearly (in standard deviations) a feature must lean to one side.
+_PURE, _SEEN, _CLEAR = 0.9, 3, 3.0
 
 
 def word_features(word: bytes) -> list[str]:
@@ -161,7 +162,8 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, key: str = "doc_
     total = sample.agg(F.sum("mark").alias("t"), F.count("*").alias("n")).first()
     rate = (total["t"] or 0) / max(1, total["n"])
     lift = (F.col("t") - rate * F.col("n")) / F.sqrt(F.col("n") + 1.0)
-    best = counts.where(F.col("n") >= _SEEN).orderBy(F.abs(lift).desc(), "name").limit(FEATURES).collect()  # bounded
+    clear = F.abs(lift) >= _CLEAR * (rate * (1 - rate)) ** 0.5
+    best = counts.where((F.col("n") >= _SEEN) & clear).orderBy(F.abs(lift).desc(), "name").limit(FEATURES).collect()  # bounded
     numbers = {r["name"]: i for i, r in enumerate(best)}
     markers = np.array([r["t"] >= _PURE * r["n"] and r["t"] > 0 for r in best], bool)
     chain = Chain([], numbers, markers)
