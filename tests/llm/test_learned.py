@@ -91,11 +91,12 @@ def test_pipeline(spark, tmp_path):
     rows, labels = corpus()
     rng = random.Random(30)
     item = prose(rng, 30, 100_000)
-    clean = [prose(rng, 60, 100_000) for _ in range(20)]
+    sentence = lambda n: prose(rng, n, 100_000).capitalize() + "."
+    clean = [sentence(60) for _ in range(20)]
     rows = [r for r in rows if r[0] is not None]
     rows += [(2000 + i, t, f"src{i % 3}") for i, t in enumerate(clean)]
     rows += [(3000 + i, " ".join(t.split()[:-1])) for i, t in enumerate(clean[:5])]  # near copies
-    rows += [(4000, f"before it {item} and after it"), (4001, f"{clean[7]}\n{prose(rng, 12, 100_000)}")]
+    rows += [(4000, f"Before it {item} and after it."), (4001, f"{clean[7]}\n{sentence(25)}")]
     docs(spark, rows).select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
