@@ -22,13 +22,15 @@ Of each class of lines one is kept: that in the document of smallest id.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import components, maybe_in, salted_join, saved, text_version
 
 DISTANCE = 1
-CROWDED = 64
+CROWDED = 16
 #: Shorter lines are left alone: they are equal by chance.
 MIN_CHARS = 24
 
@@ -37,10 +39,14 @@ def normal(line: Column) -> Column:
     return F.lower(F.trim(line))
 
 
+def characters(text: Column) -> Column:
+    return F.filter(F.split(text, ""), lambda c: c != "")
+
+
 def within(a: Column, b: Column, distance: int = DISTANCE) -> Column:
     """Whether two strings, whose lengths differ by ``distance`` at most, are within that many edits.
 
-    Column by column over ``b``; the bits are the cells of a band of twice the
+    ``p`` and ``t`` hold their characters. Column by column over ``t``; the bits are the cells of a band of twice the
     distance plus one around the diagonal.
     """
     k, band = distance, 2 * distance + 1
@@ -78,13 +84,57 @@ def within(a: Column, b: Column, distance: int = DISTANCE) -> Column:
         num(((1 << (k + 1)) - 1) << k).alias("vp"), num(0).alias("vn"), num(top >> 1).alias("mask"), F.lit(k).alias("edits")
     )
     walked = F.aggregate(F.sequence(F.lit(0), F.size("t") - 1), start, step, lambda acc: acc["edits"] <= k)
-    return F.when((F.size("p") < band) | (F.size("t") < band), F.levenshtein(a, b) <= k).otherwise(walked)
+    # fewer characters than edits leave no band to walk
+    return F.when((F.size("p") < k) | (F.size("t") < 1), F.levenshtein(a, b) <= k).otherwise(walked)
+
+
+#: A pair is looked at where lines are cut into so many parts before it is verified.
+CUTS = 8
+
+
+def may_be_near(a: Column, b: Column) -> Column:
+    """False only for pairs more than one edit apart: the edit lies on one side of any cut, so the other sides are equal."""
+    n, m = F.length(a), F.length(b)
+    conditions = []
+    for i in range(1, CUTS):
+        cut = F.floor(n * i / CUTS).cast("int")
+        left = F.substring(a, F.lit(1), cut) == F.substring(b, F.lit(1), cut)
+        right = F.substring(a, cut + 1, n - cut) == F.substring(b, m - n + cut + 1, n - cut)
+        conditions.append(left | right)
+    return reduce(lambda x, y: x & y, conditions)
+
+
+def _shared(a: Column, b: Column, most: Column, part) -> Column:
+    """The longest length up to ``most`` whose ``part`` (prefix or suffix) both lines share, by halving the step."""
+    steps = F.filter(F.array(*(F.lit(1 << i) for i in range(30, -1, -1))), lambda s: s <= most)
+
+    def longer(got: Column, step: Column) -> Column:
+        length = got + step
+        return F.when((length <= most) & (part(a, length) == part(b, length)), length).otherwise(got)
+
+    return F.aggregate(steps, F.lit(0), longer)
 
 
 def verified(pairs: DataFrame) -> DataFrame:
-    """The pairs ``(a, b, a_text, b_text)`` that are within the distance, as ``(a, b)``."""
-    chars = pairs.select("a", "b", "a_text", "b_text", F.split("a_text", "").alias("p"), F.split("b_text", "").alias("t"))
-    return chars.where(within(F.col("a_text"), F.col("b_text"))).select("a", "b")
+    """The pairs ``(a, b, a_text, b_text)`` that are within the distance, as ``(a, b)``.
+
+    What both lines begin and end with does not count towards their distance
+    and is cut off before the bits are walked. The one-element explodes keep
+    the optimizer from copying each step into the next.
+    """
+    once = lambda value, name: F.explode(F.array(value)).alias(name)
+    a, b = F.col("a_text"), F.col("b_text")
+    head = lambda x, n: F.substring(x, F.lit(1), n)
+    tail = lambda x, n: F.substring(x, F.length(x) - n + 1, n)
+    shorter = F.least(F.length(a), F.length(b))
+    near = pairs.where(may_be_near(a, b)).select("a", "b", "a_text", "b_text", once(_shared(a, b, shorter, head), "head"))
+    rest = lambda x, name: F.substring(x, F.col("head") + 1, F.length(x)).alias(name)
+    near = near.select("a", "b", once(F.struct(rest(a, "a_text"), rest(b, "b_text")), "_r")).select("a", "b", "_r.*")
+    near = near.select("a", "b", "a_text", "b_text", once(_shared(a, b, shorter, tail), "tail"))
+    core = lambda x, name: F.substring(x, F.lit(1), F.length(x) - F.col("tail")).alias(name)
+    near = near.select("a", "b", once(F.struct(core(a, "a_text"), core(b, "b_text")), "_r")).select("a", "b", "_r.*")
+    chars = near.select("a", "b", "a_text", "b_text", once(F.struct(characters(a).alias("p"), characters(b).alias("t")), "_r"))
+    return chars.select("a", "b", "a_text", "b_text", "_r.*").where(within(a, b)).select("a", "b")
 
 
 def _entries(line: Column, size: Column, role: int) -> list[Column]:
