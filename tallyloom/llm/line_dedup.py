@@ -17,6 +17,11 @@ link to the smallest is enough; a line one character longer is linked if that
 character is one of its two. So no crowd is ever paired and no link between
 different lines is lost that their class needs.
 
+The threshold grows with the line: lines of ``LONG_WORDS`` words or more are
+also near if one word is changed, added or missing, however many characters that
+takes. They are joined in the same way with words in the place of characters,
+so crowds of them are refined as exactly.
+
 Of each class of lines one is kept: that in the document of smallest id.
 """
 
@@ -33,6 +38,8 @@ DISTANCE = 1
 CROWDED = 16
 #: Shorter lines are left alone: they are equal by chance.
 MIN_CHARS = 24
+#: Lines of so many words may differ in a whole word.
+LONG_WORDS = 10
 
 
 def normal(line: Column) -> Column:
@@ -43,6 +50,15 @@ def characters(text: Column) -> Column:
     return F.filter(F.split(text, ""), lambda c: c != "")
 
 
+def words(text: Column) -> Column:
+    return F.filter(F.split(text, " "), lambda w: w != "")
+
+
+#: What a line is a sequence of: how many there are, and a stretch of them.
+UNITS = ((F.length, F.substring), (F.size, F.slice))
+CHARS, WORDS = 0, 1
+
+
 def within(a: Column, b: Column, distance: int = DISTANCE) -> Column:
     """Whether two strings, whose lengths differ by ``distance`` at most, are within that many edits.
 
@@ -137,38 +153,59 @@ def verified(pairs: DataFrame) -> DataFrame:
     return chars.select("a", "b", "a_text", "b_text", "_r.*").where(within(a, b)).select("a", "b")
 
 
-def _entries(line: Column, size: Column, role: int) -> list[Column]:
+def verified_words(pairs: DataFrame) -> DataFrame:
+    """The pairs ``(a, b, a_text, b_text)`` whose words are within one edit: all but one are in what they begin and end with."""
+    rows = pairs.select("a", "b", F.explode(F.array(F.struct(words(F.col("a_text")).alias("p"), words(F.col("b_text")).alias("t")))).alias("_r"))
+    rows = rows.select("a", "b", "_r.*")
+    shorter, longer = F.least(F.size("p"), F.size("t")), F.greatest(F.size("p"), F.size("t"))
+    places = F.sequence(F.lit(0), shorter - 1)
+
+    def same(at) -> Column:
+        differs = F.filter(places, lambda i: F.get("p", at(i, F.size("p"))) != F.get("t", at(i, F.size("t"))))
+        return F.coalesce(F.get(differs, 0), shorter)
+
+    shared = same(lambda i, n: i) + same(lambda i, n: n - 1 - i)
+    return rows.where((longer - shorter <= 1) & (shared >= longer - 1)).select("a", "b")
+
+
+def _entries(line: Column, role: int, unit: int = CHARS) -> list[Column]:
     """What a line is entered under: (length, where the rest begins and ends) and all outside the rest, for both halves."""
-    length = size - role
+    length = UNITS[unit][0](line) - role
     middle = F.floor(length / 2).cast("int")
-    outside = lambda lo, hi: _outside(line, size, length, lo, hi)
+    outside = lambda lo, hi: _outside(line, length, lo, hi, unit)
     return [outside(F.lit(0), middle), outside(middle, length)]
 
 
-def _outside(line: Column, size: Column, length: Column, lo: Column, hi: Column) -> Column:
+def _outside(line: Column, length: Column, lo: Column, hi: Column, unit: int) -> Column:
+    size, part = UNITS[unit]
     tail = length - hi
-    return F.xxhash64(length, lo, hi, F.substring(line, F.lit(1), lo), F.substring(line, size - tail + 1, tail))
+    return F.xxhash64(*([F.lit(unit)] if unit else []), length, lo, hi, part(line, F.lit(1), lo), part(line, size(line) - tail + 1, tail))
 
 
-def occurrences(docs: DataFrame, key: str, text: str, keys: bool = False) -> DataFrame:
+def occurrences(docs: DataFrame, key: str, text: str, keys: bool = False, long_words: int = LONG_WORDS) -> DataFrame:
     """``(key, version, h, at, again)`` for the lines of each document that are long enough.
 
     ``version`` tells texts under one id apart, ``h`` stands for the line,
     ``again`` marks its later occurrences in the document. With ``keys`` the
-    segment entries ``k0`` to ``k3`` are there too.
+    segment entries ``k0`` to ``k3`` are there too, and ``w0`` to ``w3`` by
+    words, which are null in lines of fewer than ``long_words``.
     """
 
     def entry(line: Column, i: Column) -> Column:
         size = F.length(line)
-        more = [k.alias(f"k{j}") for j, k in enumerate(_entries(line, size, 0) + _entries(line, size, 1))] if keys else []
-        return F.when(size >= MIN_CHARS, F.struct(_hash(line).alias("h"), i.alias("at"), *more))
+        more = [k.alias(f"k{j}") for j, k in enumerate(_entries(line, 0) + _entries(line, 1))] if keys else []
+        return F.when(size >= MIN_CHARS, F.struct(_hash(line).alias("h"), i.alias("at"), *more, *([by_words(line).alias("w")] if keys else [])))
+
+    def by_words(line: Column) -> Column:
+        entered = lambda w: F.struct(*(k.alias(f"w{j}") for j, k in enumerate(_entries(w, 0, WORDS) + _entries(w, 1, WORDS))))
+        return F.transform(F.array(words(line)), lambda w: F.when(F.size(w) >= long_words, entered(w)))[0]
 
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(key).alias("doc"), text_version(F.col(text)).alias("version"), F.transform(F.split(body, "\n"), normal).alias("lines"))
     rows = rows.select("doc", "version", F.sort_array(F.array_compact(F.transform("lines", entry))).alias("lines"))
     again = F.transform("lines", lambda x, i: F.struct(x.alias("line"), F.coalesce(F.get(F.col("lines"), i - 1)["h"] == x["h"], F.lit(False)).alias("again")))
-    rows = rows.select("doc", "version", F.inline(again))
-    return rows.select("doc", "version", "line.*", "again")
+    rows = rows.select("doc", "version", F.inline(again)).select("doc", "version", "line.*", "again")
+    return rows.select("*", "w.*").drop("w") if keys else rows
 
 
 def _hash(line: Column) -> Column:
@@ -176,11 +213,12 @@ def _hash(line: Column) -> Column:
     return F.struct(F.xxhash64(line).alias("x"), F.xxhash64(F.lit(1), line).alias("y"))
 
 
-def distinct_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``(h, first_doc, n, k0..k3)``: each different line, the first document with it and how many have it."""
-    found = occurrences(docs, key, text, keys=True).where("not again")
-    facts = [F.min("doc").alias("first_doc"), F.count("*").alias("n"), *(F.first(f"k{j}").alias(f"k{j}") for j in range(4))]
-    return found.groupBy("h.x", "h.y").agg(*facts).select(F.struct("x", "y").alias("h"), "first_doc", "n", "k0", "k1", "k2", "k3")
+def distinct_lines(docs: DataFrame, key: str, text: str, long_words: int = LONG_WORDS) -> DataFrame:
+    """``(h, first_doc, n, k0..k3, w0..w3)``: each different line, the first document with it and how many have it."""
+    found = occurrences(docs, key, text, keys=True, long_words=long_words).where("not again")
+    keys = [f"{unit}{j}" for unit in "kw" for j in range(4)]
+    facts = [F.min("doc").alias("first_doc"), F.count("*").alias("n"), *(F.first(k).alias(k) for k in keys)]
+    return found.groupBy("h.x", "h.y").agg(*facts).select(F.struct("x", "y").alias("h"), "first_doc", "n", *keys)
 
 
 def _meetings(entries: DataFrame, crowded: int, *carried: str) -> tuple[DataFrame, DataFrame]:
@@ -201,48 +239,66 @@ def _pairs(few: DataFrame, *carried: str) -> DataFrame:
 
 
 def near_lines(docs: DataFrame, lines: DataFrame, text: str, crowded: int = CROWDED) -> DataFrame:
-    """Links ``(a, b)`` between different lines whose components are those of one edit; outside crowds all links."""
-    entry = lambda j, role: F.struct(F.col(f"k{j}").alias("key"), F.lit(role).alias("role"), F.lit(j % 2).alias("half"))
-    entries = lines.select(F.col("h").alias("node"), F.inline(F.array(entry(0, 0), entry(1, 0), entry(2, 1), entry(3, 1))))
-    few, many = _meetings(entries, crowded, "half")
-    pairs = saved(_pairs(few).distinct())
-    many = many.select("node", "role", "half")
+    """Links ``(a, b)`` between different lines whose components are those of one edit of characters or words.
+
+    Outside crowds these are all links.
+    """
+
+    def entry(unit: int, j: int) -> Column:
+        key = F.col(f"{'kw'[unit]}{j}").alias("key")
+        return F.struct(key, F.lit(j // 2).alias("role"), F.lit(j % 2).alias("half"), F.lit(unit).alias("unit"))
+
+    entries = lines.select(F.col("h").alias("node"), F.inline(F.array(*(entry(unit, j) for unit in (CHARS, WORDS) for j in range(4)))))
+    few, many = _meetings(entries.where("key is not null"), crowded, "half", "unit")
+    pairs = saved(_pairs(few, "unit").select("a", "b", F.col("a_unit").alias("unit")).distinct())
+    many = many.select("node", "role", "half", "unit")
     wanted = saved(pairs.select(F.col("a").alias("h")).union(pairs.select("b")).union(many.select("node")).distinct())
     texts = saved(_texts(docs, wanted, text))
     a, b = (texts.select(F.col("h").alias(f"{s}_h"), F.col("text").alias(f"{s}_text")) for s in "ab")
-    links = verified(pairs.join(a, F.col("a") == F.col("a_h")).join(b, F.col("b") == F.col("b_h")))
-    length = F.length("text") - F.col("role")
-    middle = F.floor(length / 2).cast("int")
-    lo = F.when(F.col("half") == 0, 0).otherwise(middle)
-    hi = F.when(F.col("half") == 0, middle).otherwise(length)
-    crowd = salted_join(many.withColumnRenamed("node", "h"), texts, "h", F.col("role"))
-    crowd = saved(crowd.select(F.col("h").alias("node"), "role", "text", lo.alias("lo"), hi.alias("hi")))
-    while crowd.take(1):
-        more, crowd = _refined(crowd, crowded)
-        links = links.union(more)
+    links = None
+    for unit, judged in ((CHARS, verified), (WORDS, verified_words)):
+        met = pairs.where(F.col("unit") == unit).join(a, F.col("a") == F.col("a_h")).join(b, F.col("b") == F.col("b_h"))
+        links = judged(met) if links is None else links.union(judged(met))
+        crowd = salted_join(many.where(F.col("unit") == unit).withColumnRenamed("node", "h"), texts, "h", F.col("role"))
+        crowd = crowd.withColumn("text", words(F.col("text"))) if unit == WORDS else crowd
+        length = UNITS[unit][0]("text") - F.col("role")
+        middle = F.floor(length / 2).cast("int")
+        lo = F.when(F.col("half") == 0, 0).otherwise(middle)
+        hi = F.when(F.col("half") == 0, middle).otherwise(length)
+        crowd = saved(crowd.select(F.col("h").alias("node"), "role", "text", lo.alias("lo"), hi.alias("hi")))
+        while crowd.take(1):
+            more, crowd = _refined(crowd, crowded, unit)
+            links = links.union(more)
     return links.distinct()
 
 
-def _refined(crowd: DataFrame, crowded: int) -> tuple[DataFrame, DataFrame]:
+def _refined(crowd: DataFrame, crowded: int, unit: int = CHARS) -> tuple[DataFrame, DataFrame]:
     """One round: halves the rests of crowded lines; the links found and the lines still crowded."""
-    length = F.length("text") - F.col("role")
+    size, part = UNITS[unit]
+    text = F.col("text")
+    length = size("text") - F.col("role")
     middle = F.floor((F.col("lo") + F.col("hi")) / 2).cast("int")
     halves = F.array(F.struct(F.col("lo").alias("lo"), middle.alias("hi")), F.struct(middle.alias("lo"), F.col("hi").alias("hi")))
     halves = F.filter(halves, lambda x: x["lo"] < x["hi"])
     entries = crowd.select("node", "role", "text", F.inline(halves))
-    key = _outside(F.col("text"), F.length("text"), length, F.col("lo"), F.col("hi"))
+    key = _outside(text, length, F.col("lo"), F.col("hi"), unit)
     few, many = _meetings(entries.withColumn("key", key).distinct(), crowded, "text", "lo", "hi")
-    links = verified(_pairs(few, "text"))
-    rest = F.substring(F.col("text"), F.col("lo") + 1, F.col("hi") - F.col("lo") + F.col("role"))
+    pairs = _pairs(few, "text")
+    if unit == WORDS:
+        pairs = pairs.withColumn("a_text", F.array_join("a_text", " ")).withColumn("b_text", F.array_join("b_text", " "))
+    links = verified(pairs) if unit == CHARS else verified_words(pairs)
+    rest = part(text, F.col("lo") + 1, F.col("hi") - F.col("lo") + F.col("role"))
     last = many.where("hi - lo = 1").select("node", "role", "text", "lo", "hi", rest.alias("rest"))
-    whole = F.xxhash64(F.lit(1), length, F.col("lo"), F.substring(F.col("text"), F.lit(1), F.col("lo")), F.substring(F.col("text"), F.length("text") - length + F.col("hi") + 1, length))
-    last = saved(last.withColumn("key", F.struct(whole, _outside(F.col("text"), F.length("text"), length, F.col("lo"), F.col("hi")))))
+    tail = length - F.col("hi")
+    whole = F.xxhash64(F.lit(1), length, F.col("lo"), part(text, F.lit(1), F.col("lo")), part(text, size("text") - tail + 1, tail))
+    last = saved(last.withColumn("key", F.struct(whole, _outside(text, length, F.col("lo"), F.col("hi"), unit))))
     own = last.where("role = 0")
     least = own.groupBy("key").agg(F.min("node").alias("a"))
     stars = salted_join(own.select("key", F.col("node").alias("b")), least, "key", F.col("b")).where("a <> b").select("a", "b")
     char = lambda c: F.struct("key", c)
-    longer = last.where("role = 1").select(F.col("node").alias("b"), F.explode(F.array(char(F.substring("rest", 1, 1)), char(F.substring("rest", 2, 1)))).alias("key"))
-    single = own.select(char(F.col("rest")).alias("key"), F.col("node").alias("a"))
+    longer = last.where("role = 1").select(F.col("node").alias("b"), F.explode(F.array(*(char(part("rest", F.lit(i), F.lit(1)).alias("c")) for i in (1, 2)))).alias("key"))
+    # lines that differ in blanks only have equal words: one stands for all, which the stars hold together
+    single = own.groupBy(char(F.col("rest").alias("c")).alias("key")).agg(F.min("node").alias("a"))
     grown = salted_join(longer, single, "key", F.col("b")).select("a", "b")
     return saved(links.union(stars).union(grown)), many.where("hi - lo > 1").select("node", "role", "text", "lo", "hi")
 
@@ -255,13 +311,13 @@ def _texts(docs: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
     return likely.join(wanted, "h", "left_semi").groupBy("h").agg(F.first("text").alias("text"))
 
 
-def repeated_lines(docs: DataFrame, key: str, text: str, crowded: int = CROWDED) -> DataFrame:
+def repeated_lines(docs: DataFrame, key: str, text: str, crowded: int = CROWDED, long_words: int = LONG_WORDS) -> DataFrame:
     """``(h, keeper)``: lines that occur in several documents or have near-equal ones, and the document that keeps them.
 
     A line that gives way to a near-equal one of its own first document has no
     keeper and ``gone`` set.
     """
-    lines = saved(distinct_lines(docs, key, text))
+    lines = saved(distinct_lines(docs, key, text, long_words))
     found = saved(components(near_lines(docs, lines, text, crowded)))
     linked = lines.select("h", "first_doc").join(found, F.col("h") == F.col("node")).select("h", "first_doc", "root")
     best = linked.groupBy("root").agg(F.min(F.struct(F.col("first_doc").isNull().alias("none"), F.col("first_doc").alias("doc"), F.col("h").alias("line"))).alias("best"))
@@ -271,9 +327,9 @@ def repeated_lines(docs: DataFrame, key: str, text: str, crowded: int = CROWDED)
     return linked.union(alone.select("h", F.col("first_doc").alias("keeper"), F.lit(False).alias("gone")))
 
 
-def dropped_lines(docs: DataFrame, key: str, text: str, crowded: int = CROWDED) -> DataFrame:
+def dropped_lines(docs: DataFrame, key: str, text: str, crowded: int = CROWDED, long_words: int = LONG_WORDS) -> DataFrame:
     """``(doc, version, drops)``: the places of the lines that go, for documents that lose any."""
-    repeated = saved(repeated_lines(docs, key, text, crowded))
+    repeated = saved(repeated_lines(docs, key, text, crowded, long_words))
     places = occurrences(docs, key, text)
     within_doc = places.where("again").select("doc", "version", "at")
     likely, _ = maybe_in(places.where("not again").select("doc", "version", "h", "at"), repeated, "h")
@@ -282,18 +338,19 @@ def dropped_lines(docs: DataFrame, key: str, text: str, crowded: int = CROWDED)
     return within_doc.union(elsewhere).groupBy("doc", "version").agg(F.collect_set("at").alias("drops"))
 
 
-def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", crowded: int = CROWDED) -> DataFrame:
+def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", crowded: int = CROWDED, long_words: int = LONG_WORDS) -> DataFrame:
     """``docs`` with repeated and near-repeated lines removed from ``text``, and the columns ``n_lines`` and ``n_dropped``.
 
     A line stays in the document of smallest id that has it, once; of lines
-    within one edit one stays. Lines under ``MIN_CHARS`` characters stay. Null
+    within one edit one stays, where lines of ``long_words`` words or more may
+    differ in a word. Lines under ``MIN_CHARS`` characters stay. Null
     texts stay null and have no lines; empty texts have one empty line; a text may
     become empty. Documents with a null id come last. Rows that repeat an id
     are one document and keep the same lines; a repeated line within a row goes.
     Columns of ``docs`` named n_lines or n_dropped are replaced. An empty table
     gives an empty result.
     """
-    drops = saved(dropped_lines(docs, key, text, crowded))
+    drops = saved(dropped_lines(docs, key, text, crowded, long_words))
     own = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     rows = docs.select(F.struct(*own).alias("row"), F.col(key).alias("doc"), text_version(F.col(text)).alias("version"))
     some, none = maybe_in(rows, drops, "doc", "version")

@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from fixtures import roots
 from tallyloom.llm import line_dedup as ld
 
 SCHEMA = "doc_id long, text string, n_lines string, h string"
@@ -110,3 +111,23 @@ def test_band(spark):
     for k in (1, 2):
         for r in frame.select("a", "b", ld.within(F.col("a"), F.col("b"), k).alias("near")).collect():
             assert r["near"] == (edits(r["a"], r["b"]) <= k), (r, k)
+
+
+@pytest.mark.parametrize("crowded", [16, 2])
+def test_long_lines_may_differ_in_a_word(spark, crowded):
+    rng = random.Random(9)
+    vocabulary = ["alpha", "bravo", "charlie", "delta", "echo", "foxtrot"]
+    base = [[rng.choice(vocabulary) for _ in range(rng.randint(10, 13))] for _ in range(3)]
+    lines = set()
+    for _ in range(70):
+        words = list(rng.choice(base))
+        for _ in range(rng.choice([0, 1, 1, 2])):
+            i = rng.randrange(len(words))
+            words[i : i + rng.choice([0, 1])] = rng.choice([[], ["september"], ["2019"]])
+        lines.add(" ".join(words))
+    lines = sorted(lines)
+    near = lambda a, b: edits(a, b) <= 1 or (min(len(a.split()), len(b.split())) >= ld.LONG_WORDS and edits(a.split(), b.split()) <= 1)
+    group = roots(len(lines), lambda i, j: near(lines[i], lines[j]))
+    assert 1 < len(set(group)) < len(lines)
+    got = ld.dedup(spark.createDataFrame([(i, line, "x", "y") for i, line in enumerate(lines)], SCHEMA), crowded=crowded)
+    assert {r["doc_id"] for r in got.collect() if r["text"]} == set(group)
