@@ -30,7 +30,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The columns of documents; ``n_chars`` follows the new text. Texts may become empty."""
     find_package(spark)
-    kept = line_dedup.dedup(docs).withColumn("n_chars", F.length("text").cast("long"))
+    kept = line_dedup.dedup(docs, shortest=1).withColumn("n_chars", F.length("text").cast("long"))
     return kept.select(*docs.columns)
 
 

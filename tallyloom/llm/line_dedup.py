@@ -36,8 +36,9 @@ from tallyloom.llm.common import components, maybe_in, salted_join, saved, text_
 
 DISTANCE = 1
 CROWDED = 16
-#: Shorter lines are left alone: they are equal by chance.
+#: Shorter lines are not compared with near ones: those are near by chance.
 MIN_CHARS = 24
+BLANKS = " \t\r\x0b\f\u00a0\u3000"
 #: Lines of so many words may differ in a whole word.
 LONG_WORDS = 10
 
@@ -182,19 +183,22 @@ def _outside(line: Column, length: Column, lo: Column, hi: Column, unit: int) ->
     return F.xxhash64(*([F.lit(unit)] if unit else []), length, lo, hi, part(line, F.lit(1), lo), part(line, size(line) - tail + 1, tail))
 
 
-def occurrences(docs: DataFrame, key: str, text: str, keys: bool = False, long_words: int = LONG_WORDS) -> DataFrame:
-    """``(key, version, h, at, again)`` for the lines of each document that are long enough.
+def occurrences(docs: DataFrame, key: str, text: str, keys: bool = False, long_words: int = LONG_WORDS, shortest: int = MIN_CHARS) -> DataFrame:
+    """``(key, version, h, at, again)`` for the lines of each document of ``shortest`` characters that are not blank.
 
     ``version`` tells texts under one id apart, ``h`` stands for the line,
     ``again`` marks its later occurrences in the document. With ``keys`` the
-    segment entries ``k0`` to ``k3`` are there too, and ``w0`` to ``w3`` by
+    segment entries ``k0`` to ``k3`` are there too, null in lines under
+    ``MIN_CHARS``, and ``w0`` to ``w3`` by
     words, which are null in lines of fewer than ``long_words``.
     """
 
     def entry(line: Column, i: Column) -> Column:
         size = F.length(line)
-        more = [k.alias(f"k{j}") for j, k in enumerate(_entries(line, 0) + _entries(line, 1))] if keys else []
-        return F.when(size >= MIN_CHARS, F.struct(_hash(line).alias("h"), i.alias("at"), *more, *([by_words(line).alias("w")] if keys else [])))
+        near = size >= MIN_CHARS
+        more = [F.when(near, k).alias(f"k{j}") for j, k in enumerate(_entries(line, 0) + _entries(line, 1))] if keys else []
+        used = near | ((size >= shortest) & (F.trim(line, F.lit(BLANKS)) != "")) if shortest < MIN_CHARS else near
+        return F.when(used, F.struct(_hash(line).alias("h"), i.alias("at"), *more, *([F.when(near, by_words(line)).alias("w")] if keys else [])))
 
     def by_words(line: Column) -> Column:
         entered = lambda w: F.struct(*(k.alias(f"w{j}") for j, k in enumerate(_entries(w, 0, WORDS) + _entries(w, 1, WORDS))))
@@ -213,9 +217,9 @@ def _hash(line: Column) -> Column:
     return F.struct(F.xxhash64(line).alias("x"), F.xxhash64(F.lit(1), line).alias("y"))
 
 
-def distinct_lines(docs: DataFrame, key: str, text: str, long_words: int = LONG_WORDS) -> DataFrame:
+def distinct_lines(docs: DataFrame, key: str, text: str, long_words: int = LONG_WORDS, shortest: int = MIN_CHARS) -> DataFrame:
     """``(h, first_doc, n, k0..k3, w0..w3)``: each different line, the first document with it and how many have it."""
-    found = occurrences(docs, key, text, keys=True, long_words=long_words).where("not again")
+    found = occurrences(docs, key, text, keys=True, long_words=long_words, shortest=shortest).where("not again")
     keys = [f"{unit}{j}" for unit in "kw" for j in range(4)]
     facts = [F.min("doc").alias("first_doc"), F.count("*").alias("n"), *(F.first(k).alias(k) for k in keys)]
     return found.groupBy("h.x", "h.y").agg(*facts).select(F.struct("x", "y").alias("h"), "first_doc", "n", *keys)
@@ -311,13 +315,15 @@ def _texts(docs: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
     return likely.join(wanted, "h", "left_semi").groupBy("h").agg(F.first("text").alias("text"))
 
 
-def repeated_lines(docs: DataFrame, key: str, text: str, crowded: int = CROWDED, long_words: int = LONG_WORDS) -> DataFrame:
+def repeated_lines(
+    docs: DataFrame, key: str, text: str, crowded: int = CROWDED, long_words: int = LONG_WORDS, shortest: int = MIN_CHARS
+) -> DataFrame:
     """``(h, keeper)``: lines that occur in several documents or have near-equal ones, and the document that keeps them.
 
     A line that gives way to a near-equal one of its own first document has no
     keeper and ``gone`` set.
     """
-    lines = saved(distinct_lines(docs, key, text, long_words))
+    lines = saved(distinct_lines(docs, key, text, long_words, shortest))
     found = saved(components(near_lines(docs, lines, text, crowded)))
     linked = lines.select("h", "first_doc").join(found, F.col("h") == F.col("node")).select("h", "first_doc", "root")
     best = linked.groupBy("root").agg(F.min(F.struct(F.col("first_doc").isNull().alias("none"), F.col("first_doc").alias("doc"), F.col("h").alias("line"))).alias("best"))
@@ -327,10 +333,12 @@ def repeated_lines(docs: DataFrame, key: str, text: str, crowded: int = CROWDED,
     return linked.union(alone.select("h", F.col("first_doc").alias("keeper"), F.lit(False).alias("gone")))
 
 
-def dropped_lines(docs: DataFrame, key: str, text: str, crowded: int = CROWDED, long_words: int = LONG_WORDS) -> DataFrame:
+def dropped_lines(
+    docs: DataFrame, key: str, text: str, crowded: int = CROWDED, long_words: int = LONG_WORDS, shortest: int = MIN_CHARS
+) -> DataFrame:
     """``(doc, version, drops)``: the places of the lines that go, for documents that lose any."""
-    repeated = saved(repeated_lines(docs, key, text, crowded, long_words))
-    places = occurrences(docs, key, text)
+    repeated = saved(repeated_lines(docs, key, text, crowded, long_words, shortest))
+    places = occurrences(docs, key, text, shortest=shortest)
     within_doc = places.where("again").select("doc", "version", "at")
     likely, _ = maybe_in(places.where("not again").select("doc", "version", "h", "at"), repeated, "h")
     met = salted_join(likely, repeated, "h", F.struct("doc", "at"))
@@ -338,19 +346,22 @@ def dropped_lines(docs: DataFrame, key: str, text: str, crowded: int = CROWDED,
     return within_doc.union(elsewhere).groupBy("doc", "version").agg(F.collect_set("at").alias("drops"))
 
 
-def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", crowded: int = CROWDED, long_words: int = LONG_WORDS) -> DataFrame:
+def dedup(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", crowded: int = CROWDED, long_words: int = LONG_WORDS, shortest: int = MIN_CHARS
+) -> DataFrame:
     """``docs`` with repeated and near-repeated lines removed from ``text``, and the columns ``n_lines`` and ``n_dropped``.
 
     A line stays in the document of smallest id that has it, once; of lines
     within one edit one stays, where lines of ``long_words`` words or more may
-    differ in a word. Lines under ``MIN_CHARS`` characters stay. Null
+    differ in a word. Equal lines are found from ``shortest`` characters on
+    unless they are blank (1: all lines), near ones from ``MIN_CHARS`` on. Null
     texts stay null and have no lines; empty texts have one empty line; a text may
     become empty. Documents with a null id come last. Rows that repeat an id
     are one document and keep the same lines; a repeated line within a row goes.
     Columns of ``docs`` named n_lines or n_dropped are replaced. An empty table
     gives an empty result.
     """
-    drops = saved(dropped_lines(docs, key, text, crowded, long_words))
+    drops = saved(dropped_lines(docs, key, text, crowded, long_words, shortest))
     own = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     rows = docs.select(F.struct(*own).alias("row"), F.col(key).alias("doc"), text_version(F.col(text)).alias("version"))
     some, none = maybe_in(rows, drops, "doc", "version")

@@ -25,7 +25,7 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = line_dedup.dedup(_table(spark, sf_dir, "documents"))
+    docs = line_dedup.dedup(_table(spark, sf_dir, "documents"), shortest=1)
     return docs.select("doc_id", "n_lines", "n_dropped", "text")
 
 

@@ -131,3 +131,18 @@ def test_long_lines_may_differ_in_a_word(spark, crowded):
     assert 1 < len(set(group)) < len(lines)
     got = ld.dedup(spark.createDataFrame([(i, line, "x", "y") for i, line in enumerate(lines)], SCHEMA), crowded=crowded)
     assert {r["doc_id"] for r in got.collect() if r["text"]} == set(group)
+
+
+def test_short_equal_lines_go_in_the_query_and_the_stage(spark, tmp_path):
+    import corpus_pipeline
+    from tallyloom.llm import queries
+
+    docs = [(1, "All rights reserved.\n\nx\nx\n版权所有"), (2, "all rights reserved. \n\n\t\n\t\nAll rights reserves."), (3, "版权所有\nmine")]
+    frame = spark.createDataFrame([(d, t, "x", "y") for d, t in docs], SCHEMA)
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    left = {1: "All rights reserved.\n\nx\n版权所有", 2: "\n\t\n\t\nAll rights reserves.", 3: "mine"}
+    got = queries.op3_line_dedup(spark, str(tmp_path)).collect()
+    assert {r["doc_id"]: r["text"] for r in got} == left
+    assert {r["doc_id"]: r["n_dropped"] for r in got} == {1: 1, 2: 1, 3: 1}
+    staged = corpus_pipeline.line_stage(spark, frame.withColumn("n_chars", F.length("text")), str(tmp_path))
+    assert {r["doc_id"]: r["text"] for r in staged.collect()} == left
