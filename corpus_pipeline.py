@@ -36,11 +36,11 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     find_package(spark)
-    return simhash.keep_first(docs)
+    return simhash.keep_first(docs, whole=True)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate.keep_clean(docs, _table(spark, sf_dir, "benchmark"))
+    return decontaminate.keep_clean(docs, _table(spark, sf_dir, "benchmark"), whole=True)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -207,8 +207,11 @@ def _judged(dirty: DataFrame, clean: DataFrame, windows: DataFrame) -> DataFrame
     )
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are not contaminated, whatever other rows share their id. Rows with a null id stay."""
+def keep_clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", whole: bool = False) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, whatever other rows share their id.
+
+    Rows with a null id stay, unless ``whole`` asks to judge them too.
+    """
     bad = _found(docs, benchmark, key, text, "item_id", "text").where("contaminated").select("id", "version").distinct()
-    same = (docs[key] == F.col("id")) & (text_version(docs[text]) == F.col("version"))
-    return docs.join(bad, same, "left_anti")
+    named = docs[key].eqNullSafe(F.col("id")) if whole else docs[key] == F.col("id")
+    return docs.join(bad, named & (text_version(docs[text]) == F.col("version")), "left_anti")

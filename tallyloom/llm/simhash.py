@@ -128,14 +128,43 @@ def _classed(docs: DataFrame, key: str, text: str) -> DataFrame:
     return salted_join(rows, named, "fp", F.col("id"))
 
 
-def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def _rooted(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``(id, version, root)`` for each row; ``root`` names its component."""
+    rows = saved(fingerprints(docs, key, text))
+    unique = saved(rows.select("fp").distinct())
+    found = saved(components(links(unique)))
+    named = unique.join(found, unique["fp"] == found["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"))
+    return salted_join(rows, named, "fp", F.col("version")).select("id", "version", "root")
+
+
+def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", whole: bool = False) -> DataFrame:
     """The rows of ``docs`` with one document of each component: that with the smallest key.
 
     Rows with a null key are kept, since nothing tells them apart; equal rows
     are one document and stay together; rows with one key but other texts are
-    judged each.
+    judged each. With ``whole`` one row of each component stays, whatever its
+    rows have as keys: the first by key, nulls last, and text version, and of
+    rows equal in both any one.
     """
+    if whole:
+        return _one_each(docs, key, text)
     found = _classed(docs, key, text).where(F.col("id") != F.col("component_id"))
     dropped = found.select("id", "version").distinct()
     same = (docs[key] == F.col("id")) & (text_version(docs[text]) == F.col("version"))
     return docs.join(dropped, same, "left_anti")
+
+
+def _one_each(docs: DataFrame, key: str, text: str) -> DataFrame:
+    counted = _rooted(docs, key, text).groupBy("root", "id", "version").agg(F.count("*").alias("n"))
+    counted = saved(counted.withColumn("rank", F.struct(F.col("id").isNull().alias("none"), "id", "version")))
+    first = saved(counted.groupBy("root").agg(F.min("rank").alias("first")))
+    judged = salted_join(counted, first, "root", F.col("rank")).select("id", "version", "n", (F.col("rank") != F.col("first")).alias("drop"))
+    # ids and versions of rows that go, or of which one stays
+    judged = saved(judged.where("drop or n > 1").select("id", "version", "drop"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(key).alias("_id"), text_version(F.col(text)).alias("_version"))
+    same = F.col("_id").eqNullSafe(F.col("id")) & (F.col("_version") == F.col("version"))
+    some = rows.join(judged, same, "left")
+    alone = some.where("drop is null").select("row.*")
+    # partial aggregates make one of many equal rows before they are moved
+    copies = rows.join(judged.where("not drop"), same).groupBy("_id", "_version").agg(F.first("row").alias("row")).select("row.*")
+    return alone.union(copies)
