@@ -1,19 +1,14 @@
 import json
 import sys
-from datetime import datetime, timedelta, timezone
 from pathlib import Path
 
 import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from tallyloom.session import local_session  # noqa: E402
-
-T0 = datetime(2024, 1, 15, 10, 30, tzinfo=timezone.utc)
+from clock import at  # noqa: E402
 
-
-def at(seconds: float) -> datetime:
-    return T0 + timedelta(seconds=seconds)
+from tallyloom.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")

@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import at
+from clock import at
 from pyspark.sql import functions as F
 
 from __spark_entry__ import SMOKE_DIR

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import at
+from clock import at
 from pyspark.sql import functions as F
 
 from tallyloom import schema as S

@@ -4,7 +4,7 @@ import json
 import random
 
 import pytest
-from conftest import at
+from clock import at
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
