@@ -6,11 +6,13 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import chat, decontaminate, embeddings, licenses, line_dedup, mixing, quality, simhash, sql, token_counts, toxicity
+from tallyloom.llm import (
+    chat, decontaminate, embeddings, importance, licenses, line_dedup, mixing, neighbours, quality, simhash, spelling, sql, token_counts,
+    toxicity,
+)
 from tallyloom.llm.common import find_package
 
 
-
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     find_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -57,6 +59,18 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_licenses": op1_licenses,
     "op2_quality": op2_quality,
@@ -68,6 +82,9 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_token_counts": op9_token_counts,
     "op10_simhash": op10_simhash,
+    "op11_spelling": op11_spelling,
+    "op12_importance": op12_importance,
+    "op13_neighbours": op13_neighbours,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -75,4 +92,6 @@ QUERIES = {
 SQL: dict[str, str] = {
     "op1_licenses": sql.LICENSES,
     "op8_decontaminate": sql.DECONTAMINATE,
+    "op11_spelling": sql.SPELLING,
+    "op12_importance": sql.IMPORTANCE,
 }

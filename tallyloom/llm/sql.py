@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from tallyloom.llm.importance import BUCKETS, LEAST_WORDS, PERCENT, SEED
 from tallyloom.llm.licenses import AGREE, ALL, RARE, SLACK
+from tallyloom.llm.spelling import LEAST, LENGTH, MODULUS, TIMES
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORDS = rf"regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -73,3 +75,79 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base,
   coalesce(score, 0)::DOUBLE AS score
 FROM d LEFT JOIN per_row USING (r)
 """
+
+#: The CRC-32 of the bytes of a column ``s`` of the CTE ``hashed``, from the table of the 256 steps of a byte.
+CRC = """
+crc_table AS (
+  SELECT list(list_reduce(range(8), lambda c, _: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, b) ORDER BY b) AS steps
+  FROM (SELECT unnest(range(256)) AS b)),
+bytes AS (SELECT s, hex(encode(s)) AS h FROM hashed),
+crcs AS (
+  SELECT s, xor(list_reduce([('0x' || substr(h, 2 * i + 1, 2))::BIGINT FOR i IN range(len(h) // 2)],
+    lambda c, b: xor(c // 256, steps[xor(c % 256, b) + 1]), 4294967295::BIGINT), 4294967295) AS crc
+  FROM bytes, crc_table)
+"""
+
+IMPORTANCE = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS w FROM documents),
+raw AS (SELECT r, unnest(w) AS s FROM d),
+wanted AS (SELECT unnest({WORDS}) AS s FROM benchmark),
+hashed AS (SELECT s FROM raw UNION SELECT s FROM wanted),
+{CRC},
+buckets AS (SELECT s, crc % {BUCKETS} AS bucket FROM crcs),
+raw_counts AS (SELECT bucket, count(*) AS n FROM raw JOIN buckets USING (s) GROUP BY bucket),
+wanted_counts AS (SELECT bucket, count(*) AS n FROM wanted JOIN buckets USING (s) GROUP BY bucket),
+totals AS (
+  SELECT (SELECT count(*) FROM raw)::DOUBLE AS all_s, (SELECT count(*) FROM wanted)::DOUBLE AS all_t),
+gains AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * (all_s + {BUCKETS})
+    / ((s.n + 1)::DOUBLE * (all_t + {BUCKETS})))) AS gain
+  FROM raw_counts s LEFT JOIN wanted_counts t USING (bucket), totals),
+weighed AS (
+  SELECT r, count(*) AS n_features, floor(sum(gain) / count(*))::BIGINT AS weight
+  FROM raw JOIN buckets USING (s) JOIN gains USING (bucket) GROUP BY r),
+scored AS (
+  SELECT r, doc_id, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight, len(w) AS n_words,
+    coalesce(weight, 0)::BIGINT
+      + floor(-1000 * ln(-ln((('0x' || sha256('{SEED}:' || coalesce(doc_id::VARCHAR, ''))[:8])::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM d LEFT JOIN weighed USING (r)),
+placed AS (
+  SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS place, count(*) OVER () AS n
+  FROM scored WHERE n_words >= {LEAST_WORDS})
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= n * {PERCENT} // 100 THEN place END AS rank
+FROM scored LEFT JOIN placed USING (r)
+"""
+
+RUNS = f"regexp_extract_all({LOWER}, '[a-z\u00c0-\u00ff]+')"
+
+SPELLING = f"""
+WITH RECURSIVE runs AS (SELECT doc_id, unnest({RUNS}) AS run FROM documents),
+long AS (
+  SELECT coalesce(doc_id::VARCHAR, '') || ':' || run AS s, run, count(*) AS n
+  FROM runs WHERE len(run) >= {LENGTH} GROUP BY 1, 2),
+hashed AS (SELECT DISTINCT s FROM long),
+{CRC},
+words AS (
+  SELECT CASE WHEN crc % {MODULUS} = 0 THEN left(run, (crc % len(run))::INT) || substr(run, (crc % len(run))::INT + 2) ELSE run END AS word, n
+  FROM long JOIN crcs USING (s)),
+counts AS (SELECT word, sum(n)::BIGINT AS n FROM words WHERE len(word) >= {LENGTH} GROUP BY word HAVING sum(n) >= {LEAST}),
+short AS (
+  SELECT word, i, left(word, i::INT) || substr(word, i::INT + 2) AS rest
+  FROM (SELECT word, unnest(range(len(word))) AS i FROM counts)),
+near AS (
+  SELECT DISTINCT a.word AS word, b.word AS other FROM short a JOIN short b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, b.word FROM short a JOIN counts b ON a.rest = b.word
+  UNION SELECT b.word, a.word FROM short a JOIN counts b ON a.rest = b.word),
+ranked AS (
+  SELECT near.word, other, n, row_number() OVER (PARTITION BY near.word ORDER BY n DESC, other) AS place, count(*) OVER (PARTITION BY near.word) AS n_near
+  FROM near JOIN counts ON other = counts.word),
+known AS (
+  SELECT c.word, c.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN r.n >= {TIMES} * c.n THEN other END AS form,
+    CASE WHEN r.n >= {TIMES} * c.n THEN r.n END AS form_n
+  FROM counts c LEFT JOIN ranked r ON c.word = r.word AND place = 1),
+paths AS (
+  SELECT word, form AS last FROM known WHERE form IS NOT NULL
+  UNION ALL SELECT paths.word, known.form FROM paths JOIN known ON last = known.word WHERE known.form IS NOT NULL),
+ends AS (SELECT paths.word, last FROM paths JOIN known ON last = known.word WHERE known.form IS NULL)
+SELECT word, form, coalesce(last, word) AS root, n, n_near, form_n FROM known LEFT JOIN ends USING (word)
+"""
