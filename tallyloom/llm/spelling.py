@@ -34,7 +34,7 @@ TIMES = 2
 #: One run in so many loses a letter.
 MODULUS = 97
 #: Most words that the cells are grown on, and points that a cell is meant to hold.
-SAMPLE, CELL = 32_768, 2_048
+SAMPLE, CELL = 32_768, 4_096
 LEAF = 32
 DIMS = 32
 #: Elements of an intermediate array.
@@ -45,10 +45,16 @@ _COORDINATE = np.array([c - 97 if 97 <= c < 123 else 26 + c % (DIMS - 26) for c
 
 
 class Tree(NamedTuple):
-    """Nodes by number, the root first: boxes ``lo`` to ``hi``, where they are cut and into which; leaves have no cut."""
+    """Nodes by number, the root first, where they are cut and into which; leaves have no cut.
 
+    ``start`` to ``end`` is what the cuts leave of all space, ``lo`` to ``hi`` the box of the points themselves if the tree is ``tight``.
+    """
+
+    start: np.ndarray
+    end: np.ndarray
     lo: np.ndarray
     hi: np.ndarray
+    tight: bool
     dim: list[int]
     cut: list[int]
     below: list[tuple[int, int] | None]
@@ -67,36 +73,43 @@ class Tree(NamedTuple):
         return out
 
     def reach(self, points: np.ndarray, distance: int) -> Iterator[tuple[int, np.ndarray]]:
-        """Leaves, each with the points whose distance to its box is small enough."""
-        waiting = [(0, np.arange(len(points)))]
+        """Leaves, each with the points whose distance to its box is small enough.
+
+        On the way down only the coordinate that a cut bounds is looked at; a leaf's whole box is compared at the end.
+        """
+        waiting = [(0, np.arange(len(points)), np.zeros(len(points), np.int64))]
         while waiting:
-            node, rows = waiting.pop()
-            here = points[rows]
-            rows = rows[(np.maximum(self.lo[node] - here, 0) + np.maximum(here - self.hi[node], 0)).sum(1) <= distance]
-            if not len(rows):
-                continue
+            node, rows, gap = waiting.pop()
             if self.below[node] is None:
-                yield node, rows
-            else:
-                waiting += [(child, rows) for child in self.below[node]]
+                here = points[rows]
+                outside = np.maximum(self.lo[node] - here, 0) + np.maximum(here - self.hi[node], 0)
+                rows = rows[outside.sum(1, dtype=np.int64) <= distance] if self.tight else rows
+                if len(rows):
+                    yield node, rows
+                continue
+            at, cut = points[rows, self.dim[node]].astype(np.int64), self.cut[node]
+            # a point on the far side of a cut is at least that far off, whatever was added for this coordinate before
+            for child, off in zip(self.below[node], (at - cut, cut + 1 - at)):
+                beyond = np.maximum(off, 0)
+                before = np.maximum(self.start[node, self.dim[node]] - at, 0) + np.maximum(at - self.end[node, self.dim[node]], 0)
+                far = gap + np.maximum(beyond - before, 0)
+                near = far <= distance
+                if near.any():
+                    waiting.append((child, rows[near], far[near]))
 
 
-FAR = 1 << 30
+#: Counts beyond this are as good as this: words stay as near or come nearer.
+MOST = 1_000
 
 
 def grow(points: np.ndarray, leaf: float, tight: bool) -> Tree:
-    """Cuts at the median of the widest coordinate until at most ``leaf`` points, or equal ones, are left.
-
-    Boxes are those of the points themselves if ``tight``, else what the cuts leave of all space.
-    """
-    tree = ([np.full(DIMS, -FAR, np.int64)], [np.full(DIMS, FAR, np.int64)], [-1], [0], [None], [np.arange(len(points))])
-    lo, hi, dim, cut, below, rows = tree
+    """Cuts at the median of the widest coordinate until at most ``leaf`` points, or equal ones, are left."""
+    start, end = [np.full(DIMS, -1, np.int16)], [np.full(DIMS, MOST + 1, np.int16)]
+    dim, cut, below, rows = [-1], [0], [None], [np.arange(len(points))]
     waiting = [0]
     while waiting:
         node = waiting.pop()
         here = points[rows[node]]
-        if tight and len(here):
-            lo[node], hi[node] = here.min(0), here.max(0)
         if len(here) <= leaf:
             continue
         spread = here.var(0)
@@ -106,18 +119,23 @@ def grow(points: np.ndarray, leaf: float, tight: bool) -> Tree:
         at = int(np.median(here[:, d]))
         at -= at >= here[:, d].max()
         low = here[:, d] <= at
-        dim[node], cut[node], below[node] = d, at, (len(lo), len(lo) + 1)
+        dim[node], cut[node], below[node] = d, at, (len(dim), len(dim) + 1)
         for side, part in ((0, rows[node][low]), (1, rows[node][~low])):
-            lo.append(lo[node].copy())
-            hi.append(hi[node].copy())
-            (lo, hi)[1 - side][-1][d] = at + side
+            start.append(start[node].copy())
+            end.append(end[node].copy())
+            (start, end)[1 - side][-1][d] = at + side
             dim.append(-1)
             cut.append(0)
             below.append(None)
             rows.append(part)
-            waiting.append(len(lo) - 1)
+            waiting.append(len(dim) - 1)
         rows[node] = rows[node][:0]
-    return Tree(np.array(lo), np.array(hi), dim, cut, below, rows)
+    lo, hi = np.array(start), np.array(end)
+    if tight:
+        for node, part in enumerate(rows):
+            if len(part):
+                lo[node], hi[node] = points[part].min(0), points[part].max(0)
+    return Tree(np.array(start), np.array(end), lo, hi, tight, dim, cut, below, rows)
 
 
 def letters(words: list[str], length: int) -> np.ndarray:
@@ -127,11 +145,11 @@ def letters(words: list[str], length: int) -> np.ndarray:
 
 def letter_counts(rows: np.ndarray) -> np.ndarray:
     n, length = rows.shape
-    out = np.zeros((n, DIMS), np.int64)
+    out = np.zeros((n, DIMS), np.int16)
     step = max(1, WIDE // max(length, DIMS))
     for i in range(0, n, step):
         part = _COORDINATE[rows[i : i + step]] + np.arange(len(rows[i : i + step]))[:, None] * DIMS
-        out[i : i + step] = np.bincount(part.ravel(), minlength=len(part) * DIMS).reshape(-1, DIMS)
+        out[i : i + step] = np.minimum(np.bincount(part.ravel(), minlength=len(part) * DIMS).reshape(-1, DIMS), MOST)
     return out
 
 
@@ -160,7 +178,7 @@ def near_pairs(asking: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.n
             step = max(1, WIDE // (len(some) * DIMS))
             for i in range(0, len(rows), step):
                 part = rows[i : i + step]
-                a, b = np.nonzero(np.abs(q[part][:, None] - p[some][None]).sum(2) <= distance)
+                a, b = np.nonzero(np.abs(q[part][:, None] - p[some][None]).sum(2, dtype=np.int16) <= distance)
                 found += _judged(asking, points, part[a], some[b], judge)
     return tuple(np.concatenate(x) for x in zip(*found))
 
@@ -270,7 +288,7 @@ def near_words(counts: DataFrame, sample: int = SAMPLE, cell: int = CELL) -> Dat
     learnt = learnt.mapInPandas(_counted, "length int, counts array<bigint>").toPandas()
     trees, chunks = {}, {}
     for length, part in learnt.groupby("length"):
-        points = np.array(part["counts"].tolist(), np.int64)
+        points = np.array(part["counts"].tolist(), np.int16)
         tree = grow(points, max(16, cell * share), False)
         chunks |= {(int(length), node): max(1, round(len(rows) / share / (2 * cell))) for node, rows in enumerate(tree.rows)}
         trees[int(length)] = tree._replace(rows=[])
