@@ -213,5 +213,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     Rows with a null id stay, unless ``whole`` asks to judge them too.
     """
     bad = _found(docs, benchmark, key, text, "item_id", "text").where("contaminated").select("id", "version").distinct()
-    named = docs[key].eqNullSafe(F.col("id")) if whole else docs[key] == F.col("id")
-    return docs.join(bad, named & (text_version(docs[text]) == F.col("version")), "left_anti")
+    # whole rows in one column, so that none of theirs clashes
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(key).alias("_id"), text_version(F.col(text)).alias("_version"))
+    named = F.col("_id").eqNullSafe(F.col("id")) if whole else F.col("_id") == F.col("id")
+    return rows.join(bad, named & (F.col("_version") == F.col("version")), "left_anti").select("row.*")

@@ -150,8 +150,8 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", whole:
         return _one_each(docs, key, text)
     found = _classed(docs, key, text).where(F.col("id") != F.col("component_id"))
     dropped = found.select("id", "version").distinct()
-    same = (docs[key] == F.col("id")) & (text_version(docs[text]) == F.col("version"))
-    return docs.join(dropped, same, "left_anti")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(key).alias("_id"), text_version(F.col(text)).alias("_version"))
+    return rows.join(dropped, (F.col("_id") == F.col("id")) & (F.col("_version") == F.col("version")), "left_anti").select("row.*")
 
 
 def _one_each(docs: DataFrame, key: str, text: str) -> DataFrame:
