@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom import schema as S
@@ -51,6 +52,37 @@ def active_jobs(control: DataFrame, steps: Sequence[str] = S.STEPS) -> DataFrame
     return counts.select(F.inline(cells))
 
 
+def waiting_times(control: DataFrame, steps: Sequence[str] = S.STEPS) -> DataFrame:
+    """``(job_id, step, started, ended)``: a job waits in a step from when the step before is first done until the
+    first message about the step from then on; ``ended`` is null while there is none."""
+    found = []
+    for before, step in zip(steps, steps[1:]):
+        started = control.filter((F.col("step") == before) & (F.col("status") == "done")).groupBy("job_id").agg(F.min("ts").alias("started"))
+        told = control.filter(F.col("step") == step).select("job_id", "ts")
+        met = started.join(told, "job_id", "left").groupBy("job_id", "started")
+        ended = met.agg(F.min(F.when(F.col("ts") >= F.col("started"), F.col("ts"))).alias("ended"))
+        found.append(ended.select("job_id", F.lit(step).alias("step"), "started", "ended"))
+    return reduce(DataFrame.union, found)
+
+
+def active_jobs_over_time(control: DataFrame, steps: Sequence[str] = S.STEPS, stretch: str = "month") -> DataFrame:
+    """``(step, ts, active)``: how many jobs wait in a step from each instant on at which that number may change.
+
+    A sweep over +1 at each start and -1 at each end. Changes of one instant
+    become one row first. Running sums are taken within stretches of time, each
+    on top of what the stretches before it leave, so no task sees a whole step.
+    """
+    waits = waiting_times(control, steps)
+    change = lambda ts, by: waits.select("step", F.col(ts).alias("ts"), F.lit(by).cast("bigint").alias("by"))
+    changes = change("started", 1).union(change("ended", -1)).filter(F.col("ts").isNotNull())
+    instants = changes.groupBy("step", "ts").agg(F.sum("by").alias("by")).withColumn("_part", F.date_trunc(stretch, "ts"))
+    parts = instants.groupBy("step", "_part").agg(F.sum("by").alias("_sum"))
+    carried = F.sum("_sum").over(Window.partitionBy("step").orderBy("_part")) - F.col("_sum")
+    parts = parts.select("step", "_part", carried.alias("_carried"))
+    within = F.sum("by").over(Window.partitionBy("step", "_part").orderBy("ts"))
+    return instants.join(parts, ["step", "_part"]).select("step", "ts", (F.col("_carried") + within).alias("active"))
+
+
 def ops_metrics(rows: DataFrame, window: str = "1 hour", ts: str = "ts") -> DataFrame:
     """Reviews and reviews per second by window."""
     counts = rows.groupBy(F.window(ts, window).alias("_w")).agg(F.count(F.lit(1)).alias("reviews"))

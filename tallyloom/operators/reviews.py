@@ -118,6 +118,19 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
     return df.groupBy(*keys).agg(latest.alias("_v")).select(*keys, "_v.*")
 
 
+def latest_with_deletes(df: DataFrame, deletions: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The last row per key, without the keys whose last message deletes them.
+
+    ``deletions`` has the keys and the columns of ``order``: messages without a
+    value. A row after a deletion brings its key back; of a row and a deletion
+    of equal order the deletion counts. What is counted from the result has
+    forgotten the deleted keys as well.
+    """
+    gone = deletions.select(*keys, *order, F.lit(True).alias("_gone"))
+    both = df.withColumn("_gone", F.lit(False)).unionByName(gone, allowMissingColumns=True)
+    return latest_by_key(both, keys, [*order, "_gone"]).filter(~F.col("_gone")).drop("_gone")
+
+
 def latest_review(reviews: DataFrame, order: Sequence[str] = ("ts",)) -> DataFrame:
     return latest_by_key(reviews, ["job_id", "review_id"], order)
 

@@ -14,6 +14,7 @@ from tallyloom.operators import cells as cl
 from tallyloom.operators import control as ct
 from tallyloom.operators import documents as doc
 from tallyloom.operators import keywords as kw
+from tallyloom.operators import latency as lt
 from tallyloom.operators import metrics as mx
 from tallyloom.operators import parse, ratings, reviews
 from tallyloom.operators import sentiment as sn
@@ -266,6 +267,29 @@ def _(spark, sf):
     return reviews.latest_by_key(rows, ["job_id", "step"], ["ts", "expected_count", "actual_count", "status"])
 
 
+def _remaining(spark, sf, *values: str) -> DataFrame:
+    rows = _reviews(spark, sf).select("job_id", "review_id", "ts", *values)
+    gone = fx.deletion_messages(spark, sf).filter(F.col("value").isNull())
+    parts = F.split("key", r"\|", 2)
+    gone = gone.select(parts[0].alias("job_id"), parts[1].alias("review_id"), F.col("ts").cast("timestamp"))
+    return reviews.latest_with_deletes(rows, gone, ["job_id", "review_id"], ["ts"])
+
+
+@query("latest_by_key_with_deletes")
+def _(spark, sf):
+    return _remaining(spark, sf, "rating")
+
+
+@query("ledger_with_deletes")
+def _(spark, sf):
+    """Completion over the reviews that are still there."""
+    return ct.ledger(
+        ct.expected_counts(_collections(spark, sf)),
+        ct.distinct_counts(_remaining(spark, sf)),
+        ct.distinct_counts(_analyses(spark, sf)),
+    )
+
+
 @query("latest_review")
 def _(spark, sf):
     rows = _lines(spark, sf).drop("own_rating")
@@ -676,11 +700,35 @@ def _(spark, sf):
     return mx.active_jobs(_log(spark, sf))
 
 
+@query("active_jobs_over_time")
+def _(spark, sf):
+    return mx.active_jobs_over_time(_log(spark, sf))
+
+
 @query("ops_metrics")
 def _(spark, sf):
     return mx.ops_metrics(_ids(spark, sf))
 
 
+# How long before its job's done event a message may have come.
+LATENCY_SPAN = "1 day"
+
+
+def _done(spark, sf) -> DataFrame:
+    return lt.done_events(_ids(spark, sf), _analyses(spark, sf), _collections(spark, sf))
+
+
+@query("done_events")
+def _(spark, sf):
+    return _done(spark, sf)
+
+
+@query("aggregate_latency")
+def _(spark, sf):
+    rows = lt.arrivals(_ids(spark, sf), _analyses(spark, sf))
+    return lt.aggregate_latency(rows, _done(spark, sf), LATENCY_SPAN)
+
+
 @query("match_rate")
 def _(spark, sf):
     return mx.match_rate(_log(spark, sf))
@@ -698,12 +746,13 @@ def _(spark, sf):
 PORTIONS = 3
 
 
-def _fed(spark, sf, work: str, writer) -> None:
-    """Feeds a stream portion by portion. ``writer`` gets the three sources."""
+def _fed(spark, sf, work: str, writer, more: dict[str, DataFrame] | None = None) -> None:
+    """Feeds a stream portion by portion. ``writer`` gets the three sources and those of ``more``."""
     inputs = {
         "transform": fx.transform_messages(spark, sf),
         "analysis": fx.analysis_messages(spark, sf).withColumn("key", F.lit(None).cast("string")),
         "control": fx.collection_messages(spark, sf),
+        **(more or {}),
     }
     ends = inputs["transform"].agg(F.min("ts").alias("a"), F.max("ts").alias("z")).first()
     step = (ends["z"] - ends["a"]) / PORTIONS if ends["a"] else None
@@ -747,6 +796,24 @@ def _(spark, sf):
     return spark.read.parquet(f"{work}/rows")
 
 
+@query("stream_aggregate_latency")
+def _(spark, sf):
+    """Done events come as control messages of the aggregation step."""
+    work = work_dir(spark, "latency")
+    done = _done(spark, sf)
+    message = F.to_json(F.struct("job_id", F.lit("aggregation").alias("step"), F.lit("done").alias("status")))
+    told = done.select(F.col("job_id").alias("key"), message.alias("value"), F.col("done_at").alias("ts"))
+
+    def writer(sources):
+        rows = lt.arrivals(_fed_reviews(spark, sources), _fed_analyses(spark, sources))
+        events = readers.read_control(spark, sources["done"], streaming=True)
+        events = events.filter((F.col("step") == "aggregation") & (F.col("status") == "done")).select("job_id", F.col("ts").alias("done_at"))
+        return sinks.append(flows.aggregate_latency(rows, events, LATENCY_SPAN), f"{work}/rows", f"{work}/checkpoint")
+
+    _fed(spark, sf, work, writer, {"done": told})
+    return spark.read.parquet(f"{work}/rows")
+
+
 @query("stream_distinct_counts")
 def _(spark, sf):
     work = work_dir(spark, "distinct")

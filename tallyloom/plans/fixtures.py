@@ -157,6 +157,16 @@ def collection_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.select(F.expr("concat('\"job-', user_id, '\"')").alias("key"), value.alias("value"), "ts")
 
 
+def deletion_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(key, value, ts)``: messages without a value for some reviews of ``transform_messages``, by their composite key.
+
+    Those of purchases come between the review and its re-delivery, so the review is back.
+    """
+    events = table(spark, sf_dir, "events").filter("event_id % 7 = 0")
+    key = F.expr("concat('job-', user_id, '|r', event_id)")
+    return events.select(key.alias("key"), F.lit(None).cast("string").alias("value"), F.expr("ts + INTERVAL 0.5 SECONDS").alias("ts"))
+
+
 def control_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(key, value, ts)``: one control message per order.
 

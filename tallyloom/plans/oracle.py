@@ -7,6 +7,7 @@ over JSON text.
 from __future__ import annotations
 
 from tallyloom import schema as S
+from tallyloom.operators.latency import LATENCY_BOUNDS
 from tallyloom.operators.metrics import DURATION_BOUNDS
 
 AS_OF = "2024-01-30 12:00:00"
@@ -589,6 +590,45 @@ FROM (SELECT t.job_id, event_id % 7 = 0 AS nameless, event_id % 7 <> 0 AND EXIST
 GROUP BY job_id""", REVIEWS, ANALYSES),
 }
 
+REACHED = """
+firsts AS (
+  SELECT 't' AS side, job_id, review_id, MIN(ts) AS ts FROM tr GROUP BY ALL
+  UNION ALL SELECT 'a', job_id, review_id, MIN(ts) FROM an GROUP BY ALL),
+placed AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY side, job_id ORDER BY ts) AS place FROM firsts),
+dn AS (
+  SELECT job_id, GREATEST(ctl.ts, MAX(placed.ts)) AS done_at FROM placed JOIN ctl USING (job_id)
+  WHERE place = GREATEST(expected_count, 1) GROUP BY job_id, ctl.ts HAVING COUNT(*) = 2)"""
+DONE_TABLES = (REVIEWS, ANALYSES, COLLECTED, REACHED)
+LATENCY = """
+SELECT job_id, TIME_BUCKET(INTERVAL '1' HOUR, done_at) AS window_start, COUNT(*) AS arrivals,
+       SUM(waited) / 1e6 AS seconds, MIN(waited) / 1e6 AS shortest, MAX(waited) / 1e6 AS longest,
+       """ + ", ".join(f"COUNT(*) FILTER (waited <= {b * 1_000_000}) / CAST(COUNT(*) AS DOUBLE) AS within_{b}" for b in LATENCY_BOUNDS) + """
+FROM (SELECT job_id, done_at, EPOCH_US(done_at) - EPOCH_US(ts) AS waited
+      FROM (SELECT job_id, ts FROM tr UNION ALL SELECT job_id, ts FROM an) JOIN dn USING (job_id)
+      WHERE ts <= done_at AND ts > done_at - INTERVAL '1' DAY)
+GROUP BY ALL"""
+REMAINING = """
+lt AS (SELECT job_id, review_id, MAX(ts) AS ts, ARG_MAX(rating, ts) AS rating, MIN(event_id) AS event_id FROM tr GROUP BY ALL),
+gone AS (SELECT 'job-' || user_id AS job_id, 'r' || event_id AS review_id, ts + INTERVAL '500' MILLISECOND AS ts FROM events WHERE event_id % 7 = 0),
+rem AS (SELECT job_id, review_id, ts, rating FROM lt WHERE NOT EXISTS (
+  SELECT 1 FROM gone WHERE gone.job_id = lt.job_id AND gone.review_id = lt.review_id AND gone.ts >= lt.ts))"""
+SQL["latest_by_key_with_deletes"] = with_tables("SELECT * FROM rem", REVIEWS, REMAINING)
+SQL["ledger_with_deletes"] = with_tables(
+    "SELECT * FROM lg2", REVIEWS, ANALYSES, COLLECTED, REMAINING,
+    COUNTS.replace("FROM tr GROUP BY", "FROM rem GROUP BY"), LEDGER)
+SQL["active_jobs_over_time"] = with_tables("""
+SELECT step, ts, CAST(SUM(SUM(delta)) OVER (PARTITION BY step ORDER BY ts) AS BIGINT) AS active FROM (
+  SELECT step, started AS ts, 1 AS delta FROM waits UNION ALL SELECT step, ended, -1 FROM waits WHERE ended IS NOT NULL)
+GROUP BY step, ts""", LOG, """
+started AS (
+  SELECT job_id, CASE step WHEN 'collection' THEN 'transform' WHEN 'transform' THEN 'analysis' ELSE 'aggregation' END AS step, MIN(ts) AS started
+  FROM lg WHERE status = 'done' AND step IN ('collection', 'transform', 'analysis') GROUP BY ALL),
+waits AS (
+  SELECT job_id, step, started, (SELECT MIN(ts) FROM lg WHERE lg.job_id = s.job_id AND lg.step = s.step AND ts >= started) AS ended
+  FROM started s)""")
+SQL["done_events"] = with_tables("SELECT job_id, done_at FROM dn", *DONE_TABLES)
+SQL["aggregate_latency"] = with_tables(LATENCY, *DONE_TABLES)
+
 # --- the streaming twins end with what the batch form returns
 SQL["stream_join_reviews"] = with_tables("""
 SELECT job_id, review_id, ts, analysis_ts, rating, event_type AS title, sentiment, summary
@@ -596,6 +636,9 @@ FROM jn""", REVIEWS, ANALYSES, PAIRS)
 SQL["stream_hourly_counts"] = with_tables(f"""
 SELECT job_id, window_start, window_start + INTERVAL '1' HOUR AS window_end, n FROM th
 WHERE window_start + INTERVAL '1' HOUR <= {NEWEST} - INTERVAL '2' MINUTE""", REVIEWS, ANALYSES, HOURS)
+SQL["stream_aggregate_latency"] = with_tables(f"""
+SELECT * FROM ({LATENCY}) WHERE window_start + INTERVAL '1' HOUR
+  <= LEAST({NEWEST}, (SELECT MAX(ts) FROM an), (SELECT MAX(done_at) FROM dn)) - INTERVAL '1' DAY""", *DONE_TABLES)
 SQL["stream_distinct_counts"] = with_tables("SELECT job_id, n FROM tc", REVIEWS, ANALYSES, COUNTS)
 SQL["stream_combined"] = SQL["combined_job_stats"]
 SQL["stream_emit_done"] = with_tables(

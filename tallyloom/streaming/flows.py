@@ -15,6 +15,7 @@ from tallyloom import schema as S
 from tallyloom.functions import scalars as sc
 from tallyloom.operators import control as ct
 from tallyloom.operators import documents as doc
+from tallyloom.operators import latency as lt
 from tallyloom.operators import reviews
 from tallyloom.sources import sinks
 
@@ -51,6 +52,15 @@ def distinct_counts(rows: DataFrame, lifetime: str | None = S.JOB_LIFETIME) -> D
     return ids.groupBy("job_id").agg(F.count(F.lit(1)).alias("n"))
 
 
+def aggregate_latency(arrivals: DataFrame, done: DataFrame, lifetime: str = S.JOB_LIFETIME, delay: str = "0 seconds", **options) -> DataFrame:
+    """Append mode emits a window of done events ``lifetime`` and ``delay`` after its end.
+
+    The two streams are joined and then counted by window: two stateful
+    operators under one watermark.
+    """
+    return lt.aggregate_latency(arrivals.withWatermark("ts", delay), done.withWatermark("done_at", delay), lifetime, **options)
+
+
 def combined_job_stats(transform: DataFrame, analysis: DataFrame) -> DataFrame:
     """The combined figures of each job with rows on both sides, for update mode."""
     return doc.combined_from_tagged(transform, analysis)
