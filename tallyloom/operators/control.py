@@ -112,23 +112,20 @@ def closed_windows(counts: DataFrame, newest: Column, grace: str = S.COUNT_GRACE
     return counts.filter(F.col("window_end") <= newest - F.expr(f"INTERVAL '{grace}'"))
 
 
+def hours_asked(control: DataFrame) -> DataFrame:
+    """``(job_id, collected_at, expected_count, window_start)``: for each collection-done message the hour windows
+    starting within the hour up to it. Windows start on whole hours, so these are one or two."""
+    asked = collection_done(control).select("job_id", F.col("ts").alias("collected_at"), "expected_count")
+    last = F.date_trunc("hour", F.col("collected_at"))
+    first = F.when(F.col("collected_at") == last, last - F.expr("INTERVAL 1 HOUR")).otherwise(last)
+    return asked.withColumn("window_start", F.explode(F.sequence(first, last, F.expr("INTERVAL 1 HOUR"))))
+
+
 def counts_at_collection(control: DataFrame, transform_hours: DataFrame, analysis_hours: DataFrame) -> DataFrame:
     """For each collection-done message, what both sides counted in the hour
-    windows starting within the hour up to the message.
-
-    Windows start on whole hours, so the range is the one or two whole hours in
-    it and the lookup is an equi-join.
+    windows starting within the hour up to the message. An equi-join by hour.
     """
-    asked = (
-        collection_done(control)
-        .select("job_id", F.col("ts").alias("collected_at"), "expected_count")
-        .distinct()
-    )
-    last = F.date_trunc("hour", F.col("collected_at"))
-    first = F.when(F.col("collected_at") == last, last - F.expr("INTERVAL 1 HOUR")).otherwise(last)
-    hours = asked.withColumn(
-        "window_start", F.explode(F.sequence(first, last, F.expr("INTERVAL 1 HOUR")))
-    )
+    hours = hours_asked(control).distinct()
     side = lambda df, name: df.select("job_id", "window_start", F.col("n").alias(name))
     keys = ["job_id", "window_start"]
     return (

@@ -796,6 +796,19 @@ def _(spark, sf):
     return spark.read.parquet(f"{work}/rows")
 
 
+@query("stream_counts_at_collection")
+def _(spark, sf):
+    work = work_dir(spark, "lookup")
+
+    def writer(sources):
+        control = readers.read_control(spark, sources["control"], streaming=True)
+        counts = flows.counts_at_collection(_fed_reviews(spark, sources), _fed_analyses(spark, sources), control)
+        return sinks.append(counts, f"{work}/rows", f"{work}/checkpoint")
+
+    _fed(spark, sf, work, writer)
+    return flows.counts_of_messages(spark.read.parquet(f"{work}/rows"))
+
+
 @query("stream_aggregate_latency")
 def _(spark, sf):
     """Done events come as control messages of the aggregation step."""

@@ -636,6 +636,9 @@ FROM jn""", REVIEWS, ANALYSES, PAIRS)
 SQL["stream_hourly_counts"] = with_tables(f"""
 SELECT job_id, window_start, window_start + INTERVAL '1' HOUR AS window_end, n FROM th
 WHERE window_start + INTERVAL '1' HOUR <= {NEWEST} - INTERVAL '2' MINUTE""", REVIEWS, ANALYSES, HOURS)
+SQL["stream_counts_at_collection"] = f"""
+SELECT * FROM ({SQL["counts_at_collection"]}) WHERE TIME_BUCKET(INTERVAL '1' HOUR, collected_at) + INTERVAL '62' MINUTE
+  <= (SELECT TIME_BUCKET(INTERVAL '1' HOUR, MAX(ts)) FROM events)"""
 SQL["stream_aggregate_latency"] = with_tables(f"""
 SELECT * FROM ({LATENCY}) WHERE window_start + INTERVAL '1' HOUR
   <= LEAST({NEWEST}, (SELECT MAX(ts) FROM an), (SELECT MAX(done_at) FROM dn)) - INTERVAL '1' DAY""", *DONE_TABLES)

@@ -52,6 +52,37 @@ def distinct_counts(rows: DataFrame, lifetime: str | None = S.JOB_LIFETIME) -> D
     return ids.groupBy("job_id").agg(F.count(F.lit(1)).alias("n"))
 
 
+def counts_at_collection(transform: DataFrame, analysis: DataFrame, control: DataFrame, grace: str = S.COUNT_GRACE) -> DataFrame:
+    """For each collection-done message and hour it asks for, what both sides counted in that hour; append mode.
+
+    A windowed count of both sides, then a join of its closed windows with the
+    messages by job and window: two stateful operators under one watermark,
+    which bounds the state of both. A row comes out once its window is closed; a
+    window without rows counts zero. ``counts_of_messages`` adds up what has come out.
+    """
+    kind = lambda rows, is_transform: rows.select("job_id", "ts", F.lit(is_transform).alias("_t"))
+    both = kind(transform, True).union(kind(analysis, False)).withWatermark("ts", grace)
+    counts = both.groupBy(F.window("ts", S.COUNT_WINDOW).alias("_w"), F.col("job_id").alias("_job"))
+    counts = counts.agg(F.count_if("_t").alias("_transform"), F.count_if(~F.col("_t")).alias("_analysis"))
+    asked = ct.hours_asked(control).withWatermark("window_start", grace)
+    asked = asked.select("job_id", "collected_at", "expected_count", F.window("window_start", S.COUNT_WINDOW).alias("_asked"))
+    # the same message again asks for nothing new
+    asked = asked.dropDuplicatesWithinWatermark(asked.columns)
+    met = asked.join(counts, (F.col("job_id") == F.col("_job")) & (F.col("_asked") == F.col("_w")), "left")
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    return met.select(
+        "job_id", "collected_at", "expected_count", F.col("_asked.start").alias("window_start"),
+        zero("_transform").alias("transform_count"), zero("_analysis").alias("analysis_count"),
+    )
+
+
+def counts_of_messages(rows: DataFrame) -> DataFrame:
+    """The written rows of ``counts_at_collection``, summed over the hours of each message."""
+    return rows.groupBy("job_id", "collected_at", "expected_count").agg(
+        F.sum("transform_count").alias("transform_count"), F.sum("analysis_count").alias("analysis_count")
+    )
+
+
 def aggregate_latency(arrivals: DataFrame, done: DataFrame, lifetime: str = S.JOB_LIFETIME, delay: str = "0 seconds", **options) -> DataFrame:
     """Append mode emits a window of done events ``lifetime`` and ``delay`` after its end.
 
