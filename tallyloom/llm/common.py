@@ -115,12 +115,12 @@ def _state(edges: DataFrame) -> tuple:
 SKETCH_BITS = 20
 
 
-def maybe_in(rows: DataFrame, keys: DataFrame, *columns: str) -> tuple[DataFrame, DataFrame]:
+def maybe_in(rows: DataFrame, keys: DataFrame, *columns: str, also: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """Splits ``rows`` into those whose key may be among ``keys`` and those whose key surely is not.
 
     Looks hashes of the key up in a bitmap of fixed size, so no row is moved.
     Both frames have the key under the names ``columns``; none other than those
-    of ``rows`` is kept.
+    of ``rows`` is kept. Rows where ``also`` holds go with the first.
     """
     place = F.xxhash64(*columns).bitwiseAND((1 << SKETCH_BITS) - 1)
     bit = F.expr("shiftleft(1L, cast(_place & 63 as int))")
@@ -128,4 +128,5 @@ def maybe_in(rows: DataFrame, keys: DataFrame, *columns: str) -> tuple[DataFrame
     placed = rows.withColumn("_place", place)
     joined = placed.join(F.broadcast(words), F.shiftright("_place", 6) == F.col("_word"), "left")
     known = F.coalesce(F.col("_bits").bitwiseAND(bit), F.lit(0)) != 0
+    known = known if also is None else known | also
     return joined.where(known).select(*rows.columns), joined.where(~known).select(*rows.columns)

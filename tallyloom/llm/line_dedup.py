@@ -10,12 +10,12 @@ meet are verified by Hyyrö's bit-parallel edit distance in a band.
 
 When more than ``CROWDED`` lines meet on a segment, say the variants of one
 sentence in many copies, they are not paired. The rest of the line, which holds
-the edit, is halved, and the lines meet again on all that lies outside one
-half, and so on while a meeting is crowded. Once the rest is a single character
-all lines of one length that meet are within one edit of each other, and a
-link to the smallest is enough; a line one character longer is linked if that
-character is one of its two. So no crowd is ever paired and no link between
-different lines is lost that their class needs.
+the edit, is cut into ``PARTS`` parts, and the lines meet again on all that lies
+outside one of them, until the rest is a single character. Then all lines of one
+length that meet are within one edit of each other, and a link to the smallest is
+enough; a line one character longer is linked if that character is one of its two.
+So no crowd is ever paired and no link between different lines is lost that their
+class needs.
 
 The threshold grows with the line: lines of ``LONG_WORDS`` words or more are
 also near if one word is changed, added or missing, however many characters that
@@ -169,47 +169,41 @@ def verified_words(pairs: DataFrame) -> DataFrame:
     return rows.where((longer - shorter <= 1) & (shared >= longer - 1)).select("a", "b")
 
 
-def _entries(line: Column, role: int, unit: int = CHARS) -> list[Column]:
-    """What a line is entered under: (length, where the rest begins and ends) and all outside the rest, for both halves."""
-    length = UNITS[unit][0](line) - role
+def _entries(n: Column, role: int, unit: int, first, last) -> list[Column]:
+    """What a line of ``n`` places is entered under: its length and all outside one half, for both halves.
+
+    ``first`` and ``last`` give so many places from the line's begin and end.
+    """
+    length = n - role
     middle = F.floor(length / 2).cast("int")
-    outside = lambda lo, hi: _outside(line, length, lo, hi, unit)
-    return [outside(F.lit(0), middle), outside(middle, length)]
+    outside = (last(length - middle), first(middle))
+    return [F.xxhash64(F.lit(2 * unit + half), length, rest) for half, rest in enumerate(outside)]
 
 
-def _outside(line: Column, length: Column, lo: Column, hi: Column, unit: int) -> Column:
+def _outside(line: Column, length: Column, lo: Column, hi: Column, unit: int, seed: int = 0) -> Column:
     size, part = UNITS[unit]
     tail = length - hi
-    return F.xxhash64(*([F.lit(unit)] if unit else []), length, lo, hi, part(line, F.lit(1), lo), part(line, size(line) - tail + 1, tail))
+    return F.xxhash64(F.lit(2 * seed + unit), length, lo, hi, part(line, F.lit(1), lo), part(line, size(line) - tail + 1, tail))
 
 
-def occurrences(docs: DataFrame, key: str, text: str, keys: bool = False, long_words: int = LONG_WORDS, shortest: int = MIN_CHARS) -> DataFrame:
-    """``(key, version, h, at, again)`` for the lines of each document of ``shortest`` characters that are not blank.
+def occurrences(docs: DataFrame, key: str, text: str, shortest: int = MIN_CHARS, lines: bool = False) -> DataFrame:
+    """``(doc, version, h, at, again)`` for the lines of each document of ``shortest`` characters that are not blank.
 
-    ``version`` tells texts under one id apart, ``h`` stands for the line,
-    ``again`` marks its later occurrences in the document. With ``keys`` the
-    segment entries ``k0`` to ``k3`` are there too, null in lines under
-    ``MIN_CHARS``, and ``w0`` to ``w3`` by
-    words, which are null in lines of fewer than ``long_words``.
+    ``version`` tells texts under one id apart, ``h`` stands for the line, ``again`` marks its later occurrences in the
+    document. With ``lines`` the ``line`` is there too.
     """
 
     def entry(line: Column, i: Column) -> Column:
         size = F.length(line)
         near = size >= MIN_CHARS
-        more = [F.when(near, k).alias(f"k{j}") for j, k in enumerate(_entries(line, 0) + _entries(line, 1))] if keys else []
         used = near | ((size >= shortest) & (F.trim(line, F.lit(BLANKS)) != "")) if shortest < MIN_CHARS else near
-        return F.when(used, F.struct(_hash(line).alias("h"), i.alias("at"), *more, *([F.when(near, by_words(line)).alias("w")] if keys else [])))
-
-    def by_words(line: Column) -> Column:
-        entered = lambda w: F.struct(*(k.alias(f"w{j}") for j, k in enumerate(_entries(w, 0, WORDS) + _entries(w, 1, WORDS))))
-        return F.transform(F.array(words(line)), lambda w: F.when(F.size(w) >= long_words, entered(w)))[0]
+        return F.when(used, F.struct(_hash(line).alias("h"), i.alias("at"), *([line.alias("line")] if lines else [])))
 
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(key).alias("doc"), text_version(F.col(text)).alias("version"), F.transform(F.split(body, "\n"), normal).alias("lines"))
     rows = rows.select("doc", "version", F.sort_array(F.array_compact(F.transform("lines", entry))).alias("lines"))
-    again = F.transform("lines", lambda x, i: F.struct(x.alias("line"), F.coalesce(F.get(F.col("lines"), i - 1)["h"] == x["h"], F.lit(False)).alias("again")))
-    rows = rows.select("doc", "version", F.inline(again)).select("doc", "version", "line.*", "again")
-    return rows.select("*", "w.*").drop("w") if keys else rows
+    again = F.transform("lines", lambda x, i: F.struct(x.alias("of"), F.coalesce(F.get(F.col("lines"), i - 1)["h"] == x["h"], F.lit(False)).alias("again")))
+    return rows.select("doc", "version", F.inline(again)).select("doc", "version", "of.*", "again")
 
 
 def _hash(line: Column) -> Column:
@@ -218,11 +212,26 @@ def _hash(line: Column) -> Column:
 
 
 def distinct_lines(docs: DataFrame, key: str, text: str, long_words: int = LONG_WORDS, shortest: int = MIN_CHARS) -> DataFrame:
-    """``(h, first_doc, n, k0..k3, w0..w3)``: each different line, the first document with it and how many have it."""
-    found = occurrences(docs, key, text, keys=True, long_words=long_words, shortest=shortest).where("not again")
-    keys = [f"{unit}{j}" for unit in "kw" for j in range(4)]
-    facts = [F.min("doc").alias("first_doc"), F.count("*").alias("n"), *(F.first(k).alias(k) for k in keys)]
-    return found.groupBy("h.x", "h.y").agg(*facts).select(F.struct("x", "y").alias("h"), "first_doc", "n", *keys)
+    """``(h, first_doc, n, k0..k3, w0..w3)``: each different line, the first document with it and how many have it.
+
+    ``k0`` to ``k3`` are its segment entries, null in lines under ``MIN_CHARS``, and ``w0`` to ``w3`` those by words, null in
+    lines of fewer than ``long_words``.
+    """
+    line, single = F.col("line"), F.col("single")
+    found = occurrences(docs, key, text, shortest, lines=True).where("not again")
+    blanks = F.when(F.contains(line, F.lit("  ")), F.regexp_replace(line, " +", " ")).otherwise(line)
+    found = found.select("doc", "h", "line", F.length("line").alias("chars"), blanks.alias("single"))
+    found = found.select("*", (F.octet_length("single") - F.octet_length(F.replace("single", F.lit(" "), F.lit(""))) + 1).alias("words"))
+    by_chars = lambda n: F.substring(line, F.lit(1), n), lambda n: F.substring(line, F.col("chars") - n + 1, n)
+    by_words = lambda n: F.call_function("substring_index", single, F.lit(" "), n), lambda n: F.call_function("substring_index", single, F.lit(" "), -n)
+    near = F.col("chars") >= MIN_CHARS
+    entries = {}
+    for name, n, unit, parts, used in (("k", "chars", CHARS, by_chars, near), ("w", "words", WORDS, by_words, near & (F.col("words") >= long_words))):
+        every = _entries(F.col(n), 0, unit, *parts) + _entries(F.col(n), 1, unit, *parts)
+        entries |= {f"{name}{j}": F.when(used, entry) for j, entry in enumerate(every)}
+    found = found.select("doc", "h", *(entry.alias(name) for name, entry in entries.items()))
+    facts = [F.min("doc").alias("first_doc"), F.count("*").alias("n"), *(F.first(k).alias(k) for k in entries)]
+    return found.groupBy("h.x", "h.y").agg(*facts).select(F.struct("x", "y").alias("h"), "first_doc", "n", *entries)
 
 
 def _meetings(entries: DataFrame, crowded: int, *carried: str) -> tuple[DataFrame, DataFrame]:
@@ -259,60 +268,92 @@ def near_lines(docs: DataFrame, lines: DataFrame, text: str, crowded: int = CROW
     wanted = saved(pairs.select(F.col("a").alias("h")).union(pairs.select("b")).union(many.select("node")).distinct())
     texts = saved(_texts(docs, wanted, text))
     a, b = (texts.select(F.col("h").alias(f"{s}_h"), F.col("text").alias(f"{s}_text")) for s in "ab")
-    links = None
+    links = []
     for unit, judged in ((CHARS, verified), (WORDS, verified_words)):
         met = pairs.where(F.col("unit") == unit).join(a, F.col("a") == F.col("a_h")).join(b, F.col("b") == F.col("b_h"))
-        links = judged(met) if links is None else links.union(judged(met))
-        crowd = salted_join(many.where(F.col("unit") == unit).withColumnRenamed("node", "h"), texts, "h", F.col("role"))
-        crowd = crowd.withColumn("text", words(F.col("text"))) if unit == WORDS else crowd
-        length = UNITS[unit][0]("text") - F.col("role")
-        middle = F.floor(length / 2).cast("int")
-        lo = F.when(F.col("half") == 0, 0).otherwise(middle)
-        hi = F.when(F.col("half") == 0, middle).otherwise(length)
-        crowd = saved(crowd.select(F.col("h").alias("node"), "role", "text", lo.alias("lo"), hi.alias("hi")))
-        while crowd.take(1):
-            more, crowd = _refined(crowd, crowded, unit)
-            links = links.union(more)
-    return links.distinct()
-
-
-def _refined(crowd: DataFrame, crowded: int, unit: int = CHARS) -> tuple[DataFrame, DataFrame]:
-    """One round: halves the rests of crowded lines; the links found and the lines still crowded."""
-    size, part = UNITS[unit]
-    text = F.col("text")
-    length = size("text") - F.col("role")
-    middle = F.floor((F.col("lo") + F.col("hi")) / 2).cast("int")
-    halves = F.array(F.struct(F.col("lo").alias("lo"), middle.alias("hi")), F.struct(middle.alias("lo"), F.col("hi").alias("hi")))
-    halves = F.filter(halves, lambda x: x["lo"] < x["hi"])
-    entries = crowd.select("node", "role", "text", F.inline(halves))
-    key = _outside(text, length, F.col("lo"), F.col("hi"), unit)
-    few, many = _meetings(entries.withColumn("key", key).distinct(), crowded, "text", "lo", "hi")
-    pairs = _pairs(few, "text")
-    if unit == WORDS:
-        pairs = pairs.withColumn("a_text", F.array_join("a_text", " ")).withColumn("b_text", F.array_join("b_text", " "))
-    links = verified(pairs) if unit == CHARS else verified_words(pairs)
-    rest = part(text, F.col("lo") + 1, F.col("hi") - F.col("lo") + F.col("role"))
-    last = many.where("hi - lo = 1").select("node", "role", "text", "lo", "hi", rest.alias("rest"))
-    tail = length - F.col("hi")
-    whole = F.xxhash64(F.lit(1), length, F.col("lo"), part(text, F.lit(1), F.col("lo")), part(text, size("text") - tail + 1, tail))
-    last = saved(last.withColumn("key", F.struct(whole, _outside(text, length, F.col("lo"), F.col("hi"), unit))))
-    own = last.where("role = 0")
-    least = own.groupBy("key").agg(F.min("node").alias("a"))
-    stars = salted_join(own.select("key", F.col("node").alias("b")), least, "key", F.col("b")).where("a <> b").select("a", "b")
-    char = lambda c: F.struct("key", c)
-    longer = last.where("role = 1").select(F.col("node").alias("b"), F.explode(F.array(*(char(part("rest", F.lit(i), F.lit(1)).alias("c")) for i in (1, 2)))).alias("key"))
+        links.append(judged(met))
+    length = F.when(F.col("unit") == CHARS, F.length("text")).otherwise(F.size(words(F.col("text")))) - F.col("role")
+    crowd = many.join(texts, F.col("node") == F.col("h")).withColumn("_length", length)
+    middle = F.floor(F.col("_length") / 2).cast("int")
+    lo = F.when(F.col("half") == 0, 0).otherwise(middle)
+    hi = F.when(F.col("half") == 0, middle).otherwise(F.col("_length"))
+    links.append(_crowd_links(saved(crowd.select("node", "unit", "role", lo.alias("lo"), hi.alias("hi"))), texts))
+    return reduce(DataFrame.union, links).distinct()
+
+
+#: Into how many parts the rest of a crowded line is cut in each round.
+PARTS = 8
+
+
+def _crowd_links(crowd: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links that hold together what crowded lines ``(node, unit, role, lo, hi)`` are within one edit of, the edit within lo and hi.
+
+    Rounds move hashes and bounds; texts ``(h, text)`` are only joined to make them.
+    """
+    last = []
+    while crowd.take(1):
+        entries = _cut(crowd, texts)
+        own = F.count(F.when(F.col("role") == 0, 1))
+        shared = entries.groupBy("key").agg(F.count("*").alias("n"), own.alias("own")).where("n > 1 and own > 0")
+        shared = saved(shared.select(F.col("key").alias("met"), F.lit(True).alias("there")))
+        likely, _ = maybe_in(entries, shared.withColumnRenamed("met", "key"), "key")
+        met = saved(salted_join(likely, shared.withColumnRenamed("met", "key"), "key", F.col("node")).drop("there"))
+        last.append(met.where("hi - lo = 1").select("node", "role", "key", "sure", "one", "two"))
+        crowd = met.where("hi - lo > 1").select("node", "unit", "role", "lo", "hi")
+    if not last:
+        return texts.where("false").select(F.col("h").alias("a"), F.col("h").alias("b"))
+    ended = saved(reduce(DataFrame.union, last).select("node", "role", F.struct("key", "sure").alias("key"), "one", "two"))
+    # lines of one length that agree in all but one place are within one edit of each other
+    same = ended.where("role = 0").select("key", F.col("node").alias("b"))
+    least = same.groupBy("key").agg(F.min("b").alias("a"))
+    stars = salted_join(same, least, "key", F.col("b")).where("a <> b").select("a", "b")
+    # a line one longer has one thing more there than the others: without either of its two it may be one of them
+    longer = ended.where("role = 1").select(F.col("node").alias("b"), F.explode(F.array("one", "two")).alias("left"), "key")
+    longer = longer.select("b", F.struct("key", "left").alias("key"))
     # lines that differ in blanks only have equal words: one stands for all, which the stars hold together
-    single = own.groupBy(char(F.col("rest").alias("c")).alias("key")).agg(F.min("node").alias("a"))
-    grown = salted_join(longer, single, "key", F.col("b")).select("a", "b")
-    return saved(links.union(stars).union(grown)), many.where("hi - lo > 1").select("node", "role", "text", "lo", "hi")
+    single = ended.where("role = 0").groupBy(F.struct("key", F.col("one").alias("left")).alias("key")).agg(F.min("node").alias("a"))
+    return stars.union(salted_join(longer, single, "key", F.col("b")).select("a", "b"))
+
+
+def _cut(crowd: DataFrame, texts: DataFrame) -> DataFrame:
+    """``(node, unit, role, lo, hi, key, sure, one, two)``: the rests of lines cut into parts, each with what lies outside it.
+
+    Where a part is a single place ``sure`` is a second hash, and ``one`` and ``two`` stand for what is there.
+    """
+    # each line has one text and no more rows than places
+    rows = crowd.join(texts, F.col("node") == F.col("h"))
+    size = F.col("hi") - F.col("lo")
+    step = F.greatest(F.ceil(size / PARTS).cast("int"), F.lit(1))
+    starts = F.when(size > 0, F.sequence(F.col("lo"), F.col("hi") - 1, step)).otherwise(F.array().cast("array<int>"))
+    found = []
+    for unit in (CHARS, WORDS):
+        measure, part = UNITS[unit]
+        line = F.col("line")
+        length = measure(line) - F.col("role")
+
+        def entry(lo: Column) -> Column:
+            hi = F.least(lo + F.col("step"), F.col("hi"))
+            single = hi - lo == 1
+            at = lambda i: F.xxhash64(part(line, lo + i, F.lit(1)))  # noqa: B023, E731
+            return F.struct(
+                lo.alias("lo"), hi.alias("hi"), _outside(line, length, lo, hi, unit).alias("key"),  # noqa: B023
+                F.when(single, _outside(line, length, lo, hi, unit, 1)).alias("sure"),  # noqa: B023
+                F.when(single, at(1)).alias("one"), F.when(single & (F.col("role") == 1), at(2)).alias("two"),
+            )
+
+        some = rows.where(F.col("unit") == unit).withColumn("line", words(F.col("text")) if unit == WORDS else F.col("text"))
+        some = some.select("node", "unit", "role", "hi", "line", step.alias("step"), starts.alias("starts"))
+        found.append(some.select("node", "unit", "role", F.inline(F.transform("starts", entry))))
+    return found[0].union(found[1])
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
     """``(h, text)`` of the wanted lines; a sketch of them keeps other lines from being moved."""
-    lines = docs.select(F.explode(F.array_distinct(F.transform(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), normal))).alias("text"))
+    lines = docs.select(F.explode(F.transform(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), normal)).alias("text"))
     lines = lines.where(F.length("text") >= MIN_CHARS).select(_hash(F.col("text")).alias("h"), "text")
     likely, _ = maybe_in(lines, wanted, "h")
-    return likely.join(wanted, "h", "left_semi").groupBy("h").agg(F.first("text").alias("text"))
+    # partial aggregates make one of many equal lines before they are moved
+    return likely.groupBy("h").agg(F.first("text").alias("text")).join(wanted, "h", "left_semi")
 
 
 def repeated_lines(
@@ -339,11 +380,11 @@ def dropped_lines(
     """``(doc, version, drops)``: the places of the lines that go, for documents that lose any."""
     repeated = saved(repeated_lines(docs, key, text, crowded, long_words, shortest))
     places = occurrences(docs, key, text, shortest=shortest)
-    within_doc = places.where("again").select("doc", "version", "at")
-    likely, _ = maybe_in(places.where("not again").select("doc", "version", "h", "at"), repeated, "h")
-    met = salted_join(likely, repeated, "h", F.struct("doc", "at"))
-    elsewhere = met.where(F.col("gone") | ~F.col("doc").eqNullSafe(F.col("keeper"))).select("doc", "version", "at")
-    return within_doc.union(elsewhere).groupBy("doc", "version").agg(F.collect_set("at").alias("drops"))
+    likely, _ = maybe_in(places, repeated, "h", also=F.col("again"))
+    met = salted_join(likely, repeated, "h", F.struct("doc", "at"), "left")
+    elsewhere = F.col("gone") | ~F.col("doc").eqNullSafe(F.col("keeper"))
+    drops = met.where(F.col("again") | (F.col("gone").isNotNull() & elsewhere)).select("doc", "version", "at")
+    return drops.groupBy("doc", "version").agg(F.collect_set("at").alias("drops"))
 
 
 def dedup(
