@@ -83,6 +83,27 @@ def approx_distinct_counts(rows: DataFrame, rsd: float = 0.02) -> DataFrame:
     return rows.groupBy("job_id").agg(F.approx_count_distinct("review_id", rsd).alias("n"))
 
 
+def review_sketches(rows: DataFrame, window: str = "1 hour", lg_entries: int = 12) -> DataFrame:
+    """``(job_id, window_start, sketch)``: a set sketch of the reviews of each job and window.
+
+    Sketches of windows unite to those of ranges, and those of two sides
+    intersect. Up to ``2**lg_entries`` distinct reviews are counted exactly,
+    more at a relative error of about ``2**(-lg_entries / 2)``.
+    """
+    sketches = rows.groupBy("job_id", F.window("ts", window).alias("_w")).agg(F.theta_sketch_agg("review_id", lg_entries).alias("sketch"))
+    return sketches.select("job_id", F.col("_w.start").alias("window_start"), "sketch")
+
+
+def reviews_on_both_sides(transform: DataFrame, analysis: DataFrame, lg_entries: int = 12) -> DataFrame:
+    """``(job_id, transform_count, analysis_count, both_count)`` from the ``review_sketches`` of the two sides, no id read again."""
+    united = lambda side, name: side.groupBy("job_id").agg(F.theta_union_agg("sketch", lg_entries).alias(name))
+    sides = united(transform, "_t").join(united(analysis, "_a"), "job_id")
+    count = F.theta_sketch_estimate
+    return sides.select(
+        "job_id", count("_t").alias("transform_count"), count("_a").alias("analysis_count"), count(F.theta_intersection("_t", "_a")).alias("both_count")
+    )
+
+
 def array_counts(messages: DataFrame, array: str, value: str = "value") -> DataFrame:
     """Elements of a named array per job, over all messages."""
     parsed = F.from_json(F.col(value), f"job_id string, `{array}` array<variant>")

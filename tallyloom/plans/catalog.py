@@ -695,6 +695,24 @@ def _(spark, sf):
     return mx.step_duration(_log(spark, sf))
 
 
+@query("duration_quantiles")
+def _(spark, sf):
+    """The exact rank of each quantile that the merged hourly sketches give, judged by the sketch's error."""
+    control = _log(spark, sf)
+    found = mx.duration_quantiles(mx.duration_sketches(control))
+    times = control.select(F.col("step").alias("_step"), "processing_time")
+    ranks = found.join(times, F.col("step") == F.col("_step")).groupBy("step", "rank", "observations")
+    below, upto = (F.count_if(test) / F.col("observations") for test in (F.col("processing_time") < F.col("seconds"), F.col("processing_time") <= F.col("seconds")))
+    inside = (below - 0.02 <= F.col("rank")) & (F.col("rank") <= upto + 0.02)
+    return ranks.agg(inside.alias("inside"))
+
+
+@query("reviews_on_both_sides")
+def _(spark, sf):
+    sides = ct.review_sketches(_ids(spark, sf)), ct.review_sketches(_analyses(spark, sf))
+    return ct.reviews_on_both_sides(*sides)
+
+
 @query("active_jobs")
 def _(spark, sf):
     return mx.active_jobs(_log(spark, sf))

