@@ -253,9 +253,35 @@ def test_text_lines_and_messages(spark, tmp_path):
     assert kafka.options["subscribe"] == "topic" and kafka.ts == "timestamp"
 
 
-def test_observed_counts(spark, messages):
+def test_observed_counts(spark, messages, tmp_path):
     t = parse.parse_transform(messages({"job_id": "a", "review_id": "1"}, {"job_id": "a", "review_id": "2"}))
     seen = Observation("seen")
     counted = t.observe(seen, F.count(F.lit(1)).alias("rows"), F.approx_count_distinct("job_id").alias("jobs"))
     assert counted.count() == 2 and seen.get == {"rows": 2, "jobs": 1}
-    assert flows.count_observer(t, "named").count() == 2
+    transform, _, _ = make_jobs(n=20, copies=1)
+    source = write_split(spark, f"{tmp_path}/in", transform, 3, 1)
+    rows = flows.count_observer(readers.read_transform(spark, source, streaming=True), "seen_on_stream")
+    run = rows.writeStream.format("noop").option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start()
+    run.awaitTermination()
+    told = [m.observedMetrics["seen_on_stream"] for m in run.recentProgress if "seen_on_stream" in m.observedMetrics]
+    assert sum(m["rows"] for m in told) == len(transform) and len(told) >= 2
+    assert max(m["jobs"] for m in told) <= len({json.loads(r[1])["job_id"] for r in transform})
+
+
+def test_counts_at_collection_on_a_stream(spark, tmp_path):
+    """A window without rows counts zero, a message on the hour asks for two windows, an open window waits."""
+    text = lambda **fields: json.dumps(fields)
+    review = lambda job, i, s: (None, text(job_id=job, review_id=str(i)), at(s))
+    collected = lambda job, s: (None, text(job_id=job, step="collection", status="done", expected_count=2, actual_count=2), at(s))
+    transform = [review("a", 1, 0), review("a", 1, 5), review("b", 1, 1800), review("a", 2, 1800), review("z", 1, 5 * 3600)]
+    analysis = [(None, text(results=[{"job_id": "a", "review_id": "1", "sentiment": "긍정"}]), at(60))]
+    control = [collected("a", 600), collected("a", 600), collected("b", 1800), collected("c", 900), collected("z", 5 * 3600)]
+    sources = [write_split(spark, f"{tmp_path}/{name}", rows, 1, 1) for name, rows in (("t", transform), ("a", analysis), ("c", control))]
+    counts = flows.counts_at_collection(
+        readers.read_transform(spark, sources[0], streaming=True), readers.read_analysis(spark, sources[1], streaming=True),
+        readers.read_control(spark, sources[2], streaming=True))
+    sinks.run_available(sinks.append(counts, f"{tmp_path}/out", f"{tmp_path}/cp"))
+    rows = spark.read.parquet(f"{tmp_path}/out")
+    assert rows.groupBy("job_id").count().filter("job_id = 'b'").first()["count"] == 2
+    got = {r.job_id: (r.transform_count, r.analysis_count) for r in flows.counts_of_messages(rows).collect()}
+    assert got == {"a": (2, 1), "b": (1, 0), "c": (0, 0)}
