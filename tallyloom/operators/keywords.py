@@ -19,6 +19,8 @@ from tallyloom.functions import scalars as sc
 
 # Over so many tasks the tags of one keyword and count are joined with their rank.
 SALTS = 16
+# Items that a summary of frequent keywords tells apart; its size depends on nothing else.
+TRACKED = 512
 
 
 def explode_keywords(reviews: DataFrame, textual_only: bool = False) -> DataFrame:
@@ -122,11 +124,7 @@ def top_keywords(reviews: DataFrame, k: int = S.TOP_KEYWORDS) -> DataFrame:
     The rank filter lets Spark keep only ``k`` rows per job and task before
     the shuffle.
     """
-    texts = explode_keywords(
-        reviews.filter(~F.col("empty") & (F.col("review_id") != "")).select("job_id", "keywords"),
-        textual_only=True,
-    )
-    totals = texts.groupBy("job_id", "keyword").agg(F.count(F.lit(1)).alias("total"))
+    totals = _texts(reviews).groupBy("job_id", "keyword").agg(F.count(F.lit(1)).alias("total"))
     return _first_k(totals, k)
 
 
@@ -135,3 +133,69 @@ def _first_k(totals: DataFrame, k: int) -> DataFrame:
     return totals.withColumn("keyword_rank", F.row_number().over(order)).filter(
         F.col("keyword_rank") <= k
     )
+
+
+def _texts(reviews: DataFrame, *carry: str) -> DataFrame:
+    kept = reviews.filter(~F.col("empty") & (F.col("review_id") != "")).select("job_id", *carry, "keywords")
+    return explode_keywords(kept, textual_only=True)
+
+
+def keyword_summaries(reviews: DataFrame, *by: Column, tracked: int = TRACKED) -> DataFrame:
+    """A bounded frequent-items summary of the keywords of each job, and of each of ``by``, with the rows it saw.
+
+    The summaries of batches, days or partitions merge (``merged_summaries``).
+    """
+    texts = _texts(reviews, *by)
+    keys = [c for c in texts.columns if c not in ("keyword", "tag")]
+    return texts.groupBy(*keys).agg(
+        F.call_function("approx_top_k_accumulate", F.col("keyword"), F.lit(tracked)).alias("summary"),
+        F.count(F.lit(1)).alias("seen"),
+    )
+
+
+def merged_summaries(summaries: DataFrame, *keys: str, tracked: int = TRACKED) -> DataFrame:
+    merged = F.call_function("approx_top_k_combine", F.col("summary"), F.lit(tracked))
+    return summaries.groupBy(*keys).agg(merged.alias("summary"), F.sum("seen").alias("seen"))
+
+
+def frequent_candidates(summaries: DataFrame, tracked: int = TRACKED) -> DataFrame:
+    """``(job_id, keyword, estimate, seen, missed)``: ``missed`` is the most rows a keyword left out can have.
+
+    A summary keeps its items in a map of the next power of two over 4/3 of
+    ``tracked``; an estimate is off by at most 3.5 of ``seen`` over that size, and
+    an item is left out when it may be no more than that error.
+    """
+    slots = 1 << (-(-tracked * 4 // 3) - 1).bit_length()
+    found = F.call_function("approx_top_k_estimate", F.col("summary"), F.lit(tracked))
+    missed = F.floor(F.col("seen") * F.lit(7.0 / slots))
+    rows = summaries.select("job_id", "seen", missed.alias("missed"), F.inline_outer(found).alias("keyword", "estimate"))
+    return rows.select("job_id", "keyword", "estimate", "seen", "missed")
+
+
+def frequent_keywords(reviews: DataFrame, summaries: DataFrame, k: int = S.TOP_KEYWORDS, tracked: int = TRACKED) -> DataFrame:
+    """``top_keywords`` by way of the summaries of all its reviews, with the same result.
+
+    A second pass counts the candidates alone. That settles a job when its
+    ``k``-th candidate has more rows than any keyword left out can have, or when
+    the candidates have all rows there are; the keywords of other jobs are
+    counted one and all. Rows meet the candidates under a salt, so a keyword of
+    a third of all rows is counted in many tasks.
+    """
+    candidates = frequent_candidates(summaries, tracked)
+    salt = F.pmod(F.xxhash64("review_id", "ts"), F.lit(SALTS)).cast("int")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    texts = _texts(reviews, "review_id", "ts")
+    asked = candidates.filter("keyword IS NOT NULL").withColumn("_salt", salts)
+    met = texts.withColumn("_salt", salt).join(asked, ["job_id", "keyword", "_salt"])
+    parts = met.groupBy("job_id", "keyword", "_salt", "seen", "missed").agg(F.count(F.lit(1)).alias("n"))
+    counted = parts.groupBy("job_id", "keyword", "seen", "missed").agg(F.sum("n").alias("total"))
+    # at most ``tracked`` rows a job
+    settled = (F.get(F.sort_array(F.collect_list("total"), asc=False), k - 1) > F.any_value("missed")) | (
+        F.sum("total") == F.any_value("seen")
+    )
+    jobs = counted.groupBy("job_id").agg(F.coalesce(settled, F.lit(False)).alias("_settled"))
+    known = counted.join(jobs.filter("_settled"), "job_id", "left_semi").select("job_id", "keyword", "total")
+    # a job whose summary names nothing is open as well
+    open_jobs = summaries.select("job_id").join(jobs.filter("_settled"), "job_id", "left_anti")
+    rest = texts.join(open_jobs, "job_id", "left_semi").groupBy("job_id", "keyword").agg(F.count(F.lit(1)).alias("total"))
+    return _first_k(known.unionByName(rest), k)

@@ -29,18 +29,16 @@ def join_reviews(
     with ``pair_missing_ids`` they meet as if they were copies of one review,
     all with all.
 
-    In batch the equi-key also holds a time slice: a review lies in one slice,
-    an analysis in each slice its interval touches, so a pair meets exactly
-    once while the copies of a much repeated review spread over many tasks.
-    A streaming join needs no slices: its watermark bounds what a key can hold.
+    The equi-key also holds a time slice: a review lies in one slice, an
+    analysis in each slice its interval touches, so a pair meets exactly once
+    while the copies of a much repeated review spread over many tasks and, on
+    streams, over many partitions of the state.
 
     Returns the transform columns (``ts`` included), ``analysis_ts`` and the
     analysis texts.
     """
-    streaming = transform.isStreaming or analysis.isStreaming
     if not pair_missing_ids:
         transform, analysis = transform.filter(has_id()), analysis.filter(has_id())
-    t = transform.alias("t")
     right = analysis.select(
         F.col("job_id"),
         F.col("review_id"),
@@ -49,20 +47,18 @@ def join_reviews(
     )
     span = F.expr(f"INTERVAL {int(within_seconds)} SECONDS")
     texts = [c for c in right.columns if c not in ("job_id", "review_id", "analysis_ts")]
-    if not streaming:
-        t = transform.withColumn("_slice", slice_of(F.col(ts), slice_seconds)).alias("t")
-        right = right.withColumn(
-            "_slice", F.explode(slices_within(F.col("analysis_ts"), within_seconds, slice_seconds))
-        )
+    t = transform.withColumn("_slice", slice_of(F.col(ts), slice_seconds)).alias("t")
+    right = right.withColumn(
+        "_slice", F.explode(slices_within(F.col("analysis_ts"), within_seconds, slice_seconds))
+    )
     a = right.alias("a")
     on = (
-        (F.col("t.job_id") == F.col("a.job_id"))
+        (F.col("t._slice") == F.col("a._slice"))
+        & (F.col("t.job_id") == F.col("a.job_id"))
         & (F.col("t.review_id") == F.col("a.review_id"))
         & (F.col("a.analysis_ts") >= F.col(f"t.{ts}") - span)
         & (F.col("a.analysis_ts") <= F.col(f"t.{ts}") + span)
     )
-    if not streaming:
-        on = (F.col("t._slice") == F.col("a._slice")) & on
     return t.join(a, on, "inner").select(
         *[F.col(f"t.{c}") for c in transform.columns],
         F.col("a.analysis_ts"),

@@ -16,13 +16,13 @@ from tallyloom.operators import documents as doc
 from tallyloom.operators import keywords as kw
 from tallyloom.operators import latency as lt
 from tallyloom.operators import metrics as mx
-from tallyloom.operators import parse, ratings, reviews
+from tallyloom.operators import parse, ratings, replay, reviews
 from tallyloom.operators import sentiment as sn
 from tallyloom.plans import fixtures as fx
 from tallyloom.plans.oracle import AS_OF
 from tallyloom.session import work_dir
 from tallyloom.sources import readers, sinks
-from tallyloom.streaming import flows
+from tallyloom.streaming import flows, timers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -404,6 +404,14 @@ def _(spark, sf):
     return kw.top_keywords(_reviews(spark, sf, "keywords", figures=("empty",)))
 
 
+@query("frequent_keywords")
+def _(spark, sf):
+    """The same by way of bounded summaries by day, merged."""
+    rows = _reviews(spark, sf, "keywords", figures=("empty",))
+    summaries = kw.keyword_summaries(rows, F.date_trunc("day", "ts").alias("day"))
+    return kw.frequent_keywords(rows, kw.merged_summaries(summaries, "job_id"))
+
+
 def _combined(spark, sf):
     profile = ratings.transform_profile(_reviews(spark, sf), histogram=False)
     return doc.combined_job_stats(profile, sn.sentiment_profile(_analyses(spark, sf)))
@@ -747,6 +755,33 @@ def _(spark, sf):
     return lt.aggregate_latency(rows, _done(spark, sf), LATENCY_SPAN)
 
 
+def _replayed(spark, sf) -> DataFrame:
+    """Transform messages of which a third came in broken, after two runs of the replay."""
+    right = fx.positioned(fx.transform_messages(spark, sf))
+    came = fx.broken(right)
+    dead, repairs, work = parse.quarantine(came), fx.repairs(right), work_dir(spark, "replay")
+    rows = parse.valid_records(came)
+    # the first run finds half of the repairs, the second all
+    for run, found in enumerate((repairs.filter("crc32(position) % 2 = 0"), repairs)):
+        rows = rows.unionByName(replay.replay(spark, dead, found, fx.POSITION, work, run))
+    return rows.drop("position")
+
+
+@query("replayed_ledger")
+def _(spark, sf):
+    return ct.ledger(
+        ct.expected_counts(_collections(spark, sf)),
+        ct.distinct_counts(parse.parse_transform(_replayed(spark, sf), figures=())),
+        ct.distinct_counts(_analyses(spark, sf)),
+    )
+
+
+@query("replayed_document")
+def _(spark, sf):
+    cells = cl.job_cells(parse.parse_transform(_replayed(spark, sf), ("keywords",)), _analyses(spark, sf))
+    return _read_document(doc.job_document(cells, sc.kst_iso(as_of())))
+
+
 @query("match_rate")
 def _(spark, sf):
     return mx.match_rate(_log(spark, sf))
@@ -885,6 +920,32 @@ def _(spark, sf):
     return _emitted(spark, sf, as_of()).filter("status = 'failed'").drop("message")
 
 
+@query("stream_step_timeouts")
+def _(spark, sf):
+    """The ledger's updates wind the timers of their jobs; the clock ends at the time of ``as_of``."""
+    work = work_dir(spark, "timers")
+    clock, updates = readers.Source(path=f"{work}/clock"), readers.Source(path=f"{work}/updates")
+    ends = fx.transform_messages(spark, sf).agg(F.min("ts").alias("a"), F.max("ts").alias("z")).first()
+    portion = iter(range(1, PORTIONS + 1))
+
+    def writer(sources):
+        n = next(portion)
+        early = n < PORTIONS and ends["a"]
+        now = F.lit(ends["a"] + n * (ends["z"] - ends["a"]) / PORTIONS) if early else as_of()
+        control = readers.read_control(spark, sources["control"], streaming=True)
+        rows = flows.ledger(_fed_reviews(spark, sources), _fed_analyses(spark, sources), control)
+        sinks.run_available(timers.write_updates(rows, updates.path, f"{work}/checkpoints/updates", now))
+        spark.range(1).select(now.alias("at")).write.mode("append").parquet(clock.path)
+        told = timers.step_timeouts(
+            spark.readStream.schema(timers.UPDATE_LAYOUT).parquet(f"{updates.path}/*"),
+            spark.readStream.schema("at timestamp").parquet(clock.path),
+        )
+        return sinks.append(told, f"{work}/rows", f"{work}/checkpoints/rows")
+
+    _fed(spark, sf, work, writer)
+    return spark.read.parquet(f"{work}/rows")
+
+
 @query("stream_job_document")
 def _(spark, sf):
     work = work_dir(spark, "documents")

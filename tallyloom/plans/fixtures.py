@@ -157,6 +157,36 @@ def collection_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.select(F.expr("concat('\"job-', user_id, '\"')").alias("key"), value.alias("value"), "ts")
 
 
+POSITION = ["position"]
+
+
+def positioned(messages: DataFrame) -> DataFrame:
+    """Transform messages with the position they were read from."""
+    place = F.concat_ws("/", F.get_json_object("value", "$.review_id"), "redelivery")
+    return messages.withColumn("position", place)
+
+
+def broken(messages: DataFrame) -> DataFrame:
+    """About a third of the messages lose their last brace."""
+    cut = F.expr("CASE WHEN crc32(position) % 3 = 0 THEN substring(value, 1, length(value) - 1) ELSE value END")
+    return messages.withColumn("value", cut)
+
+
+def repairs(messages: DataFrame) -> DataFrame:
+    """``(position, value, repaired_at)``: an unreadable attempt and a wrong one, then the right value of each broken
+    message; a wrong value for messages that need none and for a position that never was."""
+    hour = lambda n: F.col("ts") + F.lit(n) * F.expr("INTERVAL 1 HOUR")
+    wrong = F.lit('{"job_id":"job-0","review_id":"wrong"}')
+    tries = F.array(
+        F.struct(wrong.alias("value"), hour(1).alias("repaired_at")),
+        F.struct(F.when(F.expr("crc32(position) % 3 = 0"), F.col("value")).otherwise(wrong).alias("value"), hour(2).alias("repaired_at")),
+        F.struct(F.lit("[").alias("value"), hour(3).alias("repaired_at")),
+    )
+    listed = messages.select("position", F.inline(tries))
+    nowhere = messages.sparkSession.range(1).select(F.lit("nowhere").alias("position"), wrong.alias("value"), F.current_timestamp().alias("repaired_at"))
+    return listed.unionByName(nowhere)
+
+
 def deletion_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(key, value, ts)``: messages without a value for some reviews of ``transform_messages``, by their composite key.
 

@@ -661,3 +661,7 @@ SELECT job_id, CAST(SUM(t) AS BIGINT) AS reviews, CAST(SUM(a) AS BIGINT) AS anal
   SELECT job_id, rating, 1 AS t, 0 AS a FROM tr UNION ALL SELECT job_id, 0.0e0, 0, 1 FROM an) GROUP BY job_id""", REVIEWS, ANALYSES)
 SQL["stream_job_timeouts"] = SQL["job_timeouts"]
 SQL["stream_job_document"] = SQL["job_document"]
+SQL["stream_step_timeouts"] = SQL["step_timeouts"]
+SQL["frequent_keywords"] = SQL["top_keywords"]
+SQL["replayed_ledger"] = SQL["ledger"]
+SQL["replayed_document"] = SQL["job_document"]
