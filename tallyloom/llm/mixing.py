@@ -30,6 +30,8 @@ from tallyloom.llm.common import saved
 #: The weights of sources in the order of their names, and the size of the mix.
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2
 GROUP = 5_000
+#: Equal rows are numbered in blocks of this size.
+BLOCK = 10_000
 _EPS = 1e-9
 
 
@@ -39,6 +41,20 @@ def sizes(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str
     return docs.select(F.col(key), F.col(source).alias("source"), words.cast("long").alias("size"))
 
 
+def numbered(sized: DataFrame, key: str) -> DataFrame:
+    """The same rows with a column ``place`` that counts equal ones from 0.
+
+    Equal rows are counted, not sorted, and the count is dealt out in blocks, so
+    a third of all rows under one id is the work of many tasks.
+    """
+    counted = sized.groupBy(key, "source", "size").agg(F.count(F.lit(1)).alias("equal"))
+    blocks = counted.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("equal") - 1) / BLOCK))))
+    blocks = blocks.repartition(int(sized.sparkSession.conf.get("spark.sql.shuffle.partitions")), key, "source", "size", "block")
+    first = F.col("block") * BLOCK
+    place = F.explode(F.sequence(first, F.least(first + BLOCK, F.col("equal")) - 1))
+    return blocks.select(key, "source", "size", place.alias("place"))
+
+
 def targets(sized: DataFrame, weights: Iterable[float] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
     """``(source, source_size, target)``: one row for each source.
 
@@ -93,7 +109,7 @@ def fly(size: list[int], chance: list[float], seed: str) -> list[float]:
 
 def _flight(seed: int):
     def flown(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["tie", "id_text", "size"], kind="stable")
+        frame = frame.sort_values(["tie", "id_text", "size", "place"], kind="stable")
         first = frame.iloc[0]
         frame["chance"] = fly(frame["size"].tolist(), frame["chance"].tolist(), f"{seed}/{first['source']}/{first['tie']}")
         return frame
@@ -117,10 +133,11 @@ def mix(
     ``copies`` are taken whole and ``part`` words of one more, ``taken`` words
     in all. Null and empty texts have no words and are never taken; a null
     source is a source of its own, the last; repeated rows are documents each;
-    equal rows are interchangeable, so reruns give the same result. Other
+    equal rows are numbered and spread over the groups, in any order as they are
+    interchangeable, so reruns give the same result. Other
     columns are not read; an empty table gives an empty result.
     """
-    rows = saved(sizes(docs, key, text, source))
+    rows = saved(numbered(sizes(docs, key, text, source), key))
     goals = saved(targets(rows, weights, share, most))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     facts = F.broadcast(goals) if goals.count() <= 10_000 else goals  # one short row a source
@@ -128,7 +145,7 @@ def mix(
     rows = rows.drop("of").withColumn("rate", rate).withColumn("copies", F.floor("rate"))
     rows = rows.withColumn("chance", F.when(F.col("size") > 0, F.col("rate") - F.col("copies")).otherwise(0.0))
     id_text = F.coalesce(F.col(key).cast("string"), F.lit(""))
-    rows = rows.withColumn("id_text", id_text).withColumn("tie", F.xxhash64(F.lit(seed), id_text))
+    rows = rows.withColumn("id_text", id_text).withColumn("tie", F.xxhash64(F.lit(seed), id_text, "size", "place"))
     open_ = (F.col("chance") > _EPS) & (F.col("chance") < 1 - _EPS)
     rows, done = saved(rows), []
     level = 0

@@ -22,8 +22,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: The largest number of labelled documents, and of lines of each, that the field is trained on.
-SAMPLE, SAMPLE_LINES = 3_000, 300
+#: The largest number of labelled documents, and of lines of each, that the field is trained on;
+#: of longer texts it sees runs of ``RUN`` lines, spread evenly from the first line to the last.
+SAMPLE, SAMPLE_LINES, RUN = 3_000, 300, 25
+_PARTS = 10**15
 THRESHOLD = 0.3
 CUTS = np.array([0.01, 0.03, 0.1, 0.25, 0.5, 0.75, 0.85, 0.9, 0.95, 0.98, 0.99])
 BINS = len(CUTS) + 1
@@ -63,6 +65,15 @@ def lines_of(text: str | None) -> list[str]:
     return [line for line in (text or "").split("\n") if line and not line.isspace()]
 
 
+def spread(lines: list[str], most: int = SAMPLE_LINES, run: int = RUN) -> list[str]:
+    """At most ``most`` lines in runs of neighbours that are spread over all of them."""
+    if len(lines) <= most:
+        return lines
+    runs = max(2, most // run)
+    starts = [(len(lines) - run) * i // (runs - 1) for i in range(runs)]
+    return [line for start in starts for line in lines[start : start + run]]
+
+
 @dataclass
 class Field:
     """Bin edges, potentials of bins (place, figure, bin), of neighbouring labels, and the curve."""
@@ -235,15 +246,20 @@ def held_out(key: Column) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, mark: str, most: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """About ``most`` labelled rows ``(key, text, mark)`` not held out, chosen by a hash of their id."""
+    """About ``most`` labelled rows ``(key, text, mark)`` not held out, chosen by a hash of their id.
+
+    One row an id: of an id's texts the one of smallest hash, so that repeated ids bring no more.
+    """
     marks = labels.where(F.col(mark).isNotNull() & F.col(key).isNotNull() & ~held_out(F.col(key)))
     marks = marks.groupBy(F.col(key).alias("_key")).agg(F.max(mark).cast("int").alias("_mark"))
     n = marks.count()
-    part = min(1_000_000, 1_000_000 * most // max(n, 1))
-    chosen = lambda c: F.pmod(F.xxhash64(c), F.lit(1_000_000)) < part
+    part = min(_PARTS, _PARTS * most // max(n, 1))
+    chosen = lambda c: F.pmod(F.xxhash64(c), F.lit(_PARTS)) < part
     docs = docs.select(F.col(key).alias("_id"), F.col(text).alias("_text")).where(chosen(F.col("_id")))
     marks = marks.where(chosen(F.col("_key")))
-    return docs.join(marks, F.col("_id") == F.col("_key")).select(F.col("_id").alias("key"), F.col("_text").alias("text"), F.col("_mark").alias("mark"))
+    marked = docs.join(marks, F.col("_id") == F.col("_key"))
+    one = F.min_by("_text", F.struct(F.xxhash64("_text"), "_text")).alias("text")
+    return marked.groupBy(F.col("_id").alias("key"), F.col("_mark").alias("mark")).agg(one).select("key", "text", "mark")
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, key: str = "doc_id", text: str = "text") -> Field:
@@ -251,7 +267,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, key: str = "doc_
 
     @F.pandas_udf("array<double>")
     def figures(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda x: [v for line in lines_of(x)[:SAMPLE_LINES] for v in line_figures(line)])
+        return texts.map(lambda x: [v for line in spread(lines_of(x)) for v in line_figures(line)])
 
     sample = labelled_sample(docs, labels, "quality", most, key, text)
     rows = sorted(sample.select("key", "mark", figures("text").alias("f")).collect())  # bounded by ``most``

@@ -55,6 +55,36 @@ def test_held_out_rows_are_predicted(spark, tables, module, column, wrong):
     assert {(d, round(s, 9)) for d, s in again} == {(r["doc_id"], round(r["score"], 9)) for r in got}
 
 
+def test_lines_of_long_texts_are_spread():
+    lines = [str(i) for i in range(10_007)]
+    got = list(map(int, quality.spread(lines)))
+    assert len(got) == quality.SAMPLE_LINES and got == sorted(set(got)) and got[0] == 0 and got[-1] == 10_006
+    assert sum(i >= 300 for i in got) > 0.9 * len(got)
+    assert quality.spread(lines[:300]) == lines[:300] and len(quality.spread(lines[:301])) == 300
+
+
+def test_texts_that_turn_bad_late_teach_so(spark):
+    rng = random.Random(3)
+    good = lambda: prose(rng, 12).capitalize() + "."
+    rows, labels = [], []
+    for i in range(120):
+        lines = [good() for _ in range(320)]
+        if i % 2:
+            lines += ["%%% ".join(prose(rng, 12).split()) for _ in range(400)]
+        rows.append((i, "\n".join(lines)))
+        labels.append((i, 1 - i % 2, 0))
+    table = docs(spark, rows)
+    got = quality.classify(table, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    assert all(r["predicted"] == 1 - r["doc_id"] % 2 for r in got)
+
+
+def test_a_repeated_id_is_one_row_of_the_sample(spark):
+    rows = [(1, f"text {i}") for i in range(500)] + [(2, None), (2, None), (3, "c")]
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (3, 1, 0), (4, 1, 0)], "doc_id long, quality int, toxic int")
+    sample = lambda parts: sorted(map(tuple, quality.labelled_sample(docs(spark, rows).repartition(parts), labels, "quality", 100).collect()))
+    assert sample(1) == sample(4) and [r[0] for r in sample(2)] == [i for i in (1, 2, 3) if not is_held_out(i)]
+
+
 @pytest.mark.parametrize("module", [quality, toxicity])
 def test_without_rows_or_labels(spark, tables, module):
     table, labels = tables

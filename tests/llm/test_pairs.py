@@ -145,6 +145,37 @@ def test_mixing(spark, group):
     assert mixing.mix(docs(spark, []), group=group).count() == 0
 
 
+def test_rows_of_one_id_fly_in_many_groups(spark, monkeypatch):
+    """A third of the rows has no id; no group is larger than a few times its bound, and copies of an id are spread."""
+    monkeypatch.setattr(mixing, "BLOCK", 7)
+    seen = spark.sparkContext.accumulator(0)
+    most, flight = 100, mixing._flight
+
+    def counting(seed):
+        flown = flight(seed)
+
+        def watched(frame):
+            if len(frame) > 4 * most:
+                seen.add(1)
+            return flown(frame)
+
+        return watched
+
+    monkeypatch.setattr(mixing, "_flight", counting)
+    rng = random.Random(8)
+    rows = [(None, "one two three", "a")] * 1_500 + [(i, prose(rng, 1 + i % 40), "a") for i in range(3_000)] + [(9, "x y", "b")] * 50
+    frame = docs(spark, rows)
+    got = mixing.mix(frame, group=most).collect()
+    assert len(got) == len(rows) and seen.value == 0
+    again = mixing.mix(frame.repartition(6), group=most).collect()
+    flat = lambda result: sorted(str((r["doc_id"], r["source"], r["size"], r["taken"])) for r in result)
+    assert flat(got) == flat(again)
+    for source in "ab":
+        mine = [r for r in got if r["source"] == source]
+        assert abs(sum(r["taken"] for r in mine) - mine[0]["target"]) <= 2
+        assert all(r["taken"] <= 2 * r["size"] for r in mine)
+
+
 def test_flight_keeps_words_and_documents():
     rng = random.Random(11)
     size = [rng.randint(1, 500) for _ in range(999)]
