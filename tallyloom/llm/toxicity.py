@@ -114,74 +114,116 @@ class Chain:
             got = self.memory[word] = tuple(n for x in word_features(word) if (n := self.numbers.get(x)) is not None)
         return got
 
-    def rows(self, texts: list[str | None]) -> Rows:
-        owner, feature, dense = [], [], []
-        for i, text in enumerate(texts):
-            words = split_words(text)
-            hits = [f for f in map(self.features_of, words) if f]
-            present = {n for f in hits for n in f}
-            owner += [i] * len(present)
-            feature += sorted(present)
-            marked = sum(any(self.markers[n] for n in f) for f in hits)
-            dense.append((np.log1p(marked), np.log1p(100 * marked / max(1, len(words)))))
-        return Rows(np.array(owner, np.int64), np.array(feature, np.int64), np.array(dense, float).reshape(-1, 2))
+    def counted(self, text: str | None) -> tuple[list[int], int, int]:
+        """The features a text has, and how many of its words are markers, of how many."""
+        words = split_words(text)
+        hits = [f for f in map(self.features_of, words) if f]
+        return sorted({n for f in hits for n in f}), sum(any(self.markers[n] for n in f) for f in hits), len(words)
 
     def predict(self, texts: list[str | None]) -> np.ndarray:
-        rows, out = self.rows(texts), []
+        rows, out = as_rows([self.counted(x) for x in texts]), []
         for link in self.links:
             out.append(link.predict(rows))
             rows = rows.with_column(out[-1])
         return np.column_stack(out)
 
 
-def train(rows: Rows, targets: list[np.ndarray], n_features: int) -> list[Link]:
-    """One link for each category, later ones fed with out-of-fold probabilities of earlier ones."""
-    fold = np.arange(len(rows.dense)) % FOLDS
+def as_rows(counted: list[tuple[list[int], int, int]]) -> Rows:
+    """Documents from what ``Chain.counted`` says of them."""
+    owner = np.repeat(np.arange(len(counted)), np.array([len(c[0]) for c in counted], np.int64))
+    marked, words = (np.array([c[i] for c in counted], float) for i in (1, 2))
+    dense = np.column_stack([np.log1p(marked), np.log1p(100 * marked / np.maximum(1, words))])
+    return Rows(owner, np.array([n for c in counted for n in c[0]], np.int64), dense)
+
+
+@dataclass
+class View:
+    """The sample as it looks with one choice of features and markers."""
+
+    chain: Chain
+    rows: Rows
+    targets: list[np.ndarray]
+
+    def fitted(self, category: int, keep: np.ndarray | slice = slice(None)) -> Link:
+        rows = self.rows if isinstance(keep, slice) else self.rows.pick(keep)
+        return fit_link(rows, self.targets[category][keep], len(self.chain.numbers))
+
+
+def train(whole: View, blind: list[View], fold: np.ndarray) -> list[Link]:
+    """One link for each category, later ones fed with out-of-fold probabilities of earlier ones.
+
+    ``blind`` has a view for each fold whose features, markers and targets were
+    chosen without that fold's marks.
+    """
     links = []
-    for y in targets:
-        links.append(fit_link(rows, y, n_features))
-        unseen = np.zeros(len(y))
-        for k in range(FOLDS):
+    for category in range(len(CATEGORIES)):
+        links.append(whole.fitted(category))
+        unseen = np.zeros(len(fold))
+        for k, view in enumerate(blind):
             out = fold == k
             if out.any():
-                unseen[out] = fit_link(rows.pick(~out), y[~out], n_features).predict(rows.pick(out))
-        rows = rows.with_column(unseen)
+                unseen[out] = view.fitted(category, ~out).predict(view.rows.pick(out))
+        for view in (whole, *blind):
+            view.rows = view.rows.with_column(unseen)
     return links
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, key: str = "doc_id", text: str = "text") -> Chain:
-    """Trains on a bounded sample of the labelled rows that are not held out."""
+def _chosen(counts: DataFrame, totals: dict, out: int | None) -> Chain:
+    """The clearest features and the markers among them, from all rows but those of fold ``out``."""
+    less = lambda c: F.col(c) - (F.col(f"{c}{out}") if out is not None else 0)
+    t, n = (totals[c] - (totals[f"{c}{out}"] if out is not None else 0) for c in "tn")
+    rate = t / max(1, n)
+    kept = counts.select("name", less("t").alias("t"), less("n").alias("n"))
+    lift = (F.col("t") - rate * F.col("n")) / F.sqrt(F.col("n") + 1.0)
+    clear = F.abs(lift) >= _CLEAR * (rate * (1 - rate)) ** 0.5
+    best = kept.where((F.col("n") >= _SEEN) & clear).orderBy(F.abs(lift).desc(), "name").limit(FEATURES).collect()  # bounded
+    markers = np.array([r["t"] >= _PURE * r["n"] and r["t"] > 0 for r in best], bool)
+    return Chain([], {r["name"]: i for i, r in enumerate(best)}, markers)
+
+
+def views(sample: DataFrame) -> tuple[View, list[View], np.ndarray]:
+    """The view of all rows of ``sample``, those of the folds, and each row's fold.
+
+    Texts are read by the tasks; the driver gets feature numbers and counts.
+    """
 
     @F.pandas_udf("array<string>")
     def features(texts: pd.Series) -> pd.Series:
         return texts.map(lambda x: sorted({f for w in set(split_words(x)) for f in word_features(w)}))
 
-    sample = saved(labelled_sample(docs, labels, "toxic", most, key, text))
-    counts = sample.select("mark", F.explode(features(F.coalesce("text", F.lit("")))).alias("name"))
-    counts = counts.groupBy("name").agg(F.sum("mark").alias("t"), F.count("*").alias("n"))
-    total = sample.agg(F.sum("mark").alias("t"), F.count("*").alias("n")).first()
-    rate = (total["t"] or 0) / max(1, total["n"])
-    lift = (F.col("t") - rate * F.col("n")) / F.sqrt(F.col("n") + 1.0)
-    clear = F.abs(lift) >= _CLEAR * (rate * (1 - rate)) ** 0.5
-    best = counts.where((F.col("n") >= _SEEN) & clear).orderBy(F.abs(lift).desc(), "name").limit(FEATURES).collect()  # bounded
-    numbers = {r["name"]: i for i, r in enumerate(best)}
-    markers = np.array([r["t"] >= _PURE * r["n"] and r["t"] > 0 for r in best], bool)
-    chain = Chain([], numbers, markers)
-    rows, marks = [], []
-    for r in sample.orderBy("key").toLocalIterator():  # bounded by ``most``
-        rows.append(chain.rows([r["text"]]))
-        marks.append((r["mark"], len(split_words(r["text"]))))
-    if rows:
-        owner = np.concatenate([np.full(len(x.owner), i) for i, x in enumerate(rows)])
-        data = Rows(owner.astype(np.int64), np.concatenate([x.feature for x in rows]), np.concatenate([x.dense for x in rows]))
-    else:
-        data = Rows(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, 2)))
-    toxic = np.array([m for m, _ in marks], float)
-    words = np.array([n for _, n in marks], float)
-    marked = np.expm1(data.dense[:, 0])
-    targets = [toxic * (marked >= FREQUENT - 1e-6), toxic * (marked >= DENSE * np.maximum(words, 1) - 1e-6), toxic]
-    chain.links = train(data, targets, len(numbers))
-    return chain
+    sample = saved(sample.select("key", "mark", F.pmod(F.xxhash64("key"), F.lit(FOLDS)).alias("fold"), F.coalesce("text", F.lit("")).alias("text")))
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    sums = [zero(F.sum("mark")).alias("t"), F.count("*").alias("n")]
+    for k in range(FOLDS):
+        sums += [zero(F.sum(F.when(F.col("fold") == k, F.col("mark")))).alias(f"t{k}"), F.count_if(F.col("fold") == k).alias(f"n{k}")]
+    totals = sample.agg(*sums).first().asDict()
+    counts = saved(sample.select("mark", "fold", F.explode(features("text")).alias("name")).groupBy("name").agg(*sums))
+    chains = [_chosen(counts, totals, out) for out in (None, *range(FOLDS))]
+
+    def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for i, chain in enumerate(chains):
+                found = pd.DataFrame(map(chain.counted, frame["text"]), columns=["features", "marked", "words"])
+                yield frame[["key", "mark", "fold"]].reset_index(drop=True).assign(choice=i).join(found)
+
+    types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in sample.schema if f.name != "text")
+    kind = f"{types}, choice int, features array<int>, marked int, words int"
+    found = sorted(sample.mapInPandas(counted, kind).collect(), key=lambda r: (r["choice"], r["key"]))  # bounded like the sample
+    size = len(found) // len(chains)
+    got = []
+    for i, chain in enumerate(chains):
+        mine = found[i * size : (i + 1) * size]
+        toxic, marked, words = (np.array([r[c] for r in mine], float) for c in ("mark", "marked", "words"))
+        targets = [toxic * (marked >= FREQUENT), toxic * (marked >= DENSE * np.maximum(words, 1)), toxic]
+        got.append(View(chain, as_rows([(r["features"], r["marked"], r["words"]) for r in mine]), targets))
+    return got[0], got[1:], np.array([r["fold"] for r in found[:size]], np.int64)
+
+
+def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, key: str = "doc_id", text: str = "text") -> Chain:
+    """Trains on a bounded sample of the labelled rows that are not held out."""
+    whole, blind, fold = views(labelled_sample(docs, labels, "toxic", most, key, text))
+    whole.chain.links = train(whole, blind, fold)
+    return whole.chain
 
 
 def scores(chain: Chain, text: Column) -> Column:

@@ -85,6 +85,21 @@ def test_a_repeated_id_is_one_row_of_the_sample(spark):
     assert sample(1) == sample(4) and [r[0] for r in sample(2)] == [i for i in (1, 2, 3) if not is_held_out(i)]
 
 
+def test_a_fold_chooses_without_its_own_marks(spark, tables):
+    sample = quality.labelled_sample(*tables, "toxic", 1000)
+    flip = toxicity.F.pmod(toxicity.F.xxhash64("key"), toxicity.F.lit(toxicity.FOLDS)) == 0
+    other = sample.withColumn("mark", toxicity.F.when(flip, 1 - toxicity.F.col("mark")).otherwise(toxicity.F.col("mark")))
+    (whole, blind, fold), (whole2, blind2, fold2) = toxicity.views(sample), toxicity.views(other)
+    assert np.array_equal(fold, fold2) and set(fold) == set(range(toxicity.FOLDS))
+    assert whole.chain.numbers != whole2.chain.numbers
+    same, out = (blind[0], blind2[0]), fold != 0
+    assert same[0].chain.numbers == same[1].chain.numbers and len(same[0].chain.numbers) > 0
+    assert np.array_equal(same[0].chain.markers, same[1].chain.markers)
+    assert all(np.array_equal(a[out], b[out]) for a, b in zip(same[0].targets, same[1].targets))
+    links = [v.fitted(2, out).sparse for v in same]
+    assert np.array_equal(*links)
+
+
 @pytest.mark.parametrize("module", [quality, toxicity])
 def test_without_rows_or_labels(spark, tables, module):
     table, labels = tables
