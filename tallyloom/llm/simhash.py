@@ -134,7 +134,7 @@ def _rooted(docs: DataFrame, key: str, text: str) -> DataFrame:
     unique = saved(rows.select("fp").distinct())
     found = saved(components(links(unique)))
     named = unique.join(found, unique["fp"] == found["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"))
-    return salted_join(rows, named, "fp", F.col("version")).select("id", "version", "root")
+    return salted_join(rows, named, "fp", F.monotonically_increasing_id()).select("id", "version", "root")
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", whole: bool = False) -> DataFrame:
