@@ -6,9 +6,10 @@ compared pair by pair: every vector of one is searched in the graph of the
 other, in both directions, collecting all vectors whose cosine reaches the
 threshold. A search keeps a beam of the best vectors seen; it goes on while the
 beam improves or the next vector is within a margin of the threshold, so large
-groups are walked whole. For each pair of shards a fixed query set is also
-compared with all rows of the other shard, in one block; while the recall of
-the graph search is below the goal, the beam is doubled and the search repeated.
+groups are walked whole. For each pair of shards an audit draws vectors until
+they have enough links, compares them with all rows of the other shard, and
+doubles the beam while the graph search finds less of these links than the goal
+asks. Where the widest beam still finds less, the two shards are compared whole.
 
 Cosines are taken in double precision before a link counts. A task returns a
 number of links for each vector and a spanning forest of the links it found, so
@@ -32,7 +33,9 @@ from tallyloom.llm.common import components, salted_join, saved
 COSINE = 0.98
 SHARD = 4_096
 NEIGHBOURS, BUILD_BEAM, BEAM = 12, 48, 24
-AUDIT, GOAL = 64, 0.99
+GOAL = 0.99
+#: An audit draws blocks of so many vectors until they have so many links to others, or a share of the shard is drawn.
+AUDIT, ENOUGH, AUDIT_SHARE = 64, 64, 0.25
 #: How far below the threshold a search still walks on.
 MARGIN = 0.03
 
@@ -140,19 +143,35 @@ def _level(i: int) -> int:
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
+    """The vectors at length one; scaled by their largest component first, so that no square is lost."""
+    vectors = vectors / np.abs(vectors).max(axis=1, keepdims=True)
     return vectors / np.sqrt(np.einsum("ij,ij->i", vectors, vectors))[:, None]
 
 
+def audited(a: np.ndarray, b: np.ndarray, least: float, same: bool) -> list[tuple[int, np.ndarray]]:
+    """Rows of ``a`` with their true links to rows of ``b``, themselves left out."""
+    drawn = np.random.default_rng(len(a)).permutation(len(a))
+    seen, enough = [], 0
+    for start in range(0, max(AUDIT, math.ceil(AUDIT_SHARE * len(a))), AUDIT):
+        block = drawn[start : start + AUDIT]
+        for i, row in zip(block.tolist(), a[block] @ b.T >= least):
+            links = np.flatnonzero(row)
+            links = links[links != i] if same else links
+            if len(links):
+                seen.append((i, links))
+                enough += len(links)
+        if enough >= ENOUGH:
+            break
+    return seen
+
+
 def searched(a: np.ndarray, b: np.ndarray, graph: Graph, least: float, same: bool) -> np.ndarray:
     """Packed bits of the links of each row of ``a`` to the rows of ``b`` that the graph finds, beams widened as audits ask."""
-    queries = np.unique(np.linspace(0, len(a) - 1, min(AUDIT, len(a))).astype(int))
-    true = a[queries] @ b.T >= least
-    beam = BEAM
-    while True:
-        found = [_verified(a[i], b, graph, beam, least) for i in queries]
-        caught = sum(int(true[k][f].sum()) for k, f in enumerate(found))
-        if caught >= GOAL * true.sum() or beam >= len(b):
-            break
+    audit = audited(a, b, least, same)
+    goal, beam = GOAL * sum(len(links) for _, links in audit), BEAM
+    while sum(len(np.intersect1d(links, _verified(a[i], b, graph, beam, least))) for i, links in audit) < goal:
+        if beam >= len(b):
+            return _exact(a, b, least, same)
         beam *= 2
     bits = np.zeros((len(a), (len(b) + 7) // 8), np.uint8)
     for i in range(len(a)):
@@ -163,6 +182,17 @@ def searched(a: np.ndarray, b: np.ndarray, graph: Graph, least: float, same: boo
     return bits
 
 
+def _exact(a: np.ndarray, b: np.ndarray, least: float, same: bool) -> np.ndarray:
+    """The same from all rows, in blocks."""
+    out = []
+    for start in range(0, len(a), AUDIT):
+        near = a[start : start + AUDIT] @ b.T >= least
+        if same:
+            near[np.arange(len(near)), start + np.arange(len(near))] = False
+        out.append(np.packbits(near, axis=1))
+    return np.concatenate(out)
+
+
 def _verified(q: np.ndarray, b: np.ndarray, graph: Graph, beam: int, least: float) -> np.ndarray:
     near = np.array(graph.near(q, beam, least), np.int64)
     return near[b[near] @ q >= least] if len(near) else near

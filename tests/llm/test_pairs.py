@@ -191,3 +191,25 @@ def test_mixed_texts(spark):
     plan = spark.createDataFrame([(1, 1, 2), (2, 2, 0)], "doc_id long, copies long, part long")
     got = sorted(r["text"] for r in mixing.mixed_texts(frame, plan).collect())
     assert got == [" one  two ", " one  two three", "four", "four"]
+
+
+def test_lengths_that_square_to_nothing_or_to_infinity():
+    rows = embeddings.unit(np.array([[1e-200, 2e-200], [3e200, 1e200], [1.0, 2.0], [-5e-324, 0.0]]))
+    assert np.allclose(rows @ rows.T, [[1, 0.7071068, 1, -0.4472136], [0.7071068, 1, 0.7071068, -0.9486833], [1, 0.7071068, 1, -0.4472136], [-0.4472136, -0.9486833, -0.4472136, 1]])
+
+
+def test_audits_of_sparse_links_and_graphs_that_miss():
+    rng = np.random.default_rng(5)
+    rows = embeddings.unit(rng.normal(size=(1200, 16)))
+    rows[1100:] = embeddings.unit(rows[:100] + 0.01 * rng.normal(size=(100, 16)))
+    truth = rows @ rows.T >= embeddings.COSINE
+    np.fill_diagonal(truth, False)
+    audit = embeddings.audited(rows, rows, embeddings.COSINE, True)
+    assert len(audit) > 20 and all(np.array_equal(links, np.flatnonzero(truth[i])) for i, links in audit)
+    graph = embeddings.Graph(rows.astype(np.float32), np.arange(len(rows)))
+    found = np.unpackbits(embeddings.searched(rows, rows, graph, embeddings.COSINE, True), axis=1, count=len(rows)).astype(bool)
+    assert not (found & ~truth).any() and (found & truth).sum() >= embeddings.GOAL * truth.sum()
+    for lists in graph.layers[0]:
+        graph.layers[0][lists] = np.empty(0, np.int64)  # leads nowhere
+    whole = np.unpackbits(embeddings.searched(rows, rows, graph, embeddings.COSINE, True), axis=1, count=len(rows)).astype(bool)
+    assert np.array_equal(whole, truth)
