@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import uuid
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.session import find_package as find_package
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -56,17 +57,6 @@ def _shared(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def find_package(spark: SparkSession) -> None:
-    """Lets Python workers import this package from where the driver has it.
-
-    Enough where the nodes see the same folder or have the package installed;
-    elsewhere it is shipped with the job as usual.
-    """
-    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
-    if root not in env.get("PYTHONPATH", "").split(":"):
-        env["PYTHONPATH"] = ":".join(filter(None, [root, env.get("PYTHONPATH")]))
-
-
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -46,3 +47,14 @@ def work_dir(spark: SparkSession, name: str) -> str:
     caller owns the folder."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/work"
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def find_package(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver has it.
+
+    Enough where the nodes see the same folder or have the package installed;
+    elsewhere it is shipped with the job as usual.
+    """
+    root, env = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(":"):
+        env["PYTHONPATH"] = ":".join(filter(None, [root, env.get("PYTHONPATH")]))

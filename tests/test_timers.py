@@ -57,6 +57,19 @@ def test_agrees_with_the_batch_form(spark, tmp_path):
     assert want and Feed(spark, str(tmp_path)).run(now, *jobs) == want
 
 
+def test_timers_in_the_default_state_store(spark, tmp_path):
+    """A session without this package's settings keeps state in Spark's default store."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    try:
+        feed = Feed(spark, str(tmp_path))
+        assert feed.run(0, ("a", 5, at(0), 3, None), ("b", 5, at(0), 5, 5)) == []
+        assert feed.run(50 * MINUTE) == [("a", "aggregation", 0), ("a", "analysis", 0), ("a", "transform", 3)]
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_updates_in_any_order_of_one_batch(spark, tmp_path):
     feed = Feed(spark, str(tmp_path))
     done, undone = ("a", 1, at(0), 1, 1), ("a", 1, at(0), 1, None)
