@@ -59,7 +59,8 @@ def join_reviews(
         & (F.col("a.analysis_ts") >= F.col(f"t.{ts}") - span)
         & (F.col("a.analysis_ts") <= F.col(f"t.{ts}") + span)
     )
-    return t.join(a, on, "inner").select(
+    # both sides hold rows, however small what they are parsed from looks to the planner
+    return t.join(a.hint("merge"), on, "inner").select(
         *[F.col(f"t.{c}") for c in transform.columns],
         F.col("a.analysis_ts"),
         *[F.col(f"a.{c}") for c in texts],
