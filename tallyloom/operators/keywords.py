@@ -66,12 +66,13 @@ def _ranked_shares(counts: DataFrame, group: Sequence[str], share) -> DataFrame:
     frequent, equal counts share a rank).
 
     Most tags of a large keyword occur once, so the join key also holds a salt
-    of the tag; each step of the ladder is there for every salt.
+    of the tag; each step of the ladder is there for every salt. Either side is
+    as large as the distinct tags may make it, so neither is ever broadcast.
     """
     salted = counts.withColumn("_salt", F.pmod(F.xxhash64("tag"), F.lit(SALTS)).cast("int"))
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     return (
-        salted.join(_ladder(counts, group).withColumn("_salt", salts), [*group, "n", "_salt"])
+        salted.join(_ladder(counts, group).withColumn("_salt", salts).hint("merge"), [*group, "n", "_salt"])
         .withColumn("percentage", share(F.col("n"), F.col("_total")))
         .withColumnRenamed("_rank", "tag_rank")
         .drop("_total", "_salt")
@@ -179,14 +180,15 @@ def frequent_keywords(reviews: DataFrame, summaries: DataFrame, k: int = S.TOP_K
     ``k``-th candidate has more rows than any keyword left out can have, or when
     the candidates have all rows there are; the keywords of other jobs are
     counted one and all. Rows meet the candidates under a salt, so a keyword of
-    a third of all rows is counted in many tasks.
+    a third of all rows is counted in many tasks. No side is broadcast: what the
+    planner takes for the size of parsed rows says nothing of them.
     """
     candidates = frequent_candidates(summaries, tracked)
     salt = F.pmod(F.xxhash64("review_id", "ts"), F.lit(SALTS)).cast("int")
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     texts = _texts(reviews, "review_id", "ts")
     asked = candidates.filter("keyword IS NOT NULL").withColumn("_salt", salts)
-    met = texts.withColumn("_salt", salt).join(asked, ["job_id", "keyword", "_salt"])
+    met = texts.withColumn("_salt", salt).join(asked.hint("merge"), ["job_id", "keyword", "_salt"])
     parts = met.groupBy("job_id", "keyword", "_salt", "seen", "missed").agg(F.count(F.lit(1)).alias("n"))
     counted = parts.groupBy("job_id", "keyword", "seen", "missed").agg(F.sum("n").alias("total"))
     # at most ``tracked`` rows a job
@@ -194,8 +196,8 @@ def frequent_keywords(reviews: DataFrame, summaries: DataFrame, k: int = S.TOP_K
         F.sum("total") == F.any_value("seen")
     )
     jobs = counted.groupBy("job_id").agg(F.coalesce(settled, F.lit(False)).alias("_settled"))
-    known = counted.join(jobs.filter("_settled"), "job_id", "left_semi").select("job_id", "keyword", "total")
+    known = counted.join(jobs.filter("_settled").hint("merge"), "job_id", "left_semi").select("job_id", "keyword", "total")
     # a job whose summary names nothing is open as well
-    open_jobs = summaries.select("job_id").join(jobs.filter("_settled"), "job_id", "left_anti")
-    rest = texts.join(open_jobs, "job_id", "left_semi").groupBy("job_id", "keyword").agg(F.count(F.lit(1)).alias("total"))
+    open_jobs = summaries.select("job_id").join(jobs.filter("_settled").hint("merge"), "job_id", "left_anti")
+    rest = texts.join(open_jobs.hint("merge"), "job_id", "left_semi").groupBy("job_id", "keyword").agg(F.count(F.lit(1)).alias("total"))
     return _first_k(known.unionByName(rest), k)

@@ -62,6 +62,16 @@ def test_ledger_joins_need_no_extra_shuffle(spark):
     assert plan.count("Exchange hashpartitioning") <= 5
 
 
+def test_rows_are_never_broadcast(spark):
+    """Rows parsed from a small file may be many; joins of them meet by sort and merge."""
+    rows = parse.parse_transform(fx.transform_messages(spark, SMOKE_DIR), ("keywords",))
+    analyses = parse.flatten_analysis(fx.analysis_messages(spark, SMOKE_DIR))
+    summaries = kw.merged_summaries(kw.keyword_summaries(rows), "job_id")
+    for made in (reviews.join_reviews(rows, analyses), kw.keyword_items(rows), kw.keyword_tags(rows), kw.frequent_keywords(rows, summaries)):
+        plan = plan_of(made)
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_top_keywords_prune_before_the_shuffle(spark):
     rows = parse.parse_transform(fx.transform_messages(spark, SMOKE_DIR), ("keywords",))
     assert "WindowGroupLimit" in plan_of(kw.top_keywords(rows))
