@@ -72,6 +72,17 @@ def test_rows_are_never_broadcast(spark):
         assert "SortMergeJoin" in plan and "Broadcast" not in plan
 
 
+def test_observations_are_counted_where_they_lie(spark):
+    """The quantiles are broadcast, not the observations, whatever the threshold."""
+    for threshold in ("-1", "100m"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            plan = plan_of(QUERIES["duration_quantiles"](spark, SMOKE_DIR))
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert "BuildLeft" in plan and "SortMergeJoin" not in plan
+
+
 def test_top_keywords_prune_before_the_shuffle(spark):
     rows = parse.parse_transform(fx.transform_messages(spark, SMOKE_DIR), ("keywords",))
     assert "WindowGroupLimit" in plan_of(kw.top_keywords(rows))
