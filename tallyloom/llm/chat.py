@@ -12,8 +12,10 @@ thread of its own. Messages are put in order by thread, each thread by depth of
 reply and turn, and lose their quotations.
 
 The latest holder is found in stretches of turns, without pairs. Lines with more
-than ``COMMON`` holders bring only their latest earlier holder as a candidate,
-but are counted for every candidate that other lines of the passage bring. Reply chains are followed by pointer doubling, and places in
+than ``COMMON`` holders are counted for every candidate that other lines of the
+passage bring; for the rest, messages with the same set of such lines form a
+class, passages are compared with classes, and the latest earlier member of each
+class that shares a line is a candidate. Reply chains are followed by pointer doubling, and places in
 a conversation come from counts per stretch of threads, not from a sort of it.
 """
 
@@ -29,7 +31,7 @@ from tallyloom.llm.common import salted_join, saved
 
 #: Shorter lines of a passage that nobody wrote as a whole do not count: they are equal by chance.
 LINE_CHARS = 4
-#: Lines that more messages of a conversation have bring one candidate each.
+#: Lines that more messages of a conversation have are compared by the classes of messages that have the same of them.
 COMMON = 64
 #: Threads whose first messages have turns in one stretch of this many are ordered together.
 STRETCH = 256
@@ -130,6 +132,29 @@ def _latest(asks: DataFrame, holders: DataFrame) -> DataFrame:
     return joined.select("key", "ask", F.coalesce("near", "far").alias("had"))
 
 
+def _common_votes(common: DataFrame, held: DataFrame) -> DataFrame:
+    """``(ask, had, n)``: for each passage and class of messages that have the same common lines, how many lines of the
+    passage those have, with the latest of them before it.
+
+    ``common`` ``(key, turn, node, ask, times)`` holds the common lines of the
+    passages, ``held`` ``(key, turn, node)`` those of the messages. Only
+    distinct sets of lines are paired, however many passages and messages have them.
+    """
+    named = lambda c: F.struct("conv", F.xxhash64(c).alias("x"), F.xxhash64(F.lit(3), c).alias("y"))
+    members = held.groupBy(F.col("key.conv").alias("conv"), "turn", "node").agg(F.sort_array(F.collect_list("key")).alias("lines"))
+    members = saved(members.select(named("lines").alias("class"), "lines", "turn", "node"))
+    asks = common.groupBy(F.col("key.conv").alias("conv"), "turn", "node", "ask").agg(F.sort_array(F.collect_list(F.struct("key", "times"))).alias("lines"))
+    asks = saved(asks.select(named("lines").alias("wanted"), "lines", "turn", "node", "ask"))
+    wanted = asks.groupBy("wanted").agg(F.any_value("lines").alias("lines")).select("wanted", F.inline("lines"))
+    classes = members.groupBy("class").agg(F.any_value("lines").alias("lines")).select("class", F.explode("lines").alias("k"))
+    shared = wanted.join(classes, F.col("key").eqNullSafe(F.col("k"))).groupBy("wanted", "class").agg(F.sum("times").alias("n"))
+    shared = shared.withColumnRenamed("wanted", "w")
+    pairs = asks.drop("lines").join(shared, F.col("wanted").eqNullSafe(F.col("w")))
+    pairs = pairs.select(F.col("class").alias("key"), "turn", "node", F.struct("ask", "n").alias("ask"))
+    latest = _latest(pairs, members.select(F.col("class").alias("key"), "turn", "node")).where("had is not null")
+    return latest.select("ask.ask", "had", "ask.n")
+
+
 def link_quotations(messages: DataFrame) -> DataFrame:
     """``(node, passage, level, original, share)``: the original message of each quoted passage that has one.
 
@@ -157,11 +182,11 @@ def link_quotations(messages: DataFrame) -> DataFrame:
     rare = rest.where(F.col("holders") <= COMMON).join(holders, F.col("key").eqNullSafe(F.col("k")) & earlier).select("ask", "had", "times")
     rare = saved(rare)
     common = saved(rest.where(F.col("holders") > COMMON))
-    latest = _latest(common.select("key", "turn", "node", "ask"), own).where("had is not null").select("ask", "had")
-    candidates = rare.select("ask", "had").union(latest).distinct()
+    candidates = rare.select("ask", "had").distinct()
     asked = common.select(F.col("ask").alias("of"), "key", "times").join(candidates, F.col("of") == F.col("ask"))
     asked = asked.join(holders.withColumnRenamed("had", "has"), F.col("key").eqNullSafe(F.col("k")) & (F.col("had") == F.col("has")))
     votes = rare.union(asked.select("ask", "had", "times")).groupBy("ask", "had").agg(F.sum("times").alias("n"))
+    votes = votes.union(_common_votes(common, salted_join(own, counts.where(F.col("holders") > COMMON), "key", F.col("node"))))
     best = votes.groupBy("ask").agg(F.max(F.struct((F.col("n") / F.col("ask.n")).alias("share"), "had")).alias("b"))
     return found.union(best.select("ask.node", "ask.passage", "ask.level", "b.had.node", "b.share"))
 

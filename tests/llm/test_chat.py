@@ -71,6 +71,18 @@ def test_signature_does_not_outvote_the_quoted_message(spark):
     assert got[2, 2]["reply_to"] == 1
 
 
+def test_message_with_most_common_lines_wins(spark):
+    one, two = "the first common line", "the second common line"
+    texts = [f"{one}\n{two}", f"{one}\nmy own words\n{two}"] + [one] * 70 + [two] * 70
+    rows = [(1, t, "user", text) for t, text in enumerate(texts)]
+    rows += [(None, t, "user", text) for t, text in enumerate(texts)]
+    quote = f"> {one}\n> nobody ever wrote this\n> {two}\nmy answer"
+    rows += [(1, 200, "user", quote), (1, 201, "user", quote), (None, 200, "user", quote), (1, 202, "user", f"> {one}\n> my own words\n> {two}\n> and some more\nyes")]
+    got, _ = run(spark, rows)
+    # later messages have one of the two lines each
+    assert [got[c, t]["reply_to"] for c, t in ((1, 200), (1, 201), (None, 200), (1, 202))] == [1, 1, 1, 1]
+
+
 def test_short_and_unspaced_passages_link(spark):
     rows = [(1, 0, "user", "Why?\nplease tell me"), (1, 1, "user", "今天天气怎么样"), (1, 2, "user", "Yes, please"), (1, 3, "user", "> why?\nbecause"),
             (1, 4, "user", "> 今天天气怎么样\n很好"), (1, 5, "user", "> Yes, please\nok")]
