@@ -33,6 +33,12 @@ def table(spark: SparkSession, sf_dir: str, name: str, streaming: bool = False)
     return df.withColumns({c: F.col(c).cast("timestamp") for c in naive}) if naive else df
 
 
+def spread(rows: DataFrame, *by: str) -> DataFrame:
+    """Rows dealt over the tasks by what they hold. A file of a few large row groups is read by as many
+    tasks, which is too few for making and parsing messages; null and repeated keys meet only with the rest alike."""
+    return rows if rows.isStreaming else rows.repartition(*by)
+
+
 def _json(**fields: Column) -> Column:
     """Fields that are null stay absent."""
     return F.to_json(F.struct(*[value.alias(name) for name, value in fields.items()]))
@@ -51,7 +57,7 @@ def transform_messages(
 ) -> DataFrame:
     """``(key, value, ts, redelivery)`` from events. With ``anonymous`` every
     ``NAMELESS``-th review has no id."""
-    events = table(spark, sf_dir, "events", streaming).withColumns(
+    events = spread(table(spark, sf_dir, "events", streaming), "event_id", "ts", "user_id", "value").withColumns(
         {
             "_rating": F.expr("CAST(FLOOR(value) AS BIGINT) % 12 / 2"),
             "_k": F.regexp_extract("props", "([0-9]+)", 1),
@@ -109,7 +115,7 @@ def analysis_messages(
     Those of ``ODD`` events have a text, an empty list or nothing for results,
     a result with a null job id, or are broken JSON.
     """
-    events = table(spark, sf_dir, "events", streaming)
+    events = spread(table(spark, sf_dir, "events", streaming), "event_id", "ts", "user_id", "value")
     result = F.struct(
         F.expr("concat('job-', user_id)").alias("job_id"),
         _review_id(anonymous).alias("review_id"),
