@@ -28,11 +28,13 @@ def reentering(
     Rows without a position have none to be repaired by. Time and key stay.
     """
     at = list(at)
-    readable = parse.valid_records(repairs.select(*at, value, "repaired_at"), value)
-    latest = readable.groupBy(*at).agg(F.max_by(value, F.struct("repaired_at", value)).alias("_repair"))
     waiting = dead.dropDuplicates(at)
     if replayed is not None:
         waiting = waiting.join(replayed.select(*at), at, "left_anti")
+    # only repairs of what waits are parsed
+    asked = repairs.select(*at, value, "repaired_at").join(waiting.select(*at), at, "left_semi")
+    readable = parse.valid_records(asked, value)
+    latest = readable.groupBy(*at).agg(F.max_by(value, F.struct("repaired_at", value)).alias("_repair"))
     columns = [c for c in dead.columns if c != "reason"]
     return waiting.join(latest, at).withColumn(value, F.col("_repair")).select(*columns)
 

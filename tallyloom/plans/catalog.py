@@ -758,9 +758,16 @@ def _(spark, sf):
 
 def _replayed(spark, sf) -> DataFrame:
     """Transform messages of which a third came in broken, after two runs of the replay."""
-    right = fx.positioned(fx.transform_messages(spark, sf))
+    work = work_dir(spark, "replay")
+
+    def stored(rows: DataFrame, name: str) -> DataFrame:
+        rows.write.parquet(f"{work}/{name}")
+        return spark.read.parquet(f"{work}/{name}")
+
+    # both runs and the result read the messages, both runs the dead letters
+    right = stored(fx.positioned(fx.transform_messages(spark, sf)), "messages")
     came = fx.broken(right)
-    dead, repairs, work = parse.quarantine(came), fx.repairs(right), work_dir(spark, "replay")
+    dead, repairs = stored(parse.quarantine(came), "dead"), fx.repairs(right)
     rows = parse.valid_records(came)
     # the first run finds half of the repairs, the second all
     for run, found in enumerate((repairs.filter("crc32(position) % 2 = 0"), repairs)):

@@ -3,6 +3,7 @@
 import pytest
 from clock import at
 
+from tallyloom.operators import parse, replay
 from tallyloom.plans import fixtures as fx
 
 
@@ -23,3 +24,13 @@ def test_messages_of_one_file_are_made_in_many_tasks(spark, tables, messages):
         assert messages(spark, tables).rdd.getNumPartitions() == 4
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def test_only_repairs_of_waiting_letters_are_parsed(spark, monkeypatch):
+    dead = spark.createDataFrame([("a", "{", "r"), (None, "{", "r")], "position string, value string, reason string")
+    rows = [("a", '{"n":1}', at(1)), ("a", "[", at(2)), ("b", '{"n":2}', at(1)), (None, "{}", at(1))]
+    repairs = spark.createDataFrame(rows, "position string, value string, repaired_at timestamp")
+    parsed, whole = [], parse.valid_records
+    monkeypatch.setattr(parse, "valid_records", lambda messages, value="value": parsed.append(messages.count()) or whole(messages, value))
+    back = replay.reentering(dead, repairs, ["position"])
+    assert [tuple(r) for r in back.collect()] == [("a", '{"n":1}')] and parsed == [2]
