@@ -877,6 +877,9 @@ def _(spark, sf):
     done = _done(spark, sf)
     message = F.to_json(F.struct("job_id", F.lit("aggregation").alias("step"), F.lit("done").alias("status")))
     told = done.select(F.col("job_id").alias("key"), message.alias("value"), F.col("done_at").alias("ts"))
+    # every portion reads them, so they are made once
+    told.write.parquet(f"{work}/told")
+    told = spark.read.parquet(f"{work}/told")
 
     def writer(sources):
         rows = lt.arrivals(_fed_reviews(spark, sources), _fed_analyses(spark, sources))

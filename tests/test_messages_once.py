@@ -4,6 +4,7 @@ import pytest
 from clock import at
 
 from tallyloom.operators import parse, replay
+from tallyloom.plans import catalog
 from tallyloom.plans import fixtures as fx
 
 
@@ -26,6 +27,13 @@ def test_messages_of_one_file_are_made_in_many_tasks(spark, tables, messages):
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
 
 
+def test_done_messages_are_made_once_for_all_portions(spark, tables, monkeypatch):
+    fed = {}
+    monkeypatch.setattr(catalog, "_fed", lambda spark, sf, work, writer, more=None: fed.update(more) or spark.range(1).write.parquet(f"{work}/rows"))
+    catalog.QUERIES["stream_aggregate_latency"](spark, tables)
+    assert all("/told/" in name for name in fed["done"].inputFiles())
+
+
 def test_only_repairs_of_waiting_letters_are_parsed(spark, monkeypatch):
     dead = spark.createDataFrame([("a", "{", "r"), (None, "{", "r")], "position string, value string, reason string")
     rows = [("a", '{"n":1}', at(1)), ("a", "[", at(2)), ("b", '{"n":2}', at(1)), (None, "{}", at(1))]
