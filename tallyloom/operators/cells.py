@@ -39,19 +39,6 @@ _MEASURES = {
 _SUMS = ("all", "full", "trial", "regular")
 
 
-def _item(kind: str, name: Column, tag: Column, valid, empty, trial, typed, amount) -> Column:
-    return F.struct(
-        F.lit(kind).alias("kind"),
-        F.coalesce(name, F.lit("")).alias("name"),
-        tag.alias("tag"),
-        valid.alias("valid"),
-        empty.alias("empty"),
-        trial.alias("trial"),
-        typed.alias("typed"),
-        amount.alias("amount"),
-    )
-
-
 def job_cells(transform: DataFrame, analysis: DataFrame) -> DataFrame:
     """Cells of both sides. ``transform`` must carry ``keywords``.
 
@@ -59,42 +46,47 @@ def job_cells(transform: DataFrame, analysis: DataFrame) -> DataFrame:
     field alone (reviews with an id only), ``tag`` and ``sentiment``. The flag
     ``typed`` marks tags the typed keyword statistics accept.
     """
-    yes, no, zero = F.lit(True), F.lit(False), F.lit(0.0)
-    none = F.lit("")
-    flags = (F.col("valid"), F.col("empty"), F.col("trial"))
-    has_id = F.col("review_id") != ""
+    none, no, zero = F.lit(""), F.lit(False), F.lit(0.0)
     bucket = lambda c: sc.rating_bucket(F.col(c)).cast("string")
-    stars = _item("stars", bucket("rating"), none, *flags, yes, zero)
-    own = _item("own", bucket("own_rating"), none, *flags, yes, F.col("own_rating"))
-
-    def tag(entry: Column) -> Column:
-        value = entry["value"]
-        kind = F.schema_of_variant(value)
-        text = F.when(
-            ~(kind.startswith("OBJECT") | kind.startswith("ARRAY")), sc.variant_as(value, "string")
-        )
-        typed = (kind == "STRING") & ~F.col("empty") & has_id
-        return _item("tag", entry["key"], F.coalesce(text, none), no, no, F.col("trial"), typed, zero)
-
     pairs = F.map_entries(sc.variant_as(F.col("keywords"), "map<string,variant>"))
-    items = F.concat(
-        F.when(has_id, F.array(stars, own)).otherwise(F.array(stars)),
-        F.coalesce(F.transform(pairs, tag), F.array().cast(_ITEMS)),
+    # bare entries are exploded and judged as columns: functions over arrays would run uncompiled for every entry
+    entries = F.concat(F.array(F.lit(None), F.lit(None)).cast(_ENTRIES), F.coalesce(pairs, F.array().cast(_ENTRIES)))
+    rows = transform.select(
+        "job_id", "valid", "empty", "trial", "rating", "own_rating",
+        (F.col("review_id") != "").alias("_has_id"), F.posexplode(entries).alias("_at", "_entry"),
+    )
+    stars, own, tag = F.col("_at") == 0, F.col("_at") == 1, F.col("_at") > 1
+    value = F.col("_entry.value")
+    kind = F.schema_of_variant(value)
+    text = F.when(~(kind.startswith("OBJECT") | kind.startswith("ARRAY")), sc.variant_as(value, "string"))
+    reviews = rows.filter(stars | (own & F.col("_has_id")) | (tag & (F.coalesce(text, none) != ""))).select(
+        "job_id",
+        F.when(stars, "stars").when(own, "own").otherwise("tag").alias("kind"),
+        F.coalesce(F.when(stars, bucket("rating")).when(own, bucket("own_rating")).otherwise(F.col("_entry.key")), none).alias("name"),
+        F.when(tag, text).otherwise(none).alias("tag"),
+        (~tag & F.col("valid")).alias("valid"),
+        (~tag & F.col("empty")).alias("empty"),
+        "trial",
+        (~tag | ((kind == "STRING") & ~F.col("empty") & F.col("_has_id"))).alias("typed"),
+        F.when(own, F.col("own_rating")).otherwise(zero).alias("amount"),
     )
-    reviews = transform.select("job_id", F.inline(items)).filter("kind <> 'tag' OR tag <> ''")
     results = analysis.select(
         "job_id",
-        _item("sentiment", label_name(F.col("sentiment"), "other"), none, no, no, F.col("trial"), no, zero).alias("i"),
-    ).select("job_id", "i.*")
+        F.lit("sentiment").alias("kind"),
+        label_name(F.col("sentiment"), "other").alias("name"),
+        none.alias("tag"),
+        no.alias("valid"),
+        no.alias("empty"),
+        "trial",
+        no.alias("typed"),
+        zero.alias("amount"),
+    )
     return reviews.unionByName(results).groupBy(*KEYS).agg(
         F.count(F.lit(1)).alias("n"), F.sum("amount").alias("total")
     )
 
 
-_ITEMS = (
-    "array<struct<kind:string,name:string,tag:string,valid:boolean,empty:boolean,trial:boolean,"
-    "typed:boolean,amount:double>>"
-)
+_ENTRIES = "array<struct<key:string,value:variant>>"
 
 
 def _by_tag(cells: DataFrame) -> DataFrame:

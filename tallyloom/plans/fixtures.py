@@ -9,7 +9,7 @@ parsing rules are met. ``oracle.py`` states the same rows as SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom import schema as S
@@ -35,8 +35,9 @@ def table(spark: SparkSession, sf_dir: str, name: str, streaming: bool = False)
 
 def spread(rows: DataFrame, *by: str) -> DataFrame:
     """Rows dealt over the tasks by what they hold. A file of a few large row groups is read by as many
-    tasks, which is too few for making and parsing messages; null and repeated keys meet only with the rest alike."""
-    return rows if rows.isStreaming else rows.repartition(*by)
+    tasks, which is too few for making and parsing messages; null and repeated keys meet only with the rest alike.
+    The number of tasks is given: by their few bytes adaptive execution would merge them into too few for the work on them."""
+    return rows if rows.isStreaming else rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
 
 
 def _json(**fields: Column) -> Column:
@@ -53,11 +54,17 @@ def _review_id(anonymous: bool) -> Column:
 
 
 def transform_messages(
-    spark: SparkSession, sf_dir: str, streaming: bool = False, anonymous: bool = False
+    spark: SparkSession, sf_dir: str, streaming: bool = False, anonymous: bool = False, since=None, until=None
 ) -> DataFrame:
     """``(key, value, ts, redelivery)`` from events. With ``anonymous`` every
-    ``NAMELESS``-th review has no id."""
-    events = spread(table(spark, sf_dir, "events", streaming), "event_id", "ts", "user_id", "value").withColumns(
+    ``NAMELESS``-th review has no id. ``since`` and ``until`` (excluded) bound ``ts``."""
+    events = table(spark, sf_dir, "events", streaming)
+    # a bound on what each event sends would be asked after the rows are dealt out
+    if since is not None:
+        events = events.filter((F.col("ts") >= F.lit(since)) | (_last_sent() >= F.lit(since)))
+    if until is not None:
+        events = events.filter(F.col("ts") < F.lit(until))
+    events = spread(events, "event_id", "ts", "user_id", "value").withColumns(
         {
             "_rating": F.expr("CAST(FLOOR(value) AS BIGINT) % 12 / 2"),
             "_k": F.regexp_extract("props", "([0-9]+)", 1),
@@ -102,11 +109,24 @@ def transform_messages(
         invalid_reason=F.expr("CASE WHEN event_id % 11 = 0 THEN array('rating') END"),
     )
     sent = F.col("ts") + F.col("redelivery") * F.expr("INTERVAL 1 SECOND")
+    if since is not None:
+        rows = rows.filter(sent >= F.lit(since))
+    if until is not None:
+        rows = rows.filter(sent < F.lit(until))
     return rows.select(
         F.lit(None).cast("string").alias("key"), value.alias("value"), sent.alias("ts"), "redelivery"
     )
 
 
+def _last_sent() -> Column:
+    return F.when(F.col("event_type") == RESENT, F.expr("ts + INTERVAL 1 SECOND")).otherwise(F.col("ts"))
+
+
+def transform_times(spark: SparkSession, sf_dir: str) -> Row:
+    """The first and last ``ts`` of ``transform_messages`` as ``(a, z)``, without making them."""
+    return table(spark, sf_dir, "events").agg(F.min("ts").alias("a"), F.max(_last_sent()).alias("z")).first()
+
+
 def analysis_messages(
     spark: SparkSession, sf_dir: str, streaming: bool = False, anonymous: bool = False
 ) -> DataFrame:
