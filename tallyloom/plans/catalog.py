@@ -809,28 +809,36 @@ PORTIONS = 3
 
 def _fed(spark, sf, work: str, writer, more: dict[str, DataFrame] | None = None) -> None:
     """Feeds a stream portion by portion. ``writer`` gets the three sources and those of ``more``."""
+    # a few rows from all events, so they are made once for all portions
+    fx.collection_messages(spark, sf).write.parquet(f"{work}/collected")
     inputs = {
-        "transform": fx.transform_messages(spark, sf),
         "analysis": fx.analysis_messages(spark, sf).withColumn("key", F.lit(None).cast("string")),
-        "control": fx.collection_messages(spark, sf),
+        "control": spark.read.parquet(f"{work}/collected"),
         **(more or {}),
     }
-    ends = inputs["transform"].agg(F.min("ts").alias("a"), F.max("ts").alias("z")).first()
+    ends = fx.transform_times(spark, sf)
     step = (ends["z"] - ends["a"]) / PORTIONS if ends["a"] else None
-    sources = {name: readers.Source(path=f"{work}/in/{name}") for name in inputs}
+    sources = {name: readers.Source(path=f"{work}/in/{name}") for name in ("transform", *inputs)}
     for i in range(PORTIONS):
-        for name, messages in inputs.items():
+        since = ends["a"] + i * step if step and i > 0 else None
+        until = ends["a"] + (i + 1) * step if step and i < PORTIONS - 1 else None
+        for name, messages in {"transform": fx.transform_messages(spark, sf, since=since, until=until), **inputs}.items():
             portion = messages.select("key", "value", "ts")
-            if step and i > 0:
-                portion = portion.filter(F.col("ts") >= F.lit(ends["a"] + i * step))
-            if step and i < PORTIONS - 1:
-                portion = portion.filter(F.col("ts") < F.lit(ends["a"] + (i + 1) * step))
+            if since is not None:
+                portion = portion.filter(F.col("ts") >= F.lit(since))
+            if until is not None:
+                portion = portion.filter(F.col("ts") < F.lit(until))
             portion.write.mode("append").parquet(sources[name].path)
         sinks.run_available(writer(sources))
 
 
-def _fed_reviews(spark, sources, *carry):
-    return readers.read_transform(spark, sources["transform"], carry, streaming=True)
+def _fed_reviews(spark, sources, *carry, figures=parse.FIGURES):
+    return readers.read_transform(spark, sources["transform"], carry, streaming=True, figures=figures)
+
+
+def _fed_ids(spark, sources):
+    """Reviews for counting: ids and times, nothing else parsed."""
+    return _fed_reviews(spark, sources, figures=())
 
 
 def _fed_analyses(spark, sources):
@@ -853,7 +861,7 @@ def _(spark, sf):
 def _(spark, sf):
     work = work_dir(spark, "hours")
     _fed(spark, sf, work, lambda sources: sinks.append(
-        flows.hourly_counts(_fed_reviews(spark, sources)), f"{work}/rows", f"{work}/checkpoint"))
+        flows.hourly_counts(_fed_ids(spark, sources)), f"{work}/rows", f"{work}/checkpoint"))
     return spark.read.parquet(f"{work}/rows")
 
 
@@ -863,7 +871,7 @@ def _(spark, sf):
 
     def writer(sources):
         control = readers.read_control(spark, sources["control"], streaming=True)
-        counts = flows.counts_at_collection(_fed_reviews(spark, sources), _fed_analyses(spark, sources), control)
+        counts = flows.counts_at_collection(_fed_ids(spark, sources), _fed_analyses(spark, sources), control)
         return sinks.append(counts, f"{work}/rows", f"{work}/checkpoint")
 
     _fed(spark, sf, work, writer)
@@ -882,7 +890,7 @@ def _(spark, sf):
     told = spark.read.parquet(f"{work}/told")
 
     def writer(sources):
-        rows = lt.arrivals(_fed_reviews(spark, sources), _fed_analyses(spark, sources))
+        rows = lt.arrivals(_fed_ids(spark, sources), _fed_analyses(spark, sources))
         events = readers.read_control(spark, sources["done"], streaming=True)
         events = events.filter((F.col("step") == "aggregation") & (F.col("status") == "done")).select("job_id", F.col("ts").alias("done_at"))
         return sinks.append(flows.aggregate_latency(rows, events, LATENCY_SPAN), f"{work}/rows", f"{work}/checkpoint")
@@ -895,7 +903,7 @@ def _(spark, sf):
 def _(spark, sf):
     work = work_dir(spark, "distinct")
     _fed(spark, sf, work, lambda sources: sinks.changelog(
-        flows.distinct_counts(_fed_reviews(spark, sources)), f"{work}/rows", f"{work}/checkpoint"))
+        flows.distinct_counts(_fed_ids(spark, sources)), f"{work}/rows", f"{work}/checkpoint"))
     return sinks.read_latest(spark, f"{work}/rows", ["job_id"])
 
 
@@ -913,7 +921,7 @@ def _emitted(spark, sf, at: Column | None):
 
     def writer(sources):
         control = readers.read_control(spark, sources["control"], streaming=True)
-        updates = flows.ledger(_fed_reviews(spark, sources), _fed_analyses(spark, sources), control)
+        updates = flows.ledger(_fed_ids(spark, sources), _fed_analyses(spark, sources), control)
         return flows.emit_events(spark, updates, f"{work}/ledger", f"{work}/rows", f"{work}/checkpoint", at)
 
     _fed(spark, sf, work, writer)
@@ -936,7 +944,7 @@ def _(spark, sf):
     """The ledger's updates wind the timers of their jobs; the clock ends at the time of ``as_of``."""
     work = work_dir(spark, "timers")
     clock, updates = readers.Source(path=f"{work}/clock"), readers.Source(path=f"{work}/updates")
-    ends = fx.transform_messages(spark, sf).agg(F.min("ts").alias("a"), F.max("ts").alias("z")).first()
+    ends = fx.transform_times(spark, sf)
     portion = iter(range(1, PORTIONS + 1))
 
     def writer(sources):
@@ -944,7 +952,7 @@ def _(spark, sf):
         early = n < PORTIONS and ends["a"]
         now = F.lit(ends["a"] + n * (ends["z"] - ends["a"]) / PORTIONS) if early else as_of()
         control = readers.read_control(spark, sources["control"], streaming=True)
-        rows = flows.ledger(_fed_reviews(spark, sources), _fed_analyses(spark, sources), control)
+        rows = flows.ledger(_fed_ids(spark, sources), _fed_analyses(spark, sources), control)
         sinks.run_available(timers.write_updates(rows, updates.path, f"{work}/checkpoints/updates", now))
         spark.range(1).select(now.alias("at")).write.mode("append").parquet(clock.path)
         told = timers.step_timeouts(

@@ -62,8 +62,8 @@ def read_messages(spark: SparkSession, source: Source, streaming: bool = False)
     )
 
 
-def read_transform(spark: SparkSession, source: Source, carry=(), streaming: bool = False) -> DataFrame:
-    return parse.parse_transform(read_messages(spark, source, streaming), carry)
+def read_transform(spark: SparkSession, source: Source, carry=(), streaming: bool = False, figures=parse.FIGURES) -> DataFrame:
+    return parse.parse_transform(read_messages(spark, source, streaming), carry, figures=figures)
 
 
 def read_analysis(spark: SparkSession, source: Source, streaming: bool = False) -> DataFrame:

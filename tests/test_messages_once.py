@@ -87,3 +87,17 @@ def test_bounds_leave_the_messages_between_them(spark, tables, since, until):
     assert (times.a, times.z) == (min(r.ts for r in whole), max(r.ts for r in whole))
     early = fx.transform_messages(spark, tables, since=since, until=until)._jdf.queryExecution().optimizedPlan().toString()
     assert since is until is None or "Filter" in early[early.index("RepartitionByExpression"):]
+
+
+def test_portions_hold_every_message_once_and_collections_are_made_once(spark, tables, tmp_path, monkeypatch):
+    made, seen, whole = [], [], fx.collection_messages
+    monkeypatch.setattr(fx, "collection_messages", lambda spark, sf: made.append(1) or whole(spark, sf))
+    monkeypatch.setattr(catalog.sinks, "run_available", lambda writer: None)
+    work = str(tmp_path / "work")
+    catalog._fed(spark, tables, work, lambda sources: seen.append(sources))
+    fed = {name: spark.read.parquet(source.path).select("value", "ts") for name, source in seen[0].items()}
+    for name, messages in (("transform", fx.transform_messages), ("analysis", fx.analysis_messages), ("control", whole)):
+        assert sorted(fed[name].collect()) == sorted(messages(spark, tables).select("value", "ts").collect())
+    assert len(seen) == catalog.PORTIONS and made == [1]
+    assert sorted(spark.read.parquet(f"{work}/collected").select("value", "ts").collect()) == sorted(fed["control"].collect())
+    assert catalog._fed_ids(spark, seen[0]).columns == ["key", "ts", "job_id", "review_id"]
