@@ -169,15 +169,30 @@ def verified_words(pairs: DataFrame) -> DataFrame:
     return rows.where((longer - shorter <= 1) & (shared >= longer - 1)).select("a", "b")
 
 
-def _entries(n: Column, role: int, unit: int, first, last) -> list[Column]:
-    """What a line of ``n`` places is entered under: its length and all outside one half, for both halves.
+def _entries(n: Column, unit: int, first: Column, last: Column, other: Column) -> list[Column]:
+    """What a line of ``n`` places is entered under: its length and all outside one half, for both halves; then what it probes.
 
-    ``first`` and ``last`` give so many places from the line's begin and end.
+    ``first`` and ``last`` are hashes of the half it begins and ends with, without the middle place of an odd line;
+    ``other`` is that of the end with this place, or of the begin less one place if there is none.
     """
-    length = n - role
-    middle = F.floor(length / 2).cast("int")
-    outside = (last(length - middle), first(middle))
-    return [F.xxhash64(F.lit(2 * unit + half), length, rest) for half, rest in enumerate(outside)]
+    odd = n % 2 == 1
+    key = lambda half, length, rest: F.xxhash64(F.lit(2 * unit + half), length, rest)
+    own = key(0, n, F.when(odd, other).otherwise(last)), key(1, n, first)
+    return [*own, key(0, n - 1, last), key(1, n - 1, F.when(odd, first).otherwise(other))]
+
+
+def _halves(n: Column, text: str, head: Column, middle: Column, gap: int) -> list[Column]:
+    """Hashes of ``first``, ``last`` and ``other`` of a line of ``n`` places, cut by bytes without a walk over it.
+
+    ``head`` bytes are its first half, rounded down; ``middle`` those of the place after it, in an even line of the last one
+    in it. Between places are ``gap`` bytes.
+    """
+    line, size, odd = F.col(text).cast("binary"), F.octet_length(text), n % 2 == 1
+    gaps = F.when(head > 0, gap).otherwise(0)
+    after = lambda at: F.substring(line, at + gaps + 1, size)
+    first, last = F.substring(line, F.lit(1), head), after(F.when(odd, head + middle + gaps).otherwise(head))
+    other = F.when(odd, after(head)).otherwise(F.substring(line, F.lit(1), head - middle - gap))
+    return [F.xxhash64(part) for part in (first, last, other)]
 
 
 def _outside(line: Column, length: Column, lo: Column, hi: Column, unit: int, seed: int = 0) -> Column:
@@ -186,21 +201,32 @@ def _outside(line: Column, length: Column, lo: Column, hi: Column, unit: int, se
     return F.xxhash64(F.lit(2 * seed + unit), length, lo, hi, part(line, F.lit(1), lo), part(line, size(line) - tail + 1, tail))
 
 
-def occurrences(docs: DataFrame, key: str, text: str, shortest: int = MIN_CHARS, lines: bool = False) -> DataFrame:
+def _used(line: Column, shortest: int) -> Column:
+    # a character has four bytes at most: only short lines are counted
+    near = (F.octet_length(line) >= 4 * MIN_CHARS) | (F.length(line) >= MIN_CHARS)
+    return near | ((F.length(line) >= shortest) & (F.trim(line, F.lit(BLANKS)) != "")) if shortest < MIN_CHARS else near
+
+
+def _split(text: str) -> Column:
+    return F.split(F.coalesce(F.col(text), F.lit("")), "\n")
+
+
+def every_line(docs: DataFrame, text: str, *columns: str, shortest: int = MIN_CHARS) -> DataFrame:
+    """``(*columns, line)`` for the lines of each document of ``shortest`` characters that are not blank."""
+    rows = docs.select(*columns, F.explode(_split(text)).alias("_raw"))
+    # a one-element explode: else the optimizer lowers each line twice, once for the filter
+    rows = rows.select(*columns, F.explode(F.array(normal(F.col("_raw")))).alias("line"))
+    return rows.where(_used(F.col("line"), shortest))
+
+
+def occurrences(docs: DataFrame, key: str, text: str, shortest: int = MIN_CHARS) -> DataFrame:
     """``(doc, version, h, at, again)`` for the lines of each document of ``shortest`` characters that are not blank.
 
     ``version`` tells texts under one id apart, ``h`` stands for the line, ``again`` marks its later occurrences in the
-    document. With ``lines`` the ``line`` is there too.
+    document.
     """
-
-    def entry(line: Column, i: Column) -> Column:
-        size = F.length(line)
-        near = size >= MIN_CHARS
-        used = near | ((size >= shortest) & (F.trim(line, F.lit(BLANKS)) != "")) if shortest < MIN_CHARS else near
-        return F.when(used, F.struct(_hash(line).alias("h"), i.alias("at"), *([line.alias("line")] if lines else [])))
-
-    body = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.col(key).alias("doc"), text_version(F.col(text)).alias("version"), F.transform(F.split(body, "\n"), normal).alias("lines"))
+    entry = lambda line, i: F.when(_used(line, shortest), F.struct(_hash(line).alias("h"), i.alias("at")))
+    rows = docs.select(F.col(key).alias("doc"), text_version(F.col(text)).alias("version"), F.transform(_split(text), normal).alias("lines"))
     rows = rows.select("doc", "version", F.sort_array(F.array_compact(F.transform("lines", entry))).alias("lines"))
     again = F.transform("lines", lambda x, i: F.struct(x.alias("of"), F.coalesce(F.get(F.col("lines"), i - 1)["h"] == x["h"], F.lit(False)).alias("again")))
     return rows.select("doc", "version", F.inline(again)).select("doc", "version", "of.*", "again")
@@ -212,23 +238,40 @@ def _hash(line: Column) -> Column:
 
 
 def distinct_lines(docs: DataFrame, key: str, text: str, long_words: int = LONG_WORDS, shortest: int = MIN_CHARS) -> DataFrame:
-    """``(h, first_doc, n, k0..k3, w0..w3)``: each different line, the first document with it and how many have it.
+    """``(h, first_doc, n, k0..k3, w0..w3)``: each different line, the first document with it and how often it occurs.
 
     ``k0`` to ``k3`` are its segment entries, null in lines under ``MIN_CHARS``, and ``w0`` to ``w3`` those by words, null in
     lines of fewer than ``long_words``.
     """
-    line, single = F.col("line"), F.col("single")
-    found = occurrences(docs, key, text, shortest, lines=True).where("not again")
-    blanks = F.when(F.contains(line, F.lit("  ")), F.regexp_replace(line, " +", " ")).otherwise(line)
-    found = found.select("doc", "h", "line", F.length("line").alias("chars"), blanks.alias("single"))
-    found = found.select("*", (F.octet_length("single") - F.octet_length(F.replace("single", F.lit(" "), F.lit(""))) + 1).alias("words"))
-    by_chars = lambda n: F.substring(line, F.lit(1), n), lambda n: F.substring(line, F.col("chars") - n + 1, n)
-    by_words = lambda n: F.call_function("substring_index", single, F.lit(" "), n), lambda n: F.call_function("substring_index", single, F.lit(" "), -n)
-    near = F.col("chars") >= MIN_CHARS
+    line, chars, count = F.col("line"), F.col("chars"), F.col("count")
+    found = every_line(docs.withColumn("doc", F.col(key)), text, "doc", shortest=shortest).select("doc", "line", F.length("line").alias("chars"))
+    found = found.select("*", F.when(chars >= MIN_CHARS, F.split("line", " ")).alias("pieces"))
+    found = found.select("*", F.array_remove("pieces", "").alias("array"))
+    single = F.when(F.size("pieces") == F.size("array"), line).otherwise(F.array_join("array", " "))
+    found = found.select("doc", "line", "chars", "array", F.size("array").alias("count"), single.alias("single"))
+    # where each character is a byte none is looked for
+    plain = F.octet_length("line") == chars
+    letters = lambda start, size: F.when(plain, size).otherwise(F.octet_length(F.substring(line, start, size)))
+    half, middle = (lambda n: F.shiftright(n, 1)), lambda n: F.shiftright(n, 1) + n % 2
+    sizes = {
+        "k_head": F.when(chars >= MIN_CHARS, letters(F.lit(1), half(chars))),
+        "k_middle": letters(middle(chars), F.lit(1)),
+        "w_head": F.when(count >= long_words, F.octet_length(F.call_function("substring_index", F.col("single"), F.lit(" "), half(count)))),
+        "w_middle": F.octet_length(F.get("array", middle(count) - 1)),
+    }
+    found = found.select("doc", "line", "chars", "count", "single", *(size.alias(name) for name, size in sizes.items()))
+    units = (CHARS, "k", "chars", "line"), (WORDS, "w", "count", "single")
+    names = "first", "last", "other"
+    parts = [
+        F.when(F.col(f"{name}_head").isNotNull(), part).alias(f"{name}_{at}")
+        for unit, name, n, whole in units
+        for at, part in zip(names, _halves(F.col(n), whole, F.col(f"{name}_head"), F.col(f"{name}_middle"), unit), strict=True)
+    ]
+    found = found.select("doc", _hash(line).alias("h"), "chars", "count", *parts)
     entries = {}
-    for name, n, unit, parts, used in (("k", "chars", CHARS, by_chars, near), ("w", "words", WORDS, by_words, near & (F.col("words") >= long_words))):
-        every = _entries(F.col(n), 0, unit, *parts) + _entries(F.col(n), 1, unit, *parts)
-        entries |= {f"{name}{j}": F.when(used, entry) for j, entry in enumerate(every)}
+    for unit, name, n, _ in units:
+        every = _entries(F.col(n), unit, *(F.col(f"{name}_{part}") for part in names))
+        entries |= {f"{name}{j}": F.when(F.col(f"{name}_first").isNotNull(), entry) for j, entry in enumerate(every)}
     found = found.select("doc", "h", *(entry.alias(name) for name, entry in entries.items()))
     facts = [F.min("doc").alias("first_doc"), F.count("*").alias("n"), *(F.first(k).alias(k) for k in entries)]
     return found.groupBy("h.x", "h.y").agg(*facts).select(F.struct("x", "y").alias("h"), "first_doc", "n", *entries)
@@ -236,9 +279,10 @@ def distinct_lines(docs: DataFrame, key: str, text: str, long_words: int = LONG_
 
 def _meetings(entries: DataFrame, crowded: int, *carried: str) -> tuple[DataFrame, DataFrame]:
     """Splits ``(key, role, node, ...)`` into rows of keys where a pair can meet and few do, and rows of crowded keys."""
-    own = F.count(F.when(F.col("role") == 0, 1))
-    counts = entries.groupBy("key").agg(F.count("*").alias("n"), own.alias("own"))
-    shared = saved(counts.where("n > 1 and own > 0").select("key", (F.col("n") > crowded).alias("many")))
+    # all are counted in the lower half of one number, those of role 0 in its upper half
+    counts = entries.groupBy("key").agg(F.sum(F.when(F.col("role") == 0, F.lit((1 << 32) + 1)).otherwise(F.lit(1))).alias("counts"))
+    n, own = F.col("counts").bitwiseAND((1 << 32) - 1), F.shiftright("counts", 32)
+    shared = saved(counts.where((n > 1) & (own > 0)).select("key", (n > crowded).alias("many")))
     likely, _ = maybe_in(entries, shared, "key")
     met = saved(salted_join(likely, shared, "key", F.col("node")).select("key", "role", "node", *carried, "many"))
     return met.where("not many").drop("many"), met.where("many").drop("many")
@@ -349,17 +393,17 @@ def _cut(crowd: DataFrame, texts: DataFrame) -> DataFrame:
 
 def _texts(docs: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
     """``(h, text)`` of the wanted lines; a sketch of them keeps other lines from being moved."""
-    lines = docs.select(F.explode(F.transform(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), normal)).alias("text"))
-    lines = lines.where(F.length("text") >= MIN_CHARS).select(_hash(F.col("text")).alias("h"), "text")
+    lines = every_line(docs, text).select(_hash(F.col("line")).alias("h"), F.col("line").alias("text"))
     likely, _ = maybe_in(lines, wanted, "h")
-    # partial aggregates make one of many equal lines before they are moved
-    return likely.groupBy("h").agg(F.first("text").alias("text")).join(wanted, "h", "left_semi")
+    # partial aggregates make one of many equal lines before they are moved; they sort by numbers faster than by structs
+    texts = likely.groupBy("h.x", "h.y").agg(F.first("text").alias("text")).select(F.struct("x", "y").alias("h"), "text")
+    return texts.join(wanted, "h", "left_semi")
 
 
 def repeated_lines(
     docs: DataFrame, key: str, text: str, crowded: int = CROWDED, long_words: int = LONG_WORDS, shortest: int = MIN_CHARS
 ) -> DataFrame:
-    """``(h, keeper)``: lines that occur in several documents or have near-equal ones, and the document that keeps them.
+    """``(h, keeper, gone)``: lines that occur several times or have near-equal ones, and the document that keeps them.
 
     A line that gives way to a near-equal one of its own first document has no
     keeper and ``gone`` set.
@@ -379,7 +423,7 @@ def dropped_lines(
 ) -> DataFrame:
     """``(doc, version, drops)``: the places of the lines that go, for documents that lose any."""
     repeated = saved(repeated_lines(docs, key, text, crowded, long_words, shortest))
-    places = occurrences(docs, key, text, shortest=shortest)
+    places = occurrences(docs, key, text, shortest)
     likely, _ = maybe_in(places, repeated, "h", also=F.col("again"))
     met = salted_join(likely, repeated, "h", F.struct("doc", "at"), "left")
     elsewhere = F.col("gone") | ~F.col("doc").eqNullSafe(F.col("keeper"))
@@ -418,9 +462,8 @@ def _rewritten(rows: DataFrame, own: list[str], text: str) -> DataFrame:
     rows = rows.withColumn("_lines", F.when(F.col("drops").isNotNull(), lines)).withColumn("_kept", kept)
     short = F.array_join(F.transform("_kept", lambda i: F.get(F.col("_lines"), i)), "\n")
     body = F.when(F.col("drops").isNull(), F.col("row")[text]).otherwise(short)
-    breaks = F.regexp_count(F.col("row")[text], F.lit("\n"))
     return rows.select(
         *(body.alias(c) if c == text else F.col("row")[c].alias(c) for c in own),
-        F.coalesce(breaks + 1, F.lit(0)).cast("long").alias("n_lines"),
+        F.when(F.col("row")[text].isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
         F.when(F.col("drops").isNull(), 0).otherwise(F.size("drops")).cast("long").alias("n_dropped"),
     )

@@ -146,3 +146,48 @@ def test_short_equal_lines_go_in_the_query_and_the_stage(spark, tmp_path):
     assert {r["doc_id"]: r["n_dropped"] for r in got} == {1: 1, 2: 1, 3: 1}
     staged = corpus_pipeline.line_stage(spark, frame.withColumn("n_chars", F.length("text")), str(tmp_path))
     assert {r["doc_id"]: r["text"] for r in staged.collect()} == left
+
+
+def test_entries_stand_for_halves(spark):
+    """Lines share an entry exactly if they have the length of the one and the same places outside the half."""
+    rng = random.Random(11)
+    lines = {"".join(rng.choice(["ab", "é", "版", "𝒳", "c"]) for _ in range(2)) * 12 + "x" * rng.randint(0, 3) for _ in range(30)}
+    lines |= {"word " * k + gap + end for k in (1, 2, 8, 9, 10, 11) for gap in ("", "  ") for end in ("é" * 24, "z" * 24, "z" * 25)}
+    lines |= {"z" * 23, "ab", "一" * 23, "一" * 24}
+    frame = spark.createDataFrame([(i, line) for i, line in enumerate(sorted(lines))], "doc_id long, text string")
+    long_words = 3
+    got = ld.distinct_lines(frame, "doc_id", "text", long_words=long_words, shortest=1).collect()
+
+    def halves(units, unit):
+        for role in (0, 1):
+            n = len(units) - role
+            yield from ((unit, 0, n, tuple(units[len(units) - (n - n // 2) :])), (unit, 1, n, tuple(units[: n // 2])))
+
+    meant = {}
+    for row in got:
+        line = sorted(lines)[row["first_doc"]]
+        words = line.split()
+        expected = list(halves(line, "k")) if len(line) >= ld.MIN_CHARS else [None] * 4
+        expected += list(halves(words, "w")) if len(line) >= ld.MIN_CHARS and len(words) >= long_words else [None] * 4
+        for j, what in enumerate(expected):
+            key = row[f"{'kw'[j // 4]}{j % 4}"]
+            assert (key is None) == (what is None), (line, j)
+            if what is not None:
+                assert meant.setdefault(key, what) == what, (line, j)
+    assert len(got) == len(lines) and len(set(meant.values())) == len(meant)
+
+
+def test_lines_are_entered_without_functions_over_arrays(spark):
+    """The scan of all lines is generated code: no lambda for each line, no regular expression, one lower."""
+    frame = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    plan = ld.distinct_lines(frame, "doc_id", "text", shortest=1)._jdf.queryExecution().executedPlan().toString()
+    assert "lambdafunction" not in plan and "regexp" not in plan and plan.count("lower(") == 1
+    assert "regexp" not in ld._rewritten(frame.select(F.struct("doc_id", "text").alias("row"), F.array(F.lit(0)).alias("drops")), ["text"], "text")._jdf.queryExecution().analyzed().toString()
+
+
+def test_lines_often_in_one_document_only(spark):
+    line = "a line that stands twice in one document"
+    docs = [(1, f"{line}\nx\n{line}\nother"), (1, f"{line}\nx\n{line}\nother"), (None, "n\nn\nm"), (2, "x")]
+    frame = spark.createDataFrame([(d, t, "x", "y") for d, t in docs], SCHEMA)
+    rows = sorted(((r["doc_id"], r["text"], r["n_lines"], r["n_dropped"]) for r in ld.dedup(frame, shortest=1).collect()), key=str)
+    assert rows == sorted([(1, f"{line}\nx\nother", 4, 1)] * 2 + [(None, "n\nm", 3, 1), (2, "", 1, 1)], key=str)
