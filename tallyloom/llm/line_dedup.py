@@ -424,10 +424,12 @@ def dropped_lines(
     """``(doc, version, drops)``: the places of the lines that go, for documents that lose any."""
     repeated = saved(repeated_lines(docs, key, text, crowded, long_words, shortest))
     places = occurrences(docs, key, text, shortest)
-    likely, _ = maybe_in(places, repeated, "h", also=F.col("again"))
-    met = salted_join(likely, repeated, "h", F.struct("doc", "at"), "left")
+    likely, _ = maybe_in(places, repeated, "h")
+    # joined by half the hash, as numbers sort faster than structs; later occurrences in a document are repeated ones too
+    facts = repeated.select(F.col("h.x").alias("half"), F.col("h").alias("line"), "keeper", "gone")
+    met = salted_join(likely.withColumn("half", F.col("h.x")), facts, "half", F.struct("doc", "at")).where("h = line")
     elsewhere = F.col("gone") | ~F.col("doc").eqNullSafe(F.col("keeper"))
-    drops = met.where(F.col("again") | (F.col("gone").isNotNull() & elsewhere)).select("doc", "version", "at")
+    drops = met.where(F.col("again") | elsewhere).select("doc", "version", "at")
     return drops.groupBy("doc", "version").agg(F.collect_set("at").alias("drops"))
 
 
