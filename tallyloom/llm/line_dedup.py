@@ -396,8 +396,9 @@ def _texts(docs: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
     lines = every_line(docs, text).select(_hash(F.col("line")).alias("h"), F.col("line").alias("text"))
     likely, _ = maybe_in(lines, wanted, "h")
     # partial aggregates make one of many equal lines before they are moved; they sort by numbers faster than by structs
-    texts = likely.groupBy("h.x", "h.y").agg(F.first("text").alias("text")).select(F.struct("x", "y").alias("h"), "text")
-    return texts.join(wanted, "h", "left_semi")
+    texts = likely.groupBy("h.x", "h.y").agg(F.first("text").alias("text"))
+    keys = wanted.select(F.col("h.x").alias("_x"), F.col("h.y").alias("_y"))
+    return texts.join(keys, (F.col("x") == F.col("_x")) & (F.col("y") == F.col("_y")), "left_semi").select(F.struct("x", "y").alias("h"), "text")
 
 
 def repeated_lines(
